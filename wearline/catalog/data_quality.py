@@ -189,7 +189,7 @@ FROM events JOIN (SELECT {key} AS k, quantile_cont(value, 0.25) AS q1, quantile_
                          quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1) ON k = {key} GROUP BY {key}"""
 
 
-@query("boxplot_stats", BOX_SQL.format(label="event_type", key="event_type") + " UNION ALL " + BOX_SQL.format(label="'all'", key="1=1"))
+@query("boxplot_stats", BOX_SQL.format(label="event_type", key="event_type") + " UNION ALL " + BOX_SQL.format(label="'all'", key="'all'"))
 def boxplot_stats(spark, sf):
     events = table(spark, sf, "events").select("event_type", "value")
     whole = quality.box_stats(events, "value").withColumn("event_type", F.lit("all"))

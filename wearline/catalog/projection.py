@@ -35,8 +35,8 @@ def project_drop(spark, sf):
 
 
 @query("derived_arithmetic", f"""
-SELECT {LINE_KEY_SQL}, round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 4) AS charge,
-       round(l_extendedprice / l_quantity, 4) AS unit_price, l_quantity + l_linenumber AS plus,
+SELECT {LINE_KEY_SQL}, round(l_extendedprice * (1 - l_discount) * (1 + l_tax), 6) AS charge,
+       round(l_extendedprice / l_quantity, 8) AS unit_price, l_quantity + l_linenumber AS plus,
        l_quantity - l_linenumber AS minus
 FROM lineitem""")
 def derived_arithmetic(spark, sf):
@@ -44,8 +44,8 @@ def derived_arithmetic(spark, sf):
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     return line.select(
         *LINE_KEY,
-        F.round(price * (1 - F.col("l_discount")) * (1 + F.col("l_tax")), 4).alias("charge"),
-        F.round(F.try_divide(price, quantity), 4).alias("unit_price"),
+        F.round(price * (1 - F.col("l_discount")) * (1 + F.col("l_tax")), 6).alias("charge"),
+        F.round(F.try_divide(price, quantity), 8).alias("unit_price"),
         (quantity + F.col("l_linenumber")).alias("plus"),
         (quantity - F.col("l_linenumber")).alias("minus"),
     )
@@ -104,8 +104,8 @@ def _vectors(spark, sf):
 @query("positions_where", CELLS_SQL + """
 SELECT vec_id, cast(i AS bigint) AS position FROM c WHERE x > 0.1""")
 def positions_where(spark, sf):
-    found = arrays.positions_where("e", lambda x: x > 0.1)
-    return _vectors(spark, sf).select("vec_id", F.explode(found).cast("long").alias("position"))
+    found = arrays.positions_where("e", lambda x: x > 0.1).cast("array<bigint>")
+    return _vectors(spark, sf).select("vec_id", F.explode(found).alias("position"))
 
 
 @query("conditional_value", f"""

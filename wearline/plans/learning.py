@@ -7,7 +7,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,13 +20,18 @@ def window_features(seqs: DataFrame, features: list[str], keep: list[str]) -> Da
     size = F.size("seq")
     out = []
     for i, f in enumerate(features):
-        series = F.transform("seq", lambda s, i=i: s[i])
+        series = series_of(i)
         total = F.aggregate(series, F.lit(0.0), lambda a, x: a + x)
         last, first = F.element_at(series, -1), F.element_at(series, 1)
         out += [(total / size).alias(f"{f}_wmean"), last.alias(f"{f}_last"), (last - first).alias(f"{f}_change")]
     return seqs.select(*keep, *out)
 
 
+def series_of(feature: int) -> Column:
+    """One feature of a window over its time steps."""
+    return F.transform("seq", lambda step: step[feature])
+
+
 def feature_names(features: list[str]) -> list[str]:
     return [f"{f}_{part}" for f in features for part in ("wmean", "last", "change")]
 
@@ -72,7 +77,7 @@ def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int =
     assembled.unpersist()
     best = min(fitted.avgMetrics)
     rows = [
-        (float(m[linear.regParam]), float(m[linear.elasticNetParam]), bool(m[linear.fitIntercept]), float(s), s == best)
+        (float(m[linear.regParam]), float(m[linear.elasticNetParam]), bool(m[linear.fitIntercept]), float(s), bool(s == best))
         for m, s in zip(grid, fitted.avgMetrics)
     ]
     return df.sparkSession.createDataFrame(
