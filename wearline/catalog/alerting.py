@@ -35,7 +35,7 @@ def rul_train(spark, sf):
 
 
 @query("rul_test_truth", PANEL_SQL + f"""
-SELECT {KEY}, life - cycle AS "RUL", 0 AS without_truth FROM test""")
+SELECT {KEY}, life - cycle AS "RUL", cast(0 AS bigint) AS without_truth FROM test""")
 def rul_test_truth(spark, sf):
     known = _unfinished(spark, sf)
     return known.withColumn("without_truth", test_rul(known.limit(0)).select(F.coalesce(F.max(RUL), F.lit(0))).scalar())

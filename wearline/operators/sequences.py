@@ -86,7 +86,7 @@ def position_stats(seqs: DataFrame, features: list[str]) -> DataFrame:
     """Mean and population std of each (time step, feature) place over all windows."""
     steps = explode_steps(seqs, features, [])
     stats = steps.groupBy("t").agg(
-        *[F.struct(F.lit(i).cast("long").alias("f"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(f"_{i}")
+        *[F.struct(F.lit(i).alias("f"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(f"_{i}")
           for i, c in enumerate(features)]
     )
     stacked = stats.select("t", F.explode(F.array(*[F.col(f"_{i}") for i in range(len(features))])).alias("_s"))
