@@ -162,7 +162,7 @@ def matmul_coo(spark, sf):
     cells = table(spark, sf, "embeddings").select("vec_id", "label", F.posexplode(F.col("embedding").cast("array<double>")).alias("k", "v"))
     left = cells.select(F.col("vec_id").alias("i"), "k", "v")
     right = cells.groupBy("k", F.col("label").alias("j")).agg(F.avg("v").alias("v"))
-    return rounded(arrays.multiply(left, right), ["v"])
+    return rounded(agg.multiply(left, right), ["v"])
 
 
 @query("quantiles_exact", _each("""

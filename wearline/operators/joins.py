@@ -1,4 +1,4 @@
-"""Joins of a one-row-per-key side to rows whose keys may be very uneven."""
+"""Joins of a smaller side to rows whose keys may be very uneven."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ def attach(
     how: str = "inner",
     broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join `side` (at most one row per key) to `df`.
+    """Join the smaller `side`, as a rule one row per key, to `df`.
 
     The side is written once and counted. Up to `broadcast_rows` it is broadcast and `df`
     does not move. Beyond that both sides are shuffled by key and salt, so that a key which

@@ -21,9 +21,17 @@ BOUNDED_ROWS = 1_000_000
 BLOCK_ROWS = 16_384
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest key group; partial counts keep this cheap on uneven keys."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+def groups_fit(df: DataFrame, keys: list[str], limit: int) -> bool:
+    """Whether no key group has more than `limit` rows.
+
+    A table of that size at most cannot have one; otherwise the groups are counted, with
+    partial counts that stay cheap on uneven keys.
+    """
+    if df.count() <= limit:
+        return True
+    if not keys:
+        return False
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).isEmpty()
 
 
 def _placed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -54,7 +62,7 @@ def number_rows(
 ) -> DataFrame:
     """Dense positions 1..n per key in `order` (unique within a key), and n itself as `total`."""
     limit = BOUNDED_ROWS if bounded_rows is None else bounded_rows
-    if largest_group(df, keys) <= limit:
+    if groups_fit(df, keys, limit):
         by_key = Window.partitionBy(*keys)
         out = df.withColumn(name, F.row_number().over(by_key.orderBy(*order)).cast("long"))
         return out.withColumn(total, F.count(F.lit(1)).over(by_key)) if total else out
@@ -79,7 +87,7 @@ def running_total(
 ) -> DataFrame:
     """Inclusive running sum of `amount` per key in `order` (unique within a key)."""
     limit = BOUNDED_ROWS if bounded_rows is None else bounded_rows
-    if largest_group(df, keys) <= limit:
+    if groups_fit(df, keys, limit):
         by_key = Window.partitionBy(*keys)
         upto = by_key.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = df.withColumn(name, F.sum(amount).over(upto))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.operators.ordering import running_total
+from wearline.operators.ordering import groups_fit, running_total
 from wearline.session import stage
 
 # Up to this many values in a group, `percentile` may hold them all in one buffer.
@@ -96,11 +96,7 @@ def exact_quantiles(
     """
     by = list(by or [])
     limit = BOUNDED_VALUES if bounded_values is None else bounded_values
-    if by:
-        size = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    else:
-        size = df.count()
-    if size <= limit:
+    if groups_fit(df, by, limit):
         known = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in by))) if by else df
         wide = known.groupBy(*by).agg(
             *[

@@ -138,10 +138,12 @@ def impute_by_group(df: DataFrame, columns: list[str], by: list[str], statistic:
 
 
 def latest_rows(df: DataFrame, keys=ENTITY, position=CYCLE) -> DataFrame:
-    """The last row of each engine; partial maxima travel, not the series."""
+    """The last row of each engine (`position` is unique there); partial maxima travel, not the series.
+
+    One `max_by` per column keeps the buffers fixed-width, so Spark aggregates by hash without a sort.
+    """
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(position)).alias("_row"))
-    return best.select(*keys, "_row.*").select(*df.columns)
+    return df.groupBy(*keys).agg(*[F.max_by(c, position).alias(c) for c in rest]).select(*df.columns)
 
 
 def first_engines(df: DataFrame, k: int, keys=ENTITY) -> DataFrame:

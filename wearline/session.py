@@ -15,6 +15,8 @@ def build_session(app_name: str = "wearline", master: str | None = None, **setti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Recording the Python call site of every expression slows the building of wide plans.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     if master:
         builder = builder.master(master)
