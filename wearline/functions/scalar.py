@@ -1,4 +1,4 @@
-"""Scalar column functions with the missing-value rules of the reference semantics."""
+"""Scalar column functions; a missing value stays missing unless a function says otherwise."""
 
 from __future__ import annotations
 
