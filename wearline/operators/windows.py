@@ -101,22 +101,24 @@ def fill_series(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in columns],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(f"_first_{c}") for c in columns],
     )
-    by_block = Window.partitionBy(*keys).orderBy("_block")
-    earlier = by_block.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_block.rowsBetween(1, Window.unboundedFollowing)
+    by_engine = Window.partitionBy(*keys)
+    earlier = by_engine.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    later = by_engine.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
         *keys,
         "_block",
         *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in columns],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}") for c in columns],
+        *[F.last(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}") for c in columns],
     )
-    inside = Window.partitionBy(*keys, "_block").orderBy(position)
-    past = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Looking ahead is looking back in falling order: a frame that grows costs one step per row,
+    # one that shrinks from the front is evaluated anew for each.
+    inside = Window.partitionBy(*keys, "_block")
+    past = inside.orderBy(position).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = inside.orderBy(F.desc(position)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = {}
     for c in columns:
         forward = (F.last(c, ignorenulls=True).over(past), F.col(f"_before_{c}"))
-        backward = (F.first(c, ignorenulls=True).over(ahead), F.col(f"_after_{c}"))
+        backward = (F.last(c, ignorenulls=True).over(ahead), F.col(f"_after_{c}"))
         filled[c] = F.coalesce(*forward, *backward) if method == "ffill" else F.coalesce(*backward, *forward)
     joined = blocked.join(carried, [*keys, "_block"])
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
