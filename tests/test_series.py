@@ -120,7 +120,10 @@ def skewed_frame(spark, rows=6000):
     return pdf.sort_values(["engine_id", "stamp"]), df
 
 
-def test_skewed_engine_matches_pandas(spark, small_limits):
+@pytest.mark.parametrize("bounded_rows", [5, 200])
+def test_skewed_engine_matches_pandas(spark, small_limits, monkeypatch, bounded_rows):
+    """All engines count as large, or only the skewed one does."""
+    monkeypatch.setattr(ordering, "BOUNDED_ROWS", bounded_rows)
     pdf, df = skewed_frame(spark)
     numbered = number_rows(df, KEYS, ["stamp"], "cycle", total="life")
     got = add_engine_features(numbered, []).toPandas().sort_values(["engine_id", "stamp"])
@@ -145,7 +148,9 @@ def test_no_task_receives_the_skewed_engine(spark, small_limits):
     assert laid.where("_own").count() == df.count()
 
 
-def test_running_total_matches_pandas(spark, small_limits):
+@pytest.mark.parametrize("bounded_rows", [5, 200])
+def test_running_total_matches_pandas(spark, small_limits, monkeypatch, bounded_rows):
+    monkeypatch.setattr(ordering, "BOUNDED_ROWS", bounded_rows)
     pdf, df = skewed_frame(spark)
     amounts = df.select(*KEYS, "stamp", (F.col("stamp") % 5).alias("amount"))
     got = running_total(amounts, KEYS, ["stamp"], "amount", "upto", total="whole").toPandas()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wearline.catalog.registry import PANEL_SQL, query, rounded
 from wearline.functions import arrays, scalar
 from wearline.operators import quality, rows
+from wearline.operators.aggregates import stack
 from wearline.operators.splits import sample_rows
 from wearline.operators.transforms import downcast
 from wearline.panel import engine_panel, table
@@ -207,11 +208,12 @@ def _kind_sql(c: str) -> str:
 UNION ALL SELECT 'l_quantity', 'float', sum(cast(l_quantity AS float)) FROM lineitem""")
 def downcast_types(spark, sf):
     small = downcast(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"))
-    return rows.union_all(*[
-        small.agg(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("kind"),
-                  F.sum(F.col(f.name).cast("double")).alias("total"))
-        for f in small.schema.fields
+    totals = small.agg(*[
+        F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("kind"),
+                 F.sum(F.col(f.name).cast("double")).alias("total")).alias(f"_{i}")
+        for i, f in enumerate(small.schema.fields)
     ])
+    return stack(totals, [], len(small.columns))
 
 
 @query("array_elementwise", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.session import stage
+from wearline.session import stage_counted
 
 BROADCAST_ROWS = 100_000
 SALTS = 64
@@ -25,8 +25,8 @@ def attach(
     holds a large share of the rows is spread over `SALTS` tasks.
     """
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    side = stage(side, "side")
-    if side.count() <= limit:
+    side, rows = stage_counted(side, "side")
+    if rows <= limit:
         return df.join(F.broadcast(side), on, how)
     salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

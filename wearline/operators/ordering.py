@@ -9,16 +9,19 @@ finds them, and one very long engine is spread over as many tasks as it has bloc
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wearline.operators.joins import attach
-from wearline.session import stage
+from wearline.session import stage, stage_counted
 
 # Groups up to this many rows are ordered by one window task; longer ones by a range sort.
 BOUNDED_ROWS = 1_000_000
 BLOCK_ROWS = 16_384
+# Keys of large groups that may be broadcast.
+LARGE_GROUPS = 500_000
 
 
 def groups_fit(df: DataFrame, keys: list[str], limit: int) -> bool:
@@ -34,6 +37,23 @@ def groups_fit(df: DataFrame, keys: list[str], limit: int) -> bool:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).isEmpty()
 
 
+def split_by_size(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of groups up to `limit`, and rows of larger groups; None where there are none.
+
+    At most one group per `limit` rows can be large, which bounds the list of their keys.
+    """
+    if df.count() <= limit:
+        return df, None
+    if not keys:
+        return None, df
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    large, found = stage_counted(sizes.drop("_n"), "large")
+    if not found:
+        return df, None
+    side = F.broadcast(large) if found <= LARGE_GROUPS else large
+    return df.join(side, keys, "left_anti"), df.join(side, keys, "left_semi")
+
+
 def _placed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Rows in global (keys, order) ranges, written with their range and place in it."""
     columns = [F.col(c) for c in [*keys, *order]]
@@ -61,19 +81,24 @@ def number_rows(
     bounded_rows: int | None = None,
 ) -> DataFrame:
     """Dense positions 1..n per key in `order` (unique within a key), and n itself as `total`."""
-    limit = BOUNDED_ROWS if bounded_rows is None else bounded_rows
-    if groups_fit(df, keys, limit):
+    added = [name, *([total] if total else [])]
+    usual, large = split_by_size(df, keys, BOUNDED_ROWS if bounded_rows is None else bounded_rows)
+    numbered = []
+    if usual is not None:
         by_key = Window.partitionBy(*keys)
-        out = df.withColumn(name, F.row_number().over(by_key.orderBy(*order)).cast("long"))
-        return out.withColumn(total, F.count(F.lit(1)).over(by_key)) if total else out
-    placed = _placed(df, keys, order)
-    parts = placed.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_amount"), F.min("_row").alias("_first"))
-    out = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"]).withColumn(
-        name, F.col("_row") - F.col("_first") + 1 + F.col("_before")
-    )
-    if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.select(*df.columns, name, *([total] if total else []))
+        position = F.row_number().over(by_key.orderBy(*order)).cast("long")
+        numbered.append(usual.select("*", position.alias(name), *_total_of(F.count(F.lit(1)).over(by_key), total)))
+    if large is not None:
+        placed = _placed(large, keys, order)
+        parts = placed.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_amount"), F.min("_row").alias("_first"))
+        known = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"])
+        position = F.col("_row") - F.col("_first") + 1 + F.col("_before")
+        numbered.append(known.select("*", position.alias(name), *_total_of(F.col("_total"), total)))
+    return reduce(DataFrame.union, [part.select(*df.columns, *added) for part in numbered])
+
+
+def _total_of(amount: Column, name: str | None) -> list[Column]:
+    return [amount.alias(name)] if name else []
 
 
 def running_total(
@@ -86,20 +111,22 @@ def running_total(
     bounded_rows: int | None = None,
 ) -> DataFrame:
     """Inclusive running sum of `amount` per key in `order` (unique within a key)."""
-    limit = BOUNDED_ROWS if bounded_rows is None else bounded_rows
-    if groups_fit(df, keys, limit):
+    added = [name, *([total] if total else [])]
+    usual, large = split_by_size(df, keys, BOUNDED_ROWS if bounded_rows is None else bounded_rows)
+    summed = []
+    if usual is not None:
         by_key = Window.partitionBy(*keys)
         upto = by_key.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.withColumn(name, F.sum(amount).over(upto))
-        return out.withColumn(total, F.sum(amount).over(by_key)) if total else out
-    placed = _placed(df, keys, order)
-    parts = placed.groupBy(*keys, "_part").agg(F.sum(amount).alias("_amount"))
-    joined = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"])
-    upto = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined.withColumn(name, F.col("_before") + F.sum(amount).over(upto))
-    if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.select(*df.columns, name, *([total] if total else []))
+        running = F.sum(amount).over(upto)
+        summed.append(usual.select("*", running.alias(name), *_total_of(F.sum(amount).over(by_key), total)))
+    if large is not None:
+        placed = _placed(large, keys, order)
+        parts = placed.groupBy(*keys, "_part").agg(F.sum(amount).alias("_amount"))
+        known = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"])
+        by_part = Window.partitionBy(*keys, "_part").orderBy(*order)
+        running = F.col("_before") + F.sum(amount).over(by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        summed.append(known.select("*", running.alias(name), *_total_of(F.col("_total"), total)))
+    return reduce(DataFrame.union, [part.select(*df.columns, *added) for part in summed])
 
 
 def block_of(position: str, block_rows: int | None = None) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wearline.operators.ordering import number_rows
 
+HEAD_ROWS = 100_000
+
 
 def keep_selected(df: DataFrame, column: str, chosen: list, empty_means_all: bool) -> DataFrame:
     """Rows whose value was chosen; an empty choice shows everything or nothing, as asked."""
@@ -25,7 +27,12 @@ def tail(df: DataFrame, order: list[str], n: int) -> DataFrame:
 
 
 def rows_between(df: DataFrame, order: list[str], first: int, stop: int) -> DataFrame:
-    """Rows at 0-based positions first..stop-1 of the whole table in `order`."""
+    """Rows at 0-based positions first..stop-1 of the whole table in `order`.
+
+    A slice near the start needs the first `stop` rows only.
+    """
+    if stop <= HEAD_ROWS:
+        df = head(df, order, stop)
     numbered = number_rows(df, [], order, "_pos")
     return numbered.where(F.col("_pos").between(first + 1, stop)).drop("_pos")
 

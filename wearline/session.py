@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "wearline", master: str | None = None, **settings: str) -> SparkSession:
@@ -53,6 +54,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
+    """As `stage`, with the number of rows, counted while they are written."""
+    observation = Observation()
+    staged = stage(df.observe(observation, F.count(F.lit(1)).alias("n")), name)
+    return staged, observation.get["n"]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
