@@ -183,10 +183,10 @@ def check_sequence_order(spark, sf):
 def feature_engineering(spark, sf):
     from wearline.operators.quality import constant_columns
 
-    panel = engine_panel(spark, sf).drop("event_id", "life", "cutoff")
+    panel = engine_panel(spark, sf).drop("event_id", "cutoff")
     sensors = [f"sensor_{i}" for i in range(1, 6)]
-    out = win.add_engine_features(panel, constant_columns(panel, sensors), with_life_share=True)
-    out = out.drop(*sensors, *SETTINGS)
+    out = win.add_engine_features(panel, constant_columns(panel, sensors), with_life_share=True, life="life")
+    out = out.drop(*sensors, *SETTINGS, "life")
     return rounded(out, out.columns[3:])
 
 

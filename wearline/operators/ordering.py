@@ -8,6 +8,7 @@ finds them, and one very long engine is spread over as many tasks as it has bloc
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping
 from functools import reduce
 
@@ -37,12 +38,13 @@ def groups_fit(df: DataFrame, keys: list[str], limit: int) -> bool:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).isEmpty()
 
 
-def split_by_size(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame | None, DataFrame | None]:
+def split_by_size(df: DataFrame, keys: list[str], limit: float) -> tuple[DataFrame | None, DataFrame | None]:
     """Rows of groups up to `limit`, and rows of larger groups; None where there are none.
 
     At most one group per `limit` rows can be large, which bounds the list of their keys.
+    An infinite limit says that the caller has checked the size.
     """
-    if df.count() <= limit:
+    if math.isinf(limit) or df.count() <= limit:
         return df, None
     if not keys:
         return None, df
@@ -78,7 +80,7 @@ def number_rows(
     order: list[str],
     name: str,
     total: str | None = None,
-    bounded_rows: int | None = None,
+    bounded_rows: float | None = None,
 ) -> DataFrame:
     """Dense positions 1..n per key in `order` (unique within a key), and n itself as `total`."""
     added = [name, *([total] if total else [])]
@@ -108,7 +110,7 @@ def running_total(
     amount: str,
     name: str,
     total: str | None = None,
-    bounded_rows: int | None = None,
+    bounded_rows: float | None = None,
 ) -> DataFrame:
     """Inclusive running sum of `amount` per key in `order` (unique within a key)."""
     added = [name, *([total] if total else [])]

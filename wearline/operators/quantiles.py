@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearline.operators.ordering import groups_fit, running_total
 from wearline.session import stage
 
-# Up to this many values in a group, `percentile` may hold them all in one buffer.
+# Groups with up to this many values are ordered by one window task each.
 BOUNDED_VALUES = 1_000_000
 SKETCH_ACCURACY = 10_000
 
@@ -37,31 +39,36 @@ def _collapse(df: DataFrame, columns: list[str], probs: list[float]) -> DataFram
     reach = 2.0 / SKETCH_ACCURACY
     asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-reach, reach)})
     sketch = df.agg(*[F.percentile_approx(_present(c), asked, SKETCH_ACCURACY).alias(c) for c in columns]).first()
-    brackets = {}
+    brackets = []
     for c in columns:
         at = dict(zip(asked, sketch[c] or []))
-        brackets[c] = sorted(
-            (at[max(0.0, p - reach)], at[min(1.0, p + reach)]) for p in probs if at
-        )
-    pairs = []
-    for c in columns:
-        value = _present(c)
-        floor, gap = F.lit(float("-inf")), F.lit(1)
-        for low, high in brackets[c]:
-            floor = F.when(value > high, F.lit(high)).otherwise(floor)
-            gap = F.when(value.between(low, high), F.lit(0)).otherwise(gap)
-        kept = F.when(gap == 0, value).otherwise(floor)
-        pairs.append(F.struct(F.lit(c).alias("column"), F.when(value.isNotNull(), kept).alias("value"), gap.alias("gap")))
-    return df.select(F.explode(F.array(*pairs)).alias("_pair")).select("_pair.*").where(F.col("value").isNotNull())
+        if at:
+            brackets.append((c, *[at[edge] for p in probs for edge in (max(0.0, p - reach), min(1.0, p + reach))]))
+    edges = [(f"_low{i}", f"_high{i}") for i in range(len(probs))]
+    schema = ", ".join(["column string", *[f"{low} double, {high} double" for low, high in edges]])
+    table = df.sparkSession.createDataFrame(brackets, schema)
+    value, inside, floor = F.col("value"), F.lit(False), [F.lit(float("-inf"))]
+    for low, high in edges:
+        inside = inside | value.between(F.col(low), F.col(high))
+        floor.append(F.when(value > F.col(high), F.col(high)))
+    joined = _long(df, columns, []).join(F.broadcast(table), "column")
+    return joined.select(
+        "column", F.when(inside, value).otherwise(F.greatest(*floor)).alias("value"), F.when(inside, 0).otherwise(1).alias("gap")
+    )
 
 
-def _pick(counted: DataFrame, by: list[str], names: list[str], probs: list[float], bounded_rows: int) -> DataFrame:
+def _pick(counted: DataFrame, by: list[str], names: list[str], probs: list[float], bounded_rows: float) -> DataFrame:
     """Values at the wanted ranks of (by, column), from counts per distinct value."""
     ranked = running_total(
         counted, [*by, "column"], ["value", "gap"], "n", "_upto", total="_n", bounded_rows=bounded_rows
     )
     last = F.col("_upto") - 1
     first = F.col("_upto") - F.col("n")
+    # Few rows hold a wanted rank; dropping the others first keeps the wide aggregation short.
+    near = F.lit(False)
+    for p in probs:
+        rank = (F.col("_n") - 1) * F.lit(float(p))
+        near = near | ((F.floor(rank) <= last) & (F.ceil(rank) >= first))
     aggregates = [F.max("_n").alias("n")]
     for i, p in enumerate(probs):
         rank = (F.col("_n") - 1) * F.lit(float(p))
@@ -69,7 +76,7 @@ def _pick(counted: DataFrame, by: list[str], names: list[str], probs: list[float
             hit = at.between(first, last)
             aggregates.append(F.max(F.when(hit, F.col("value"))).alias(f"_{side}{i}"))
             aggregates.append(F.max(F.when(hit, F.col("gap"))).alias(f"_{side}gap{i}"))
-    found = ranked.groupBy(*by, "column").agg(*aggregates)
+    found = ranked.where(near).groupBy(*by, "column").agg(*aggregates)
     result, missed = [], F.lit(0)
     for i, (name, p) in enumerate(zip(names, probs)):
         rank = (F.col("n") - 1) * F.lit(float(p))
@@ -90,27 +97,16 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group and column: `n` present values and the quantiles as `names`.
 
-    Groups of measured, moderate size go through `percentile`. Larger ones are counted per
-    distinct value, ordered by a range sort with running totals, and read off at their ranks,
-    so no task ever holds a group.
+    Values are counted per distinct value, ordered with running totals, and read off at their
+    ranks. Groups of measured, moderate size are ordered by a window each; larger ones by a
+    range sort, so that no task holds them, and whole columns first drop to the values near
+    the ranks. (The built-in `percentile` gives the same numbers from one buffer per group.)
     """
     by = list(by or [])
     limit = BOUNDED_VALUES if bounded_values is None else bounded_values
     if groups_fit(df, by, limit):
-        known = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in by))) if by else df
-        wide = known.groupBy(*by).agg(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.count(_present(c)).alias("n"),
-                    *[F.element_at(F.percentile(_present(c), F.array(*map(F.lit, probs))), i + 1).alias(name)
-                      for i, name in enumerate(names)],
-                ).alias(f"_{j}")
-                for j, c in enumerate(columns)
-            ]
-        )
-        stacked = wide.select(*by, F.explode(F.array(*[F.col(f"_{j}") for j in range(len(columns))])).alias("_s"))
-        return stacked.select(*by, "_s.*").where(F.col("n") > 0)
+        counted = _long(df, columns, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+        return _pick(counted.withColumn("gap", F.lit(0)), by, names, probs, math.inf).drop("_missed")
     if not by:
         near = stage(_collapse(df, columns, probs).groupBy("column", "value", "gap").agg(F.count(F.lit(1)).alias("n")))
         picked = _pick(near, by, names, probs, limit)

@@ -73,16 +73,27 @@ FEATURE_REACH = 4
 
 
 def add_engine_features(
-    df: DataFrame, constant: list[str], with_life_share: bool = False, keys=ENTITY, position=CYCLE, block_rows=None
+    df: DataFrame,
+    constant: list[str],
+    with_life_share: bool = False,
+    life: str | None = None,
+    keys=ENTITY,
+    position=CYCLE,
+    block_rows=None,
 ) -> DataFrame:
     """Drop constant sensors and add the engineered features in one pass.
 
-    The share of the engine's life leaks the target, so it is added on request only.
+    The share of the engine's life leaks the target, so it is added on request only. A `life`
+    column with the engine's last cycle, where there is one, saves looking that up.
     """
     kept = df.drop(*constant)
     features = engine_features(columns_with_prefix(kept.columns, "sensor_"), columns_with_prefix(kept.columns, "op_setting_"))
     out = over_series(kept, features, FEATURE_REACH, keys, position, block_rows)
-    return share_of_group_max(out, position, "cycle_pct_max", keys) if with_life_share else out
+    if not with_life_share:
+        return out
+    if life:
+        return out.withColumn("cycle_pct_max", F.col(position) / F.col(life))
+    return share_of_group_max(out, position, "cycle_pct_max", keys)
 
 
 def fill_series(

@@ -83,7 +83,7 @@ def prepare_complete(
     keys = list(keys or ENTITY)
     steps = ["load", "profile", "sort"]
     reports: dict = {"profile": profile(df)}
-    numbered = number_rows(df, keys, [CYCLE], "_pos")
+    numbered = stage(number_rows(df, keys, [CYCLE], "_pos"), "numbered")
     filled = stage(fill_missing(numbered, fill, keys, "_pos"), "filled")
     steps.append("fill")
     sensors = [c for c in numeric_columns(df.schema, (ENGINE_ID, CYCLE, *keys))]
