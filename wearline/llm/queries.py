@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import line_dedup, near_dedup, pii
+from wearline.llm import decontamination, line_dedup, near_dedup, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,12 +33,26 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "keeper")
 
 
+@query("op5_quality_crf")
+def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op7_line_dedup", line_dedup.ORACLE_SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.remove_repeated_windows(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("kept", F.lit(""))).alias("kept_md5"))
 
 
+@query("op9_benchmark_decontamination")
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.benchmark_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "end", "equal")
+
+
 @query("op10_pii_sanitisation")
 def op10_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
