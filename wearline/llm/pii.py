@@ -66,8 +66,8 @@ def _valid(kind: Column, match: Column) -> Column:
     )
 
 
-def base_spans(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """One row per base span: keys, start, end (exclusive, code points), kind (place in KINDS), value."""
+def documents_with_matches(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Keys, text and the matches of each kind, for documents that have any."""
     found = docs.select(
         *keys,
         text,
@@ -79,6 +79,11 @@ def base_spans(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     hit = F.lit(False)
     for k in KINDS:
         hit = hit | F.coalesce(F.size(f"__{k}") > 0, F.lit(False))
+    return found.where(hit)
+
+
+def base_spans(found: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """One row per base span: keys, start, end (exclusive, code points), kind (place in KINDS), value."""
     kinds = F.array(
         *(
             F.struct(F.lit(i).alias("kind"), F.col(f"__{k}").alias("matches"), F.split(text, PATTERNS[k], -1).alias("gaps"))
@@ -87,8 +92,7 @@ def base_spans(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     )
     # A row with many matches becomes one row per match and kind; the running sum gives the places.
     pieces = (
-        found.where(hit)
-        .select(*keys, F.inline(kinds))
+        found.select(*keys, F.inline(kinds))
         .where("size(matches) > 0")
         .select(*keys, "kind", F.posexplode(F.arrays_zip("gaps", "matches")).alias("i", "piece"))
         .where("piece.matches is not null")
@@ -106,10 +110,10 @@ def words(text: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= MIN_TERM)
 
 
-def _entity_lines(keyed: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
+def _entity_lines(found: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
     """Lines that hold a base span: keys, offset, line, entities, the words beside them."""
     held = spans.groupBy(*keys).agg(F.collect_list(F.struct("start", "end", "kind", "value")).alias("held"))
-    lines = keyed.join(held, keys).select(*keys, "held", F.posexplode(F.split("__text", "\n", -1)).alias("no", "line"))
+    lines = found.join(held, keys).select(*keys, "held", F.posexplode(F.split("__text", "\n", -1)).alias("no", "line"))
     before = Window.partitionBy(*keys).orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     lines = lines.withColumn("offset", F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)))
     inside = F.filter("held", lambda s: (s["start"] >= F.col("offset")) & (s["end"] <= F.col("offset") + F.length("line")))
@@ -181,11 +185,11 @@ def sanitise(
     keyed = docs.select(
         F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("__id"), F.xxhash64(whole).alias("__hash"), whole.alias("__text")
     )
-    # Rows equal in key and text would find every span twice.
-    spans = stage(base_spans(keyed, keys, "__text").dropDuplicates([*keys, "kind", "start"]), "pii-spans")
-    lines = stage(
-        _entity_lines(keyed.join(spans.select(*keys).distinct(), keys, "left_semi").dropDuplicates(keys), spans, keys), "pii-lines"
-    )
+    # The documents with matches are written once, so that whole texts are never shuffled; rows equal
+    # in key and text would find every span twice.
+    found = stage(documents_with_matches(keyed, keys, "__text").dropDuplicates(keys), "pii-documents")
+    spans = stage(base_spans(found, keys, "__text"), "pii-spans")
+    lines = stage(_entity_lines(found, spans, keys), "pii-lines")
     terms = disclosing_terms(keyed, lines, disclosure, support)
     names = F.array(*(F.lit(k) for k in [*KINDS, "term"]))
     every = spans.unionByName(term_spans(lines, terms, keys)).withColumn("name", F.get(names, F.col("kind")))
@@ -193,9 +197,9 @@ def sanitise(
     collected = every.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end", entry.alias("entry"), "value"))).alias("__found")
     )
-    out = docs.join(
-        collected, (F.coalesce(F.col(key).cast("string"), F.lit("null")) == F.col("__id")) & (F.xxhash64(whole) == F.col("__hash")), "left"
-    )
+    # Join on columns, not expressions, so that the text is not needed for the join itself.
+    named = docs.withColumns({"__id": F.coalesce(F.col(key).cast("string"), F.lit("null")), "__hash": F.xxhash64(whole)})
+    out = named.join(collected, keys, "left")
     found = F.coalesce("__found", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,entry:string,value:string>>"))
     out = out.withColumn("__found", found)
     count = lambda i: F.size(F.filter("__found", lambda s: s["kind"] == i)).cast("long")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import decontamination, line_dedup, near_dedup, packing, pii, quality
+from wearline.llm import decontamination, line_dedup, near_dedup, packing, pii, quality, warc
+from wearline.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +34,21 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "keeper")
 
 
+@query("op3_warc_round_trip")
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    got = warc.read_archives(spark, folder, verify="true").where(F.col("record_type").isin("response", "revisit"))
+    return got.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        # A revisit has no payload of its own; the HTTP header keeps the full length.
+        F.coalesce(F.length("payload").cast("long"), F.col("http_length")).alias("payload_bytes"),
+        F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 @query("op4_bm25_packing")
 def op4_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
