@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import decontamination, line_dedup, near_dedup, packing, pii, quality, warc
+from wearline.llm import decontamination, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, warc
 from wearline.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,12 @@ def op5_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op7_line_dedup", line_dedup.ORACLE_SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.remove_repeated_windows(table(spark, sf_dir, "documents").select("doc_id", "text"))
