@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import decontamination, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, warc
+from wearline.llm import decontamination, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, token_counts, vptree, warc
 from wearline.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,14 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "keeper")
 
 
+@query("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("edits", token_counts.derived_edits())
+    trees = token_counts.build(docs).withColumnRenamed("tokens", "tokens_before").withColumn("tokens", F.col("tokens_before"))
+    edited = token_counts.apply_edits(trees)
+    return edited.select("doc_id", "tokens_before", F.col("tokens").alias("tokens_after"), F.md5("text").alias("text_md5"), "encoded_again")
+
+
 @query("op3_warc_round_trip")
 def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "warc")
@@ -74,6 +82,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("kept", F.lit(""))).alias("kept_md5"))
 
 
+@query("op8_vantage_point_search")
+def op8_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 @query("op9_benchmark_decontamination")
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
