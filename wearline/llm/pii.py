@@ -158,12 +158,14 @@ def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, supp
 
 def term_spans(lines: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
     """Places of disclosing terms in the lines of their entities."""
+    # The exploded words carry no line; it is fetched for the few lines that have a flagged word.
     flagged = (
-        lines.select(*keys, "offset", "line", F.explode("entities").alias("entity"), "words")
-        .select(*keys, "offset", "line", "entity", F.explode("words").alias("word"))
+        lines.select(*keys, "offset", F.explode("entities").alias("entity"), "words")
+        .select(*keys, "offset", "entity", F.explode("words").alias("word"))
         .join(terms, ["entity", "word"])
-        .groupBy(*keys, "offset", "line")
+        .groupBy(*keys, "offset")
         .agg(F.collect_set("word").alias("flagged"))
+        .join(lines.select(*keys, "offset", "line"), [*keys, "offset"])
     )
     parts = flagged.select(
         *keys, "offset", "flagged", F.posexplode(F.split("line", r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})", -1)).alias("i", "part")
