@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
-from wearline.operators import joins, ordering, quantiles  # noqa: E402
+from wearline.operators import ordering, quantiles  # noqa: E402
 from wearline.session import build_session  # noqa: E402
 
 
@@ -35,7 +35,6 @@ def small():
 @pytest.fixture
 def small_limits(monkeypatch):
     """Make every size check fail, so that the ways for very large groups run."""
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(ordering, "BOUNDED_ROWS", 5)
     monkeypatch.setattr(ordering, "BLOCK_ROWS", 40)
     monkeypatch.setattr(quantiles, "BOUNDED_VALUES", 5)

@@ -160,6 +160,7 @@ def test_running_total_matches_pandas(spark, small_limits, monkeypatch, bounded_
     assert (got["whole"].to_numpy() == want.transform("sum").to_numpy()).all()
 
 
-def test_frames_longer_than_a_block_are_refused(spark):
-    with pytest.raises(ValueError):
-        rolling_mean(series(spark, [1.0]), ["sensor_1"], [5], block_rows=3)
+def test_frames_longer_than_a_block_make_blocks_longer(spark):
+    values = [float(v * v % 11) for v in range(40)]
+    got = by_cycle(rolling_mean(series(spark, values), ["sensor_1"], [5], block_rows=3), "sensor_1_rollmean5")
+    assert got == pytest.approx(pd.Series(values).rolling(5, min_periods=1).mean().tolist())

@@ -47,6 +47,25 @@ def test_truth_by_line(spark, tmp_path):
     assert got == {("FD001", 1, 112), ("FD001", 2, 98), ("FD001", 3, 69), ("FD002", 1, 5)}
 
 
+def test_unparsable_truth_lines_keep_their_engine(spark, tmp_path):
+    path = write_text(tmp_path, "RUL_FD001.txt", "112\n\nNA\n69\n82\n")
+    got = {tuple(r) for r in read_positional_truth(spark, [path]).collect()}
+    assert got == {("FD001", 1, 112), ("FD001", 2, None), ("FD001", 3, 69), ("FD001", 4, 82)}
+
+
+def test_tag_comes_from_the_file(spark, tmp_path):
+    (tmp_path / "FD009").mkdir()
+    path = write_text(tmp_path / "FD009", "RUL_FD001.txt", "1\n")
+    assert read_positional_truth(spark, [path]).first()["dataset_id"] == "FD001"
+    with pytest.raises(Exception, match="no data set tag"):
+        read_positional_truth(spark, [write_text(tmp_path, "RUL.txt", "1\n")]).collect()
+
+
+def test_nan_is_missing(spark, tmp_path):
+    row = read_engine_log(spark, write_text(tmp_path, "b.txt", "3 1 NaN nan 2.5\n")).first()
+    assert (row["op_setting_1"], row["op_setting_2"], row["op_setting_3"]) == (None, None, 2.5)
+
+
 def test_truth_of_a_file_read_in_many_splits(spark, tmp_path, small_limits):
     path = write_text(tmp_path, "RUL_FD001.txt", "".join(f"{i} \n" for i in range(5000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")

@@ -74,11 +74,10 @@ def test_grouped_quantiles(spark, limit):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limit", [0, 100])
-def test_attach(spark, how, limit):
+def test_attach(spark, how):
     df = spark.range(1000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7)).alias("k"), "id")
     side = spark.createDataFrame([(0, "zero"), (1, "one")], "k long, name string")
-    got = {tuple(r) for r in attach(df, side, ["k"], how, limit).select("k", "id", "name").collect()}
+    got = {tuple(r) for r in attach(df, side, ["k"], how).select("k", "id", "name").collect()}
     assert got == {tuple(r) for r in df.join(side, ["k"], how).select("k", "id", "name").collect()}
 
 
@@ -227,3 +226,54 @@ def test_membership_and_positions(spark):
 def test_downcast_types(spark):
     df = spark.createDataFrame([(0, -5, 300, 1.5), (126, 126, 70000, 2.5)], "a long, b long, c long, d double")
     assert [k for _, k in transforms.downcast(df).dtypes] == ["tinyint", "tinyint", "int", "float"]
+
+
+@pytest.mark.parametrize(
+    ("low", "high", "kind"),
+    [(0, 127, "tinyint"), (0, 128, "smallint"), (-128, 100, "tinyint"), (-129, 0, "smallint"), (0, 32767, "smallint"), (0, 32768, "int"),
+     (0, 2**31 - 1, "int"), (0, 2**31, "bigint"), (-(2**63), 0, "bigint")],
+)
+def test_narrowest_integer(low, high, kind):
+    assert transforms.narrowest_integer(low, high) == kind
+
+
+def test_statistics_of_degenerate_columns(spark):
+    empty = spark.createDataFrame([], "a double, b double")
+    assert [(r["n_missing"], r["pct_missing"]) for r in aggregates.null_counts(empty).collect()] == [(0, None), (0, None)]
+    assert [r["pct"] for r in quality.zscore_outliers(empty, ["a"]).collect()] == [None]
+    assert [r["n"] for r in quality.histogram(empty, "a", 3).orderBy("bin").collect()] == [0, 0, 0]
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "a double")
+    assert aggregates.distinct_counts(zeros, ["a"]).first()["n_distinct"] == 2
+    lines = spark.createDataFrame([(float(i), 2.0 * i, float(i * i % 7)) for i in range(1, 20)], "a double, b double, c double")
+    factors = {r["column"]: r["vif"] for r in quality.variance_inflation(lines, ["a", "b", "c"]).collect()}
+    assert factors["a"] == factors["b"] == math.inf and math.isfinite(factors["c"])
+    with pytest.raises(ValueError):
+        quality.density_grid(spark.createDataFrame([(1.0,), (1.0,)], "a double"), "a")
+
+
+def test_metrics_of_a_constant_target(spark):
+    df = spark.createDataFrame([(5.0, 4.0), (5.0, 6.0), (9.0, None)], "y double, p double")
+    row = rul.regression_metrics(df, "y", "p").first()
+    assert (row["n"], row["mse"], row["r2"]) == (2, 1.0, None)
+
+
+def test_null_reports(spark):
+    counts = aggregates.null_counts(spark.createDataFrame([(None, 1, None), (None, 2, 3)], "a int, b int, c int"))
+    assert [r["column"] for r in aggregates.columns_with_nulls(counts).collect()] == ["a", "c"]
+    assert aggregates.total_nulls(counts).first()["n_missing"] == 3
+
+
+def test_sparse_categories_of_any_number(spark):
+    df = spark.range(3000).select("id", F.format_string("c%04d", "id").alias("c"))
+    index = transforms.category_index(df, "c")
+    extra = df.unionByName(spark.createDataFrame([(-1, "unknown"), (-2, None)], "id long, c string"))
+    got = {r["id"]: (r["c_vector"]["size"], r["c_vector"]["ones"]) for r in transforms.one_hot_sparse(extra, "c", index).collect()}
+    assert got[0] == got[-1] == got[-2] == (2999, []) and got[2999] == (2999, [2998]) and len(got) == 3002
+
+
+def test_all_chosen_engines_are_shown(spark):
+    df = spark.createDataFrame([("FD001", e, c, 9 - c) for e in range(8) for c in range(3)], "dataset_id string, engine_id long, cycle long, RUL long")
+    assert alerts.rul_trend(df, df.select("dataset_id", "engine_id")).count() == 24
+    assert alerts.rul_trend(df).select("engine_id").distinct().count() == 5
+    assert alerts.rul_trend(df, df.where("engine_id > 99")).count() == 24
+    assert alerts.latest_zones(df, edges=[-1, 7, 100], labels=["Low", "High"]).where("Alert = 'Low'").count() == 8

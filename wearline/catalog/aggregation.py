@@ -95,7 +95,7 @@ def inf_nan_counts(spark, sf):
     panel = engine_panel(spark, sf)
     marked = panel.withColumn("sensor_1", F.when(F.col("sensor_1") == 0, F.lit(float("inf"))).otherwise(F.col("sensor_1")))
     table_part = agg.infinite_and_nan_counts(marked, ["sensor_1"]).withColumnRenamed("n_nan", "n_missing")
-    windows = sequences.missing_in_windows(sequences.rolling_sequences(panel, ["sensor_3"]))
+    windows = sequences.missing_in_windows(sequences.rolling_sequences(panel, ["sensor_3"], dense=True))
     return table_part.unionByName(
         windows.select(F.lit("windows of sensor_3").alias("column"), F.lit(0).cast("long").alias("n_inf"), "n_missing")
     )
@@ -142,7 +142,7 @@ SELECT dataset_id, engine_id, round(avg(sensor_1), 6) AS sensor_1_mean, round(av
 FROM panel WHERE cycle >= 30 GROUP BY 1, 2""")
 def engine_mean_vector(spark, sf):
     features = ["sensor_1", "sensor_2", "sensor_3"]
-    means = sequences.engine_mean_vectors(sequences.rolling_sequences(engine_panel(spark, sf), features), features)
+    means = sequences.engine_mean_vectors(sequences.rolling_sequences(engine_panel(spark, sf), features, dense=True), features)
     return rounded(means, [f"{f}_mean" for f in features])
 
 

@@ -120,7 +120,7 @@ def split_by_engine(spark, sf):
 @query("split_chronological", PANEL_SQL + f"""
 SELECT {KEY}, cycle <= floor(max(cycle) OVER ({ENGINE}) * 0.8) AS is_train FROM panel""")
 def split_chronological(spark, sf):
-    return splits.split_chronological(engine_panel(spark, sf).select(*ENTITY, "cycle"))
+    return splits.split_chronological(engine_panel(spark, sf).select(*ENTITY, "cycle"), dense=True)
 
 
 BALANCED_SQL = """
@@ -151,6 +151,24 @@ def class_balance(spark, sf):
     return rows.union_all(before, after.select(F.lit("after").alias("stage"), "quality", "n"))
 
 
+CLASSES_SQL = """
+WITH c AS (SELECT doc_id, CASE WHEN quality = 1 THEN CASE toxic WHEN 0 THEN 'good' ELSE 'rude' END WHEN toxic = 0 THEN 'poor' END AS class FROM labels),
+s AS (SELECT class, count(*) AS n, max(count(*)) OVER () AS top FROM c WHERE class IS NOT NULL GROUP BY 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY doc_id) AS no FROM c JOIN s USING (class) WHERE n < top),
+draws AS (SELECT class, n, unnest(generate_series(1, top)) AS draw FROM s WHERE n < top),
+picked AS (SELECT class, draw, (draw * 48271 + 42) % 2147483647 % n + 1 AS no FROM draws)
+SELECT doc_id, class, cast(0 AS bigint) AS draw FROM c LEFT JOIN s USING (class) WHERE class IS NULL OR n = top
+UNION ALL SELECT doc_id, class, draw FROM picked JOIN numbered USING (class, no)
+"""
+
+
+@query("oversample_classes", CLASSES_SQL)
+def oversample_classes(spark, sf):
+    """Three classes and rows without one."""
+    label = F.when(F.col("quality") == 1, F.when(F.col("toxic") == 0, "good").otherwise("rude")).when(F.col("toxic") == 0, "poor")
+    return splits.oversample_minority(table(spark, sf, "labels").select("doc_id", label.alias("class")), "class", "doc_id")
+
+
 def _steps_sql(c: str) -> str:
     return f"""
 f_{c} AS (SELECT p_partkey, coalesce({c}, (SELECT avg({c}) FROM p)) AS v FROM p),

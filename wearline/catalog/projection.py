@@ -199,15 +199,22 @@ def sample_n(spark, sf):
     return sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 50)
 
 
+EDGE_VALUES = {"to_127": 127, "to_128": 128, "to_32767": 32767, "to_32768": 32768}
+WHOLE = ["l_orderkey", "l_partkey", "l_suppkey", *EDGE_VALUES]
+
+
 def _kind_sql(c: str) -> str:
-    return (f"SELECT '{c}' AS \"column\", CASE WHEN max({c}) < 127 THEN 'tinyint' WHEN max({c}) < 255 THEN 'smallint' "
-            f"ELSE 'int' END AS kind, cast(sum({c}) AS double) AS total FROM lineitem")
+    source = f"(SELECT least(l_orderkey, {EDGE_VALUES[c]}) AS {c} FROM lineitem)" if c in EDGE_VALUES else "lineitem"
+    fits = " ".join(f"WHEN min({c}) >= -{1 << bits - 1} AND max({c}) <= {(1 << bits - 1) - 1} THEN '{kind}'"
+                    for kind, bits in (("tinyint", 8), ("smallint", 16), ("int", 32)))
+    return f"SELECT '{c}' AS \"column\", CASE {fits} ELSE 'bigint' END AS kind, cast(sum({c}) AS double) AS total FROM {source}"
 
 
-@query("downcast_types", " UNION ALL ".join(_kind_sql(c) for c in ("l_orderkey", "l_partkey", "l_suppkey")) + """
+@query("downcast_types", " UNION ALL ".join(map(_kind_sql, WHOLE)) + """
 UNION ALL SELECT 'l_quantity', 'float', sum(cast(l_quantity AS float)) FROM lineitem""")
 def downcast_types(spark, sf):
-    small = downcast(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"))
+    edges = [F.least("l_orderkey", F.lit(v)).alias(c) for c, v in EDGE_VALUES.items()]
+    small = downcast(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", *edges, "l_quantity"))
     totals = small.agg(*[
         F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("kind"),
                  F.sum(F.col(f.name).cast("double")).alias("total")).alias(f"_{i}")

@@ -41,7 +41,7 @@ def pred_vs_actual(spark, sf):
 
 def _windows(spark, sf):
     panel = engine_panel(spark, sf).withColumn(RUL, (F.col("life") - F.col("cycle")).cast("double"))
-    seqs = rolling_sequences(panel, FEATURES, carry=[RUL])
+    seqs = rolling_sequences(panel, FEATURES, carry=[RUL], dense=True)
     return seqs, stage(learning.window_features(seqs, FEATURES, [*CYCLES, RUL]), "features")
 
 

@@ -8,6 +8,7 @@ from wearline.catalog.registry import ENGINE, PANEL_SQL, SERIES, frame, query, r
 from wearline.operators import sequences as seq
 from wearline.operators import windows as win
 from wearline.operators.ordering import number_rows
+from wearline.operators.splits import split_chronological
 from wearline.panel import engine_panel
 from wearline.plans.rul import train_rul
 from wearline.schema import ENTITY, RUL
@@ -31,7 +32,7 @@ def _diff(c: str) -> str:
 SELECT {KEY}, {', '.join(f"{_mean(c, n)} AS {c}_rollmean{n}" for c in ('sensor_1', 'sensor_3') for n in (3, 5))} FROM panel""")
 def rolling_mean(spark, sf):
     panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "sensor_1", "sensor_3")
-    out = win.rolling_mean(panel, ["sensor_1", "sensor_3"], [3, 5]).drop("sensor_1", "sensor_3")
+    out = win.rolling_mean(panel, ["sensor_1", "sensor_3"], [3, 5], dense=True).drop("sensor_1", "sensor_3")
     return rounded(out, out.columns[3:])
 
 
@@ -40,7 +41,7 @@ SELECT {KEY}, {_std('sensor_1', 3)} AS sensor_1_rollstd3, {_std('sensor_1', 5)}
        coalesce({_std('sensor_1', 3)}, 0) AS filled FROM panel""")
 def rolling_std(spark, sf):
     panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "sensor_1")
-    out = win.rolling_std(panel, ["sensor_1"], [3, 5]).drop("sensor_1")
+    out = win.rolling_std(panel, ["sensor_1"], [3, 5], dense=True).drop("sensor_1")
     out = out.withColumn("filled", F.coalesce("sensor_1_rollstd3", F.lit(0.0)))
     return rounded(out, out.columns[3:])
 
@@ -48,7 +49,7 @@ def rolling_std(spark, sf):
 @query("lag_diff", PANEL_SQL + f"SELECT {KEY}, {_diff('sensor_1')} AS sensor_1_diff1, {_diff('sensor_2')} AS sensor_2_diff1 FROM panel")
 def lag_diff(spark, sf):
     panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "sensor_1", "sensor_2")
-    out = win.difference(panel, ["sensor_1", "sensor_2"]).drop("sensor_1", "sensor_2")
+    out = win.difference(panel, ["sensor_1", "sensor_2"], dense=True).drop("sensor_1", "sensor_2")
     return rounded(out, out.columns[3:])
 
 
@@ -70,7 +71,7 @@ def rolling_opsettings(spark, sf):
     panel = engine_panel(spark, sf).select(*ENTITY, "cycle", *SETTINGS)
     features = {f"{c}_rollmean3": win.rolling_mean_of(c, 3) for c in ["cycle", *SETTINGS]}
     features |= {f"{c}_diff1": win.difference_of(c) for c in SETTINGS}
-    out = win.over_series(panel, features, 2, ENTITY, "cycle").drop(*SETTINGS)
+    out = win.over_series(panel, features, 2, ENTITY, "cycle", dense=True).drop(*SETTINGS)
     return rounded(out, out.columns[3:])
 
 
@@ -125,7 +126,7 @@ def _weighted(i: int):
 SELECT {KEY}, n_steps, round(weighted_sensor_1, 4) AS weighted_1, round(weighted_sensor_2, 4) AS weighted_2
 FROM s WHERE n_steps = 30""")
 def rolling_sequences(spark, sf):
-    made = seq.rolling_sequences(engine_panel(spark, sf), ["sensor_1", "sensor_2"])
+    made = seq.rolling_sequences(engine_panel(spark, sf), ["sensor_1", "sensor_2"], dense=True)
     out = made.select(*ENTITY, "cycle", F.size("seq").cast("long").alias("n_steps"),
                       _weighted(0).alias("weighted_1"), _weighted(1).alias("weighted_2"))
     return rounded(out, ["weighted_1", "weighted_2"], 4)
@@ -135,14 +136,14 @@ def rolling_sequences(spark, sf):
 SELECT {KEY}, row_number() OVER (ORDER BY dataset_id, engine_id, cycle) - 1 AS sequence_idx FROM panel WHERE cycle >= 30""")
 def sequence_index(spark, sf):
     panel = engine_panel(spark, sf)
-    return seq.with_sequence_index(seq.rolling_sequences(panel, ["sensor_1"]), panel).drop("seq")
+    return seq.with_sequence_index(seq.rolling_sequences(panel, ["sensor_1"], dense=True), panel, dense=True).drop("seq")
 
 
 @query("forecast_windows", PANEL_SQL + f"""
 , f AS (SELECT {KEY}, {', '.join(f'lag(sensor_1, {6 - i}) OVER ({SERIES}) AS x{i}' for i in range(1, 6))}, sensor_1 AS y FROM panel)
 SELECT * FROM f WHERE cycle > 5""")
 def forecast_windows(spark, sf):
-    made = seq.forecast_windows(engine_panel(spark, sf), "sensor_1", 5)
+    made = seq.forecast_windows(engine_panel(spark, sf), "sensor_1", 5, dense=True)
     return made.select(*ENTITY, "cycle", *[F.col("x")[i - 1].alias(f"x{i}") for i in range(1, 6)], "y")
 
 
@@ -169,7 +170,7 @@ def check_sequence_order(spark, sf):
     panel = engine_panel(spark, sf)
     arrived = number_rows(panel.select(*ENTITY, "cycle", "event_id"), ENTITY, ["event_id"], "arrival")
     orders = seq.order_report(arrived, position="arrival", value="cycle")
-    lengths = seq.length_report(seq.rolling_sequences(panel, ["sensor_1"]))
+    lengths = seq.length_report(seq.rolling_sequences(panel, ["sensor_1"], dense=True))
     return orders.select("*", *[lengths.select(c).scalar().alias(c) for c in lengths.columns])
 
 
@@ -185,7 +186,7 @@ def feature_engineering(spark, sf):
 
     panel = engine_panel(spark, sf).drop("event_id", "cutoff")
     sensors = [f"sensor_{i}" for i in range(1, 6)]
-    out = win.add_engine_features(panel, constant_columns(panel, sensors), with_life_share=True, life="life")
+    out = win.add_engine_features(panel, constant_columns(panel, sensors), with_life_share=True, life="life", dense=True)
     out = out.drop(*sensors, *SETTINGS, "life")
     return rounded(out, out.columns[3:])
 
@@ -199,12 +200,48 @@ SELECT t.t, f, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM (
 GROUP BY 1, 2""")
 def window_position_stats(spark, sf):
     features = ["sensor_1", "sensor_2"]
-    made = seq.rolling_sequences(engine_panel(spark, sf), features)
+    made = seq.rolling_sequences(engine_panel(spark, sf), features, dense=True)
     return rounded(seq.position_stats(made, features), ["mean", "std"])
 
 
 @query("rul_on_sequences", PANEL_SQL + f"""
 SELECT {KEY}, max(cycle) OVER ({ENGINE}) - cycle AS "RUL" FROM panel WHERE cycle >= 30""")
 def rul_on_sequences(spark, sf):
-    made = seq.rolling_sequences(engine_panel(spark, sf), ["sensor_1"])
+    made = seq.rolling_sequences(engine_panel(spark, sf), ["sensor_1"], dense=True)
     return train_rul(made.select(*ENTITY, "cycle"))
+
+
+GAPS_SQL = PANEL_SQL.replace("test AS (", "gaps AS (SELECT * FROM panel WHERE cycle >= 7 AND cycle % 5 <> 0),\ntest AS (")
+
+
+def _panel_with_gaps(spark, sf):
+    """Cycles start at 7 and every fifth is missing."""
+    return engine_panel(spark, sf).where("cycle >= 7 AND cycle % 5 <> 0")
+
+
+@query("rolling_with_gaps", GAPS_SQL + f"""
+SELECT {KEY}, {_mean('sensor_1', 3)} AS sensor_1_rollmean3, {_mean('sensor_1', 5)} AS sensor_1_rollmean5,
+       {_diff('sensor_2')} AS sensor_2_diff1 FROM gaps""")
+def rolling_with_gaps(spark, sf):
+    panel = _panel_with_gaps(spark, sf).select(*ENTITY, "cycle", "sensor_1", "sensor_2")
+    out = win.difference(win.rolling_mean(panel, ["sensor_1"], [3, 5]), ["sensor_2"]).drop("sensor_1", "sensor_2")
+    return rounded(out, out.columns[3:])
+
+
+@query("sequences_with_gaps", GAPS_SQL + f"""
+, s AS (SELECT dataset_id, engine_id, cycle, count(*) OVER {frame(12)} AS n_steps, avg(sensor_1) OVER {frame(12)} AS mean_1,
+        row_number() OVER ({SERIES}) AS place FROM gaps),
+w AS (SELECT *, row_number() OVER (ORDER BY dataset_id, engine_id, cycle) - 1 AS sequence_idx FROM s WHERE n_steps = 12)
+SELECT {KEY}, n_steps, round(mean_1, 6) AS mean_1, sequence_idx FROM w""")
+def sequences_with_gaps(spark, sf):
+    panel = _panel_with_gaps(spark, sf)
+    made = seq.with_sequence_index(seq.rolling_sequences(panel, ["sensor_1"], size=12), panel, size=12)
+    total = F.aggregate("seq", F.lit(0.0), lambda a, s: a + s[0])
+    out = made.select(*ENTITY, "cycle", F.size("seq").cast("long").alias("n_steps"), (total / 12).alias("mean_1"), "sequence_idx")
+    return rounded(out, ["mean_1"])
+
+
+@query("split_with_gaps", GAPS_SQL + f"""
+SELECT {KEY}, row_number() OVER ({SERIES}) <= floor(count(*) OVER ({ENGINE}) * 0.8) AS is_train FROM gaps""")
+def split_with_gaps(spark, sf):
+    return split_chronological(_panel_with_gaps(spark, sf).select(*ENTITY, "cycle"))

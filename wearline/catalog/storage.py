@@ -8,6 +8,7 @@ from wearline.catalog.registry import ENGINE, PANEL_SQL, SERIES, frame, query, r
 from wearline.operators.aggregates import max_cycle
 from wearline.operators.joins import attach
 from wearline.operators.sequences import rolling_sequences
+from wearline.operators.ordering import number_rows
 from wearline.panel import engine_panel, table, test_panel, truth
 from wearline.schema import ENTITY, OP_SETTINGS
 from wearline.session import fresh_path
@@ -19,7 +20,8 @@ def _log_lines(panel, engine):
     """Panel rows as raw log lines: 26 fields, uneven blanks, a mark where a value is missing."""
     fields = [engine, F.col("cycle"), *[F.col(c) for c in OP_SETTINGS], *[F.col(f"sensor_{i}") for i in range(1, 6)]]
     fields += [F.col("sensor_5") + i for i in range(6, 22)]
-    text = [F.coalesce(f.cast("string"), F.lit("NA")) for f in fields]
+    # Both an unknown word and NaN stand for a missing value.
+    text = [F.coalesce(f.cast("string"), F.when(F.col("cycle") % 2 == 0, "NA").otherwise("NaN")) for f in fields]
     return F.concat(F.lit(" "), F.concat_ws("  ", *text), F.lit("  ")).alias("value")
 
 
@@ -50,11 +52,14 @@ def src_multi_dataset_union(spark, sf):
 
 @query("src_positional_truth", PANEL_SQL + """
 , t AS (SELECT dataset_id, engine_id, max(life) - max(cutoff) AS rul_true FROM panel GROUP BY 1, 2)
-SELECT dataset_id, row_number() OVER (PARTITION BY dataset_id ORDER BY engine_id) AS engine_id, rul_true FROM t""")
+, n AS (SELECT dataset_id, row_number() OVER (PARTITION BY dataset_id ORDER BY engine_id) AS engine_id, rul_true FROM t)
+SELECT dataset_id, engine_id, CASE WHEN engine_id % 7 <> 3 THEN rul_true END AS rul_true FROM n""")
 def src_positional_truth(spark, sf):
+    """Every seventh line does not parse; the engines after it keep their own truth."""
     path = fresh_path(spark, "truth")
-    lines = truth(engine_panel(spark, sf)).select(
-        F.concat(F.col("rul_true").cast("string"), F.lit(" ")).alias("value"),
+    known = number_rows(truth(engine_panel(spark, sf)), ["dataset_id"], ["engine_id"], "_line")
+    lines = known.select(
+        F.when(F.col("_line") % 7 == 3, "NA").otherwise(F.concat(F.col("rul_true").cast("string"), F.lit(" "))).alias("value"),
         F.concat(F.lit("RUL_"), F.col("dataset_id"), F.lit(".txt")).alias("file"),
         "engine_id",
     )
@@ -81,7 +86,7 @@ WEIGHTED = """cycle, count(*) OVER w AS n_steps,
 SELECT dataset_id, engine_id, cycle, n_steps, round(weighted, 4) AS weighted FROM s WHERE n_steps = 30""")
 def src_sequence_table(spark, sf):
     path = fresh_path(spark, "sequences")
-    write_sequences(rolling_sequences(engine_panel(spark, sf), ["sensor_1", "sensor_2"]), path)
+    write_sequences(rolling_sequences(engine_panel(spark, sf), ["sensor_1", "sensor_2"], dense=True), path)
     seqs = read_sequences(spark, path)
     terms = F.transform("seq", lambda s, t: (t + 1) * s[0])
     weighted = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)

@@ -84,16 +84,28 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Missing values per column with their share in percent; one pass over the data."""
+    """Missing values per column with their share in percent; one pass over the data.
+
+    An empty table has counts of 0 and no share.
+    """
     columns = columns or df.columns
     counted = df.agg(
         *[F.struct(F.lit(c).alias("column"), F.count_if(F.col(c).isNull()).alias("n_missing"),
-                   (100.0 * F.count_if(F.col(c).isNull()) / F.count(F.lit(1))).alias("pct_missing")).alias(f"_{j}")
+                   (100.0 * F.try_divide(F.count_if(F.col(c).isNull()), F.count(F.lit(1)))).alias("pct_missing")).alias(f"_{j}")
           for j, c in enumerate(columns)]
     )
     return stack(counted, [], len(columns))
 
 
+def columns_with_nulls(counts: DataFrame) -> DataFrame:
+    """Of null counts, the columns that have any, most first."""
+    return counts.where("n_missing > 0").orderBy(F.col("n_missing").desc(), "column")
+
+
+def total_nulls(counts: DataFrame) -> DataFrame:
+    return counts.agg(F.coalesce(F.sum("n_missing"), F.lit(0)).alias("n_missing"))
+
+
 def infinite_and_nan_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     counted = df.agg(
         *[F.struct(F.lit(c).alias("column"), F.count_if(is_infinite(c)).alias("n_inf"),
@@ -109,7 +121,10 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     The values are made rows first, so that one shuffle on (column, value) serves all columns
     and repeated values are combined before it.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    kinds = dict(df.dtypes)
+    # -0.0 equals 0.0 but is written otherwise.
+    plain = {c: F.col(c) + 0.0 if kinds[c] in ("double", "float") else F.col(c) for c in columns}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), plain[c].cast("string").alias("value")) for c in columns])
     values = df.select(F.explode(pairs).alias("_p")).select("_p.*").distinct()
     return values.groupBy("column").agg(F.count("value").alias("n_distinct"))
 

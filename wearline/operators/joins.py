@@ -3,31 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from wearline.session import stage_counted
 
-BROADCAST_ROWS = 100_000
-SALTS = 64
+def attach(df: DataFrame, side: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join `side`, one row per key, to `df`.
 
-
-def attach(
-    df: DataFrame,
-    side: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    broadcast_rows: int | None = None,
-) -> DataFrame:
-    """Join the smaller `side`, as a rule one row per key, to `df`.
-
-    The side is written once and counted. Up to `broadcast_rows` it is broadcast and `df`
-    does not move. Beyond that both sides are shuffled by key and salt, so that a key which
-    holds a large share of the rows is spread over `SALTS` tasks.
+    A plain join: adaptive execution measures the side's bytes and broadcasts it where they are few,
+    and splits the partitions of a key that holds a large share of the rows where they are not.
     """
-    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    side, rows = stage_counted(side, "side")
-    if rows <= limit:
-        return df.join(F.broadcast(side), on, how)
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.hint("merge").join(copies, [*on, "_salt"], how).drop("_salt")
+    return df.join(side, list(on), how)

@@ -142,9 +142,8 @@ def lay_blocks(df: DataFrame, position: str, before: int, block_rows: int | None
     `position` must be dense per series. Copies carry `_own` = false and are dropped after
     the window expressions are computed.
     """
-    rows = BLOCK_ROWS if block_rows is None else block_rows
-    if before > rows:
-        raise ValueError("a frame must not look back further than one block")
+    # A frame may look back further than the usual block; blocks are then that long.
+    rows = max(BLOCK_ROWS if block_rows is None else block_rows, before)
     home = block_of(position, rows)
     if before == 0:
         return df.withColumn("_block", home).withColumn("_own", F.lit(True))
@@ -164,8 +163,16 @@ def over_series(
     keys: list[str],
     position: str,
     block_rows: int | None = None,
+    dense: bool = False,
 ) -> DataFrame:
-    """Add window features to each row: one shuffle and one sort for all of them."""
+    """Add window features to each row: one shuffle and one sort for all of them.
+
+    `dense` says that `position` counts an engine's rows from 1. Otherwise the rows are numbered in
+    its order first, so that gaps, late starts and any first value are fine.
+    """
+    if not dense:
+        numbered = number_rows(df, list(keys), [position], "_place")
+        return over_series(numbered, features, before, keys, "_place", block_rows, True).drop("_place")
     w = series_window(keys, position)
     laid = lay_blocks(df, position, before, block_rows)
     added = laid.select(*df.columns, "_own", *[make(w).alias(name) for name, make in features.items()])

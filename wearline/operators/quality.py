@@ -116,7 +116,7 @@ def iqr_bounds(df: DataFrame, columns: list[str], k: float = 1.5) -> dict[str, t
 def _outlier_rows(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
     counted = df.agg(
         *[F.struct(F.lit(c).alias("column"), F.count_if(flag).alias("n_outliers"),
-                   (100.0 * F.count_if(flag) / F.count(F.lit(1))).alias("pct")).alias(f"_{j}")
+                   (100.0 * F.try_divide(F.count_if(flag), F.count(F.lit(1)))).alias("pct")).alias(f"_{j}")
           for j, (c, flag) in enumerate(flags.items())]
     )
     return stack(counted, [], len(flags))
@@ -154,6 +154,21 @@ def cap_outliers(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame
     return df.withColumns({c: clip(c, lo, hi) for c, (lo, hi) in iqr_bounds(df, columns, k).items()})
 
 
+def inflation_factor(gram: np.ndarray, i: int) -> float:
+    """Of column i in a matrix of column products; infinite where the others determine it.
+
+    1 / (1 - R2) of the regression on the other columns, whose own dependences do not matter.
+    """
+    rest = [j for j in range(len(gram)) if j != i]
+    if not gram[i, i] > 0:
+        return float("nan")
+    # Columns of very different sizes are brought to length 1 first.
+    length = np.sqrt(np.maximum(np.diag(gram), np.finfo(float).tiny))
+    unit = gram / np.outer(length, length)
+    left = 1 - unit[i, rest] @ np.linalg.pinv(unit[np.ix_(rest, rest)], rcond=1e-12, hermitian=True) @ unit[rest, i] if rest else 1.0
+    return float("inf") if left < 1e-10 else float(1 / left)
+
+
 def variance_inflation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Variance inflation factor per column without intercept.
 
@@ -167,8 +182,8 @@ def variance_inflation(df: DataFrame, columns: list[str]) -> DataFrame:
     sums = filled.agg(
         *[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"{i}_{j}") for i in range(k) for j in range(i, k)]
     ).first()
-    gram = np.array([[sums[f"{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
-    factors = np.diag(gram) * np.diag(np.linalg.inv(gram))
+    gram = np.array([[sums[f"{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
+    factors = [inflation_factor(gram, i) for i in range(k)]
     schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("vif", T.DoubleType())])
     return df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(columns, factors)], schema)
 
@@ -176,6 +191,8 @@ def variance_inflation(df: DataFrame, columns: list[str]) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width counts; the last bin includes the maximum and empty bins show zero."""
     low, high = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
+    if low is None:  # nothing present: empty bins over the unit interval
+        low, high = 0.0, 1.0
     width = (high - low) / bins if high > low else 1.0 / bins
     low = low if high > low else low - 0.5
     place = F.least(F.floor((F.col(column) - low) / width), F.lit(bins - 1)).cast("long")
@@ -190,18 +207,19 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def density_grid(df: DataFrame, column: str, points: int = 50) -> DataFrame:
     """Gaussian kernel density at equally spaced points, Scott bandwidth.
 
-    All points are sums of one aggregation over the distinct values, so rows never multiply.
+    All points are sums of one partial aggregation, so no value is shuffled.
     """
     n, std, low, high = df.agg(
         F.count(column), F.stddev_samp(column), F.min(column).cast("double"), F.max(column).cast("double")
     ).first()
+    if not std:
+        raise ValueError(f"{column} has no spread, so it has no density")
     h = std * n ** (-0.2)
     step = (high - low) / (points - 1)
     scale = 1.0 / (n * h * float(np.sqrt(2 * np.pi)))
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    sums = values.agg(
+    sums = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x")).agg(
         *[F.struct(F.lit(i).cast("long").alias("point"), F.lit(low + i * step).alias("x"),
-                   (F.sum(F.col("n") * F.exp(-0.5 * F.pow((F.lit(low + i * step) - F.col("x")) / h, F.lit(2.0)))) * scale)
+                   (F.sum(F.exp(-0.5 * F.pow((F.lit(low + i * step) - F.col("x")) / h, F.lit(2.0)))) * scale)
                    .alias("density")).alias(f"_{i}") for i in range(points)]
     )
     return stack(sums, [], points)

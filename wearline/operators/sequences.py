@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearline.operators.joins import attach
-from wearline.operators.ordering import lay_blocks, over_series, running_total, series_window
+from wearline.operators.ordering import lay_blocks, number_rows, over_series, running_total, series_window
 from wearline.schema import CYCLE, ENTITY, WINDOW_SIZE, require_numeric
 
 
@@ -18,12 +18,18 @@ def rolling_sequences(
     position=CYCLE,
     carry: list[str] | None = None,
     block_rows: int | None = None,
+    dense: bool = False,
 ) -> DataFrame:
     """For each row with size-1 predecessors, the size x features block that ends there as `seq`.
 
-    `position` must be dense per engine; engines shorter than `size` give no row.
+    Engines shorter than `size` give no row. `dense` says that `position` counts an engine's rows
+    from 1; otherwise they are numbered in its order.
     """
     require_numeric(df.schema, features)
+    if not dense:
+        numbered = number_rows(df.select(*dict.fromkeys([*keys, position, *features, *(carry or [])])), list(keys), [position], "_place")
+        carried = [c for c in [position, *(carry or [])]]
+        return rolling_sequences(numbered, features, size, keys, "_place", carried, block_rows, True).drop("_place")
     kept = [*keys, position, *(carry or [])]
     step = F.array(*[F.col(c).cast("double") for c in features])
     narrow = df.select(*kept, step.alias("_step"))
@@ -33,18 +39,28 @@ def rolling_sequences(
     return seqs.where(F.col("_own") & (F.col(position) >= size)).drop("_own")
 
 
-def with_sequence_index(seqs: DataFrame, df: DataFrame, size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE) -> DataFrame:
+def with_sequence_index(
+    seqs: DataFrame, df: DataFrame, size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE, dense: bool = False
+) -> DataFrame:
     """Number all windows from 0 in (engine, cycle) order: windows of earlier engines plus own place."""
-    counts = df.groupBy(*keys).agg((F.max(position) - (size - 1)).alias("_windows")).where("_windows > 0")
+    counts = df.groupBy(*keys).agg((F.count(F.lit(1)) - (size - 1)).alias("_windows")).where("_windows > 0")
+    if not dense:
+        seqs = number_rows(seqs, list(keys), [position], "_place")
     offsets = running_total(counts, [], list(keys), "_windows", "_upto")
     placed = attach(seqs, offsets.select(*keys, (F.col("_upto") - F.col("_windows")).alias("_before")), keys)
-    return placed.withColumn("sequence_idx", F.col("_before") + F.col(position) - size).drop("_before")
+    place = F.col(position) - size if dense else F.col("_place") - 1
+    return placed.withColumn("sequence_idx", F.col("_before") + place).drop("_before", "_place")
 
 
 def forecast_windows(
-    df: DataFrame, column: str, length: int, keys=ENTITY, position=CYCLE, block_rows: int | None = None
+    df: DataFrame, column: str, length: int, keys=ENTITY, position=CYCLE, block_rows: int | None = None, dense: bool = False
 ) -> DataFrame:
     """The previous `length` values as `x` and the current one as `y`, where all exist."""
+    if not dense:
+        numbered = number_rows(df.select(*keys, position, column), list(keys), [position], "_place")
+        made = forecast_windows(numbered.withColumnRenamed(position, "_was"), column, length, keys, "_place", block_rows, True)
+        was = numbered.select(*keys, "_place", position)
+        return attach(made, was, [*keys, "_place"]).select(*keys, position, "y", "x")
     w = series_window(keys, position).rowsBetween(-length, -1)
     laid = lay_blocks(df.select(*keys, position, column), position, length, block_rows)
     made = laid.select(*keys, position, "_own", F.collect_list(F.struct(column)).over(w).alias("_x"), F.col(column).alias("y"))

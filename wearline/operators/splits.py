@@ -12,6 +12,9 @@ from wearline.operators.joins import attach
 from wearline.operators.ordering import number_rows
 from wearline.schema import CYCLE, ENTITY
 
+DRAW_BLOCK = 65_536
+DRAWS_PER_COPY = 1_000
+
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """n rows drawn by hashed key; n is the sample size the caller asks for."""
@@ -42,11 +45,18 @@ def split_by_engine(df: DataFrame, test_share: float, seed: int = 42, keys=ENTIT
     return attach(df, marked, list(keys))
 
 
-def split_chronological(df: DataFrame, train_share: float = 0.8, keys=ENTITY, position=CYCLE) -> DataFrame:
-    """Mark the first share of each engine's cycles as train; `position` is dense from 1."""
-    lengths = df.groupBy(*keys).agg(F.max(position).alias("_length"))
+def split_chronological(df: DataFrame, train_share: float = 0.8, keys=ENTITY, position=CYCLE, dense: bool = False) -> DataFrame:
+    """Mark the first share of each engine's rows as train.
+
+    `dense` says that `position` counts the rows from 1; otherwise they are numbered here.
+    """
+    if dense:
+        lengths = df.groupBy(*keys).agg(F.max(position).alias("_length"))
+        placed, place = attach(df, lengths, list(keys)), position
+    else:
+        placed, place = number_rows(df, list(keys), [position], "_place", total="_length"), "_place"
     limit = F.floor(F.col("_length") * F.lit(train_share))
-    return attach(df, lengths, list(keys)).withColumn("is_train", F.col(position) <= limit).drop("_length")
+    return placed.withColumn("is_train", F.col(place) <= limit).select(*df.columns, "is_train")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -54,16 +64,26 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def oversample_minority(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
-    """Majority rows plus as many minority rows drawn with replacement.
+    """Every smaller class drawn with replacement up to the size of the largest.
 
-    Draw i takes the minority row numbered hash(i) mod m. Draws are counted per row number
-    before the join and repeated after it. `draw` is 0 for majority rows.
+    Rows of the largest class (of all classes of that size) and rows without a label stay as they
+    are, with `draw` 0. Draw i of a class of m rows takes its row numbered hash(i) mod m. Draws are
+    made in blocks; a row that expects many draws is copied, so that no task gets all of them.
     """
-    sizes = sorted(((r["n"], r[label]) for r in class_balance(df, label).collect()))
-    (n_minor, minor), (n_major, major) = sizes[0], sizes[-1]
-    numbered = number_rows(df.where(F.col(label) == minor), [], [key], "_no")
-    draws = df.sparkSession.range(1, n_major + 1).select(
-        (modular_hash("id", seed) % n_minor + 1).alias("_no"), F.col("id").alias("draw")
+    present = df.where(F.col(label).isNotNull())
+    sizes = class_balance(present, label)
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    numbered = number_rows(present, [label], [key], "_no", total="_size")
+    parts = F.ceil(F.lit(largest) / (F.col("_size") * DRAWS_PER_COPY))
+    copies = numbered.where(F.col("_size") < largest).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    blocks = sizes.where(F.col("n") < largest).select(
+        label, F.col("n").alias("_size"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit((largest - 1) // DRAW_BLOCK))).alias("_block")
+    )
+    first = F.col("_block") * DRAW_BLOCK + 1
+    draws = blocks.select(label, "_size", F.explode(F.sequence(first, F.least(first + (DRAW_BLOCK - 1), F.lit(largest)))).alias("draw")).select(
+        label, (modular_hash("draw", seed) % F.col("_size") + 1).alias("_no"), (F.col("draw") % parts).alias("_copy"), "draw"
     )
-    drawn = numbered.join(draws, "_no").drop("_no")
-    return df.where(F.col(label) == major).withColumn("draw", F.lit(0).cast("long")).unionByName(drawn)
+    drawn = copies.join(draws, [label, "_no", "_copy"]).select(*df.columns, "draw")
+    largest_classes = sizes.where(F.col("n") == largest).select(label)
+    kept = df.where(F.col(label).isNull()).unionByName(df.join(largest_classes, label, "left_semi"))
+    return kept.withColumn("draw", F.lit(0).cast("long")).unionByName(drawn)

@@ -33,25 +33,26 @@ def difference_of(column: str) -> Feature:
     return lambda w: F.coalesce(F.col(column) - F.lag(column).over(w), F.lit(0.0))
 
 
-def rolling_mean(df: DataFrame, columns: list[str], sizes: list[int], keys=ENTITY, position=CYCLE, block_rows=None) -> DataFrame:
+def rolling_mean(df: DataFrame, columns: list[str], sizes: list[int], keys=ENTITY, position=CYCLE, block_rows=None, dense=False) -> DataFrame:
     features = {f"{c}_rollmean{n}": rolling_mean_of(c, n) for c in columns for n in sizes}
-    return over_series(df, features, max(sizes) - 1, keys, position, block_rows)
+    return over_series(df, features, max(sizes) - 1, keys, position, block_rows, dense)
 
 
 def rolling_std(
-    df: DataFrame, columns: list[str], sizes: list[int], first: float | None = None, keys=ENTITY, position=CYCLE, block_rows=None
+    df: DataFrame, columns: list[str], sizes: list[int], first: float | None = None, keys=ENTITY, position=CYCLE, block_rows=None, dense=False
 ) -> DataFrame:
     features = {f"{c}_rollstd{n}": rolling_std_of(c, n, first) for c in columns for n in sizes}
-    return over_series(df, features, max(sizes) - 1, keys, position, block_rows)
+    return over_series(df, features, max(sizes) - 1, keys, position, block_rows, dense)
 
 
-def difference(df: DataFrame, columns: list[str], keys=ENTITY, position=CYCLE, block_rows=None) -> DataFrame:
-    return over_series(df, {f"{c}_diff1": difference_of(c) for c in columns}, 1, keys, position, block_rows)
+def difference(df: DataFrame, columns: list[str], keys=ENTITY, position=CYCLE, block_rows=None, dense=False) -> DataFrame:
+    return over_series(df, {f"{c}_diff1": difference_of(c) for c in columns}, 1, keys, position, block_rows, dense)
 
 
 def share_of_group_max(df: DataFrame, column: str, name: str, keys=ENTITY) -> DataFrame:
+    """A maximum of 0 gives no share."""
     tops = df.groupBy(*keys).agg(F.max(column).alias("_top"))
-    return attach(df, tops, keys).withColumn(name, F.col(column) / F.col("_top")).drop("_top")
+    return attach(df, tops, keys).withColumn(name, F.try_divide(F.col(column), F.col("_top"))).drop("_top")
 
 
 def engine_features(sensors: list[str], settings: list[str]) -> dict[str, Feature]:
@@ -80,6 +81,7 @@ def add_engine_features(
     keys=ENTITY,
     position=CYCLE,
     block_rows=None,
+    dense=False,
 ) -> DataFrame:
     """Drop constant sensors and add the engineered features in one pass.
 
@@ -88,11 +90,11 @@ def add_engine_features(
     """
     kept = df.drop(*constant)
     features = engine_features(columns_with_prefix(kept.columns, "sensor_"), columns_with_prefix(kept.columns, "op_setting_"))
-    out = over_series(kept, features, FEATURE_REACH, keys, position, block_rows)
+    out = over_series(kept, features, FEATURE_REACH, keys, position, block_rows, dense)
     if not with_life_share:
         return out
     if life:
-        return out.withColumn("cycle_pct_max", F.col(position) / F.col(life))
+        return out.withColumn("cycle_pct_max", F.try_divide(F.col(position), F.col(life)))
     return share_of_group_max(out, position, "cycle_pct_max", keys)
 
 

@@ -16,8 +16,8 @@ CRITICAL_RUL = 20
 ZONE_EDGES = [-1, 10, 30, float("inf")]
 ZONE_LABELS = ["Critical", "Warning", "Safe"]
 ZONE_MESSAGES = {
-    "Critical": "URGENT: %d engine(s) CRITICAL (RUL <= 10)",
-    "Warning": "HIGH PRIORITY: %d engine(s) WARNING (10-30)",
+    "Critical": f"URGENT: %d engine(s) CRITICAL (RUL <= {ZONE_EDGES[1]})",
+    "Warning": f"HIGH PRIORITY: %d engine(s) WARNING ({ZONE_EDGES[1]}-{ZONE_EDGES[2]})",
     "Safe": "%d engine(s) SAFE",
 }
 TREND_ENGINES = 5
@@ -29,13 +29,13 @@ def risk_level(column: str = RUL, warning: float = WARNING_RUL, critical: float
     return F.when(value <= critical, "Critical").when(value <= warning, "Warning").otherwise("Normal")
 
 
-def alert_zone(column: str = RUL) -> Column:
-    return cut(column, ZONE_EDGES, ZONE_LABELS)
+def alert_zone(column: str = RUL, edges: list[float] | None = None, labels: list[str] | None = None) -> Column:
+    return cut(column, edges or ZONE_EDGES, labels or ZONE_LABELS)
 
 
-def latest_zones(df: DataFrame, keys=ENTITY, position=CYCLE) -> DataFrame:
+def latest_zones(df: DataFrame, keys=ENTITY, position=CYCLE, edges: list[float] | None = None, labels: list[str] | None = None) -> DataFrame:
     """The last row of each engine with its alert zone."""
-    return latest_rows(df.select(*keys, position, RUL), keys, position).withColumn("Alert", alert_zone())
+    return latest_rows(df.select(*keys, position, RUL), keys, position).withColumn("Alert", alert_zone(RUL, edges, labels))
 
 
 def zone_counts(zones: DataFrame) -> DataFrame:
@@ -63,16 +63,9 @@ def alert_board(zones: DataFrame, keys=ENTITY, position=CYCLE) -> DataFrame:
 
 
 def rul_trend(df: DataFrame, engines: DataFrame | None = None, keys=ENTITY, position=CYCLE) -> DataFrame:
-    """Series of up to five chosen engines, by default the first five; an empty choice shows all."""
-    chosen = first_engines(df, TREND_ENGINES, keys) if engines is None else engines.limit(TREND_ENGINES)
-    picked = chosen.collect()
+    """Series of the chosen engines, by default the first five; an empty choice shows all."""
+    chosen = first_engines(df, TREND_ENGINES, keys) if engines is None else engines.select(*keys).distinct()
     rows = df.select(*keys, position, RUL)
-    if picked:
-        match = F.lit(False)
-        for engine in picked:
-            same = F.lit(True)
-            for k in keys:
-                same = same & (F.col(k) == F.lit(engine[k]))
-            match = match | same
-        rows = rows.where(match)
+    if engines is None or not chosen.isEmpty():
+        rows = rows.join(chosen, list(keys), "left_semi")
     return rows.orderBy(*keys, position)

@@ -50,13 +50,13 @@ def coefficients(df: DataFrame, model: PipelineModel, inputs: list[str]) -> Data
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int = 3, seed: int = 42) -> DataFrame:
+def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int = 3, seed: int = 42, rounds: int = 30) -> DataFrame:
     """2 x 2 x 2 grid with cross validation: each combination, its score, and which one is best.
 
     The best model is refitted on all rows by the validator.
     """
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    linear = LinearRegression(featuresCol="features", labelCol=label, maxIter=20)
+    linear = LinearRegression(featuresCol="features", labelCol=label, maxIter=rounds)
     grid = (
         ParamGridBuilder()
         .addGrid(linear.regParam, [0.0, 0.1])
@@ -85,7 +85,7 @@ def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int =
     )
 
 
-def training_history(train: DataFrame, validation: DataFrame, inputs: list[str], label: str = RUL, rounds: int = 5) -> DataFrame:
+def training_history(train: DataFrame, validation: DataFrame, inputs: list[str], label: str = RUL, rounds: int = 30) -> DataFrame:
     """Squared error per boosting round on train and validation rows."""
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     fit_on = assembler.transform(train).select("features", label).persist()

@@ -23,32 +23,40 @@ from wearline.plans.rul import test_rul, train_rul
 from wearline.schema import CYCLE, DATASET_ID, ENGINE_ID, ENTITY, RUL, WINDOW_SIZE, columns_with_prefix, numeric_columns
 from wearline.session import stage
 
+# Column of the numbered rows while a preparation runs.
+PLACE = "_place"
 
-def prepare_train(df: DataFrame, method: str = "standard", size: int = WINDOW_SIZE) -> dict[str, DataFrame]:
-    """Target, features, manifest, scaler and windows from a complete-life log."""
-    labelled = train_rul(df)
+
+def prepare_train(df: DataFrame, method: str = "standard", size: int = WINDOW_SIZE, max_features: int | None = None) -> dict[str, DataFrame]:
+    """Target, features, manifest, scaler and windows from a complete-life log.
+
+    The log's rows are numbered once, so cycles may have gaps or start late. All features are kept
+    unless `max_features` asks for the first ones only.
+    """
+    labelled = number_rows(train_rul(df), list(ENTITY), [CYCLE], PLACE)
     constant = constant_columns(labelled, columns_with_prefix(df.columns, "sensor_"))
-    features = stage(add_engine_features(labelled, constant), "features")
-    manifest = feature_manifest(df.sparkSession, features.columns)
+    features = stage(add_engine_features(labelled, constant, position=PLACE, dense=True), "features")
+    manifest = feature_manifest(df.sparkSession, [c for c in features.columns if c != PLACE], max_features)
     names = manifest_names(manifest)
     scaler = stage(fit_scaler(features, names), "scaler")
-    scaled = apply_scaler(align_features(features, manifest, [*ENTITY, CYCLE, RUL]), scaler, method)
-    return {
-        "manifest": manifest,
-        "scaler": scaler,
-        "scaled": scaled,
-        "sequences": rolling_sequences(scaled, names, size, carry=[RUL]),
-    }
+    scaled = apply_scaler(align_features(features, manifest, [*ENTITY, CYCLE, RUL, PLACE]), scaler, method)
+    return {"manifest": manifest, "scaler": scaler} | _scaled_and_windows(scaled, names, size)
+
+
+def _scaled_and_windows(scaled: DataFrame, names: list[str], size: int) -> dict[str, DataFrame]:
+    windows = rolling_sequences(scaled, names, size, position=PLACE, carry=[CYCLE, RUL], dense=True)
+    return {"scaled": scaled.drop(PLACE), "sequences": windows.select(*ENTITY, CYCLE, RUL, "seq")}
 
 
 def prepare_test(
     df: DataFrame, truth: DataFrame | None, manifest: DataFrame, scaler: DataFrame, method: str = "standard", size: int = WINDOW_SIZE
 ) -> dict[str, DataFrame]:
     """The same steps on unfinished engines, with the train manifest and scaler."""
-    features = add_engine_features(test_rul(df, truth), [])
+    numbered = number_rows(test_rul(df, truth), list(ENTITY), [CYCLE], PLACE)
+    features = add_engine_features(numbered, [], position=PLACE, dense=True)
     names = manifest_names(manifest)
-    scaled = apply_scaler(align_features(features, manifest, [*ENTITY, CYCLE, RUL]), scaler, method)
-    return {"scaled": scaled, "sequences": rolling_sequences(scaled, names, size, carry=[RUL])}
+    scaled = apply_scaler(align_features(features, manifest, [*ENTITY, CYCLE, RUL, PLACE]), scaler, method)
+    return _scaled_and_windows(scaled, names, size)
 
 
 def fill_missing(df: DataFrame, method: str, keys: list[str], position: str) -> DataFrame:
@@ -78,7 +86,7 @@ def prepare_complete(
     """All cleaning and feature steps in their fixed order, with switches.
 
     Positions are numbered once after the optional removal of duplicates. Tables that several
-    statistics passes read are written once. Reports stay lazy DataFrames.
+    statistics passes read are written once. The outlier report needs quantiles, which are computed at once.
     """
     keys = list(keys or ENTITY)
     steps = ["load", "profile", "sort"]
@@ -104,7 +112,7 @@ def prepare_complete(
         for c in sensors:
             features[f"{c}_rollmean{window}"] = rolling_mean_of(c, window)
             features[f"{c}_rollstd{window}"] = rolling_std_of(c, window)
-        out = over_series(filled, features, window - 1, keys, "_pos").na.drop("any")
+        out = over_series(filled, features, window - 1, keys, "_pos", dense=True).na.drop("any")
         steps.append("rolling")
     out = out.drop("_pos")
     if optimize_types or scale:

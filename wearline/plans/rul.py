@@ -37,15 +37,18 @@ def capped_rul(df: DataFrame, cap: int = RUL_CAP) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """MSE, RMSE, MAE and R2 in one aggregation."""
-    y = F.col(actual).cast("double")
+    """MSE, RMSE, MAE and R2 in one aggregation, over rows that have both values.
+
+    A constant target has no R2.
+    """
+    y = F.when(F.col(predicted).isNotNull(), F.col(actual).cast("double"))
     error = F.col(predicted).cast("double") - y
     return df.agg(
         F.count(error).alias("n"),
         F.avg(error * error).alias("mse"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
-        (1 - F.sum(error * error) / (F.var_pop(y) * F.count(y))).alias("r2"),
+        (1 - F.try_divide(F.sum(error * error), F.var_pop(y) * F.count(y))).alias("r2"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,16 +13,27 @@ from wearline.session import path_exists
 DATASET_PATTERN = "FD[0-9]+"
 
 
+def dataset_of(path: Column) -> Column:
+    """The last data set tag in a path, so that a folder's tag does not hide the file's; none is an error."""
+    tag = F.regexp_extract(path, f".*({DATASET_PATTERN})", 1)
+    return F.when(tag != "", tag).otherwise(F.raise_error(F.concat(F.lit("no data set tag in "), path)))
+
+
 def _parsed(lines: DataFrame, schema: T.StructType, extra: list) -> DataFrame:
-    """Split each line at runs of blanks; a field that does not parse becomes missing."""
+    """Split each line at runs of blanks; a field that does not parse, or is NaN, becomes missing."""
     clean = F.regexp_replace("value", r"^\s+|\s+$", "")
     fields = lines.where(clean != "").select(F.split(clean, r"\s+").alias("_f"), *extra)
     names = [e for e in fields.columns if e != "_f"]
     return fields.select(
-        *names, *[F.get("_f", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+        *names, *[_field(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     )
 
 
+def _field(place: int) -> Column:
+    text = F.get("_f", F.lit(place))
+    return F.when(F.lower(text) != "nan", text)
+
+
 def read_engine_log(spark: SparkSession, path: str, schema: T.StructType = LOG_SCHEMA) -> DataFrame:
     """Headerless log with the fixed field names; leading, trailing and repeated blanks are fine."""
     return _parsed(spark.read.text(path), schema, [])
@@ -45,7 +56,7 @@ def read_engine_logs(
 ) -> DataFrame:
     """Several subsets in one scan, each row tagged with its data set; missing files are skipped."""
     lines = spark.read.text(existing_paths(spark, folder, numbers, pattern))
-    tag = F.regexp_extract(F.col("_metadata.file_path"), DATASET_PATTERN, 0).alias(DATASET_ID)
+    tag = dataset_of(F.col("_metadata.file_path")).alias(DATASET_ID)
     return _parsed(lines, schema, [tag])
 
 
@@ -53,16 +64,16 @@ def read_positional_truth(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Remaining life by line: line n of a data set belongs to engine n.
 
     Lines are ordered by file, by the offset of the split they were read from, and by their
-    place in it, so the files may be of any size.
+    place in it, so the files may be of any size. Blank lines do not count; a line that does not
+    parse keeps its engine, with a missing value.
     """
     lines = spark.read.text(paths).select(
-        F.regexp_extract(F.col("_metadata.file_path"), DATASET_PATTERN, 0).alias(DATASET_ID),
+        dataset_of(F.col("_metadata.file_path")).alias(DATASET_ID),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_offset"),
         F.monotonically_increasing_id().alias("_line"),
-        F.regexp_replace("value", r"^\s+|\s+$", "").try_cast("long").alias("rul_true"),
-    )
-    numbered = number_rows(
-        lines.where(F.col("rul_true").isNotNull()), [DATASET_ID], ["_file", "_offset", "_line"], "engine_id"
+        F.regexp_replace("value", r"^\s+|\s+$", "").alias("_text"),
     )
+    lines = lines.where("_text <> ''").withColumn("rul_true", F.col("_text").try_cast("long")).drop("_text")
+    numbered = number_rows(lines, [DATASET_ID], ["_file", "_offset", "_line"], "engine_id")
     return numbered.select(DATASET_ID, "engine_id", "rul_true")
