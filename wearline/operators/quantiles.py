@@ -98,13 +98,12 @@ def exact_quantiles(
     """One row per group and column: `n` present values and the quantiles as `names`.
 
     Values are counted per distinct value, ordered with running totals, and read off at their
-    ranks. Groups of measured, moderate size are ordered by a window each; larger ones by a
-    range sort, so that no task holds them, and whole columns first drop to the values near
-    the ranks. (The built-in `percentile` gives the same numbers from one buffer per group.)
+    ranks. Whole columns first drop to the values near the ranks. Groups of measured, moderate
+    size are ordered by a window each; larger ones by a range sort, so that no task holds them. (The built-in `percentile` gives the same numbers from one buffer per group.)
     """
     by = list(by or [])
     limit = BOUNDED_VALUES if bounded_values is None else bounded_values
-    if groups_fit(df, by, limit):
+    if by and groups_fit(df, by, limit):
         counted = _long(df, columns, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
         return _pick(counted.withColumn("gap", F.lit(0)), by, names, probs, math.inf).drop("_missed")
     if not by:

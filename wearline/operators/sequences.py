@@ -92,6 +92,13 @@ def check_sequences(seqs: DataFrame, size: int, features: int) -> DataFrame:
     return seqs
 
 
+def of_shape(seqs: DataFrame, size: int, features: int) -> DataFrame:
+    """The same windows; one of another shape raises when it is read, without a pass of its own."""
+    fine = (F.size("seq") == size) & F.forall("seq", lambda s: F.size(s) == features)
+    message = F.lit(f"a window does not have shape {size} x {features}")
+    return seqs.withColumn("seq", F.when(fine, F.col("seq")).otherwise(F.raise_error(message).cast(seqs.schema["seq"].dataType)))
+
+
 def explode_steps(seqs: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
     """One row per window and time step t, with the features as columns."""
     steps = seqs.select(*keep, F.posexplode("seq").alias("t", "_step"))

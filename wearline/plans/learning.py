@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearline.operators.sequences import check_sequences
+from wearline.operators.sequences import of_shape
 from wearline.schema import CYCLE, ENTITY, RUL
 
 
@@ -50,10 +50,11 @@ def coefficients(df: DataFrame, model: PipelineModel, inputs: list[str]) -> Data
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int = 3, seed: int = 42, rounds: int = 30) -> DataFrame:
+def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int = 3, seed: int = 42, rounds: int = 30, keys=ENTITY) -> DataFrame:
     """2 x 2 x 2 grid with cross validation: each combination, its score, and which one is best.
 
-    The best model is refitted on all rows by the validator.
+    All windows of an engine are in one fold, chosen by a hash of its key. The best model is
+    refitted on all rows by the validator.
     """
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     linear = LinearRegression(featuresCol="features", labelCol=label, maxIter=rounds)
@@ -69,10 +70,12 @@ def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int =
         estimatorParamMaps=grid,
         evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
         numFolds=folds,
+        foldCol="_fold",
         parallelism=4,
         seed=seed,
     )
-    assembled = assembler.transform(df).select("features", label).persist()
+    fold = F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int").alias("_fold")
+    assembled = assembler.transform(df).select("features", label, fold).persist()
     fitted = search.fit(assembled)
     assembled.unpersist()
     best = min(fitted.avgMetrics)
@@ -100,8 +103,13 @@ def training_history(train: DataFrame, validation: DataFrame, inputs: list[str],
 
 def score_windows(seqs: DataFrame, model: PipelineModel, features: list[str], size: int) -> DataFrame:
     """Predictions for windows of the expected shape, by key."""
-    checked = check_sequences(seqs, size, len(features))
-    return model.transform(window_features(checked, features, [*ENTITY, CYCLE])).select(*ENTITY, CYCLE, "prediction")
+    checked = of_shape(seqs, size, len(features))
+    return score_features(window_features(checked, features, [*ENTITY, CYCLE]), model)
+
+
+def score_features(table: DataFrame, model: PipelineModel, keep: list[str] | None = None) -> DataFrame:
+    """Predictions for a table of window features, by key."""
+    return model.transform(table).select(*ENTITY, CYCLE, *(keep or []), "prediction")
 
 
 def prediction_summary(predictions: DataFrame) -> DataFrame:
