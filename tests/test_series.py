@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from wearline.operators import ordering
 from wearline.operators.ordering import number_rows, running_total
 from wearline.operators.sequences import (
-    check_sequences, explode_steps, flatten_windows, forecast_windows, position_stats, rolling_sequences,
+    check_sequences, engine_mean_vectors, engine_means_of_rows, explode_steps, flatten_windows, forecast_windows, of_shape,
+    position_stats, position_stats_of_rows, rolling_sequences,
     scale_flat_windows, with_sequence_index,
 )
 from wearline.operators.windows import (
@@ -164,3 +165,18 @@ def test_frames_longer_than_a_block_make_blocks_longer(spark):
     values = [float(v * v % 11) for v in range(40)]
     got = by_cycle(rolling_mean(series(spark, values), ["sensor_1"], [5], block_rows=3), "sensor_1_rollmean5")
     assert got == pytest.approx(pd.Series(values).rolling(5, min_periods=1).mean().tolist())
+
+
+def test_window_statistics_from_rows(spark):
+    rows = [("FD001", e, 10 + 3 * c, float(e * c % 5), float(c)) for e, n in ((1, 9), (2, 4), (3, 2)) for c in range(n)]
+    df = spark.createDataFrame(rows, "dataset_id string, engine_id long, cycle long, sensor_1 double, sensor_2 double")
+    names = ["sensor_1", "sensor_2"]
+    seqs = rolling_sequences(df, names, size=3)
+    key = lambda r: (r["t"], r["f"])
+    want = {key(r): (r["mean"], r["std"]) for r in position_stats(seqs, names).collect()}
+    got = {key(r): (r["mean"], r["std"]) for r in position_stats_of_rows(df, names, size=3).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    means = {r["engine_id"]: r["sensor_1_mean"] for r in engine_means_of_rows(df, names, size=3).collect()}
+    assert means == pytest.approx({r["engine_id"]: r["sensor_1_mean"] for r in engine_mean_vectors(seqs, names).collect()})
+    with pytest.raises(Exception, match="does not have shape"):
+        of_shape(seqs, 4, 2).collect()

@@ -142,7 +142,7 @@ SELECT dataset_id, engine_id, round(avg(sensor_1), 6) AS sensor_1_mean, round(av
 FROM panel WHERE cycle >= 30 GROUP BY 1, 2""")
 def engine_mean_vector(spark, sf):
     features = ["sensor_1", "sensor_2", "sensor_3"]
-    means = sequences.engine_mean_vectors(sequences.rolling_sequences(engine_panel(spark, sf), features, dense=True), features)
+    means = sequences.engine_means_of_rows(engine_panel(spark, sf), features, dense=True)
     return rounded(means, [f"{f}_mean" for f in features])
 
 

@@ -200,8 +200,22 @@ SELECT t.t, f, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM (
 GROUP BY 1, 2""")
 def window_position_stats(spark, sf):
     features = ["sensor_1", "sensor_2"]
-    made = seq.rolling_sequences(engine_panel(spark, sf), features, dense=True)
-    return rounded(seq.position_stats(made, features), ["mean", "std"])
+    return rounded(seq.position_stats_of_rows(engine_panel(spark, sf), features, dense=True), ["mean", "std"])
+
+
+@query("flat_windows_scaled", PANEL_SQL + f"""
+, w AS (SELECT {KEY}, lag(sensor_1, 29) OVER ({SERIES}) AS a, lag(sensor_2, 14) OVER ({SERIES}) AS b, sensor_1 AS c
+        FROM panel QUALIFY cycle >= 30)
+SELECT {KEY}, round((a - avg(a) OVER ()) / stddev_pop(a) OVER (), 5) AS t0_f0, round((b - avg(b) OVER ()) / stddev_pop(b) OVER (), 5) AS t15_f1,
+       round((c - avg(c) OVER ()) / stddev_pop(c) OVER (), 5) AS t29_f0 FROM w""")
+def flat_windows_scaled(spark, sf):
+    """Windows scaled by the statistics of each (time step, feature) place, then flattened."""
+    features = ["sensor_1", "sensor_2"]
+    panel = engine_panel(spark, sf)
+    made = seq.rolling_sequences(panel, features, dense=True)
+    scaled = seq.scale_flat_windows(made, seq.position_stats_of_rows(panel, features, dense=True), 30, 2, [*ENTITY, "cycle"])
+    flat = seq.flatten_windows(scaled, 30, 2, [*ENTITY, "cycle"])
+    return rounded(flat.select(*ENTITY, "cycle", "t0_f0", "t15_f1", "t29_f0"), ["t0_f0", "t15_f1", "t29_f0"], 5)
 
 
 @query("rul_on_sequences", PANEL_SQL + f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +118,44 @@ def position_stats(seqs: DataFrame, features: list[str]) -> DataFrame:
     return stacked.select("t", "_s.*")
 
 
+def position_stats_of_rows(
+    df: DataFrame, features: list[str], size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE, dense: bool = False
+) -> DataFrame:
+    """The same numbers as `position_stats` of all windows, from the rows themselves.
+
+    Place t of the windows holds every row of an engine but its first t and its last size - 1 - t.
+    One aggregation sums the rows by their distance to either end, as far as that is below `size`.
+    """
+    if dense:
+        lengths = df.groupBy(*keys).agg(F.max(position).alias("_length"))
+        placed, place = attach(df, lengths, keys), position
+    else:
+        placed, place = number_rows(df, list(keys), [position], "_place", total="_length"), "_place"
+    to_end = F.col("_length") - F.col(place)
+    sums = [
+        F.struct(F.count(c).alias("n"), F.sum(F.col(c).cast("double")).alias("x"), F.sum(F.pow(F.col(c).cast("double"), 2.0)).alias("xx")).alias(f"_{i}")
+        for i, c in enumerate(features)
+    ]
+    ends = placed.where(F.col("_length") >= size).groupBy(
+        F.when(F.col(place) < size, F.col(place)).alias("head"), F.when(to_end < size - 1, to_end).alias("tail")
+    )
+    rows = ends.agg(*sums).collect()  # at most size x size groups
+    found = []
+    for t in range(size):
+        inside = [r for r in rows if (r["head"] is None or r["head"] > t) and (r["tail"] is None or r["tail"] >= size - 1 - t)]
+        for i in range(len(features)):
+            n, x, xx = (sum(r[f"_{i}"][k] or 0 for r in inside) for k in range(3))
+            mean = x / n if n else None
+            found.append((t, i, mean, math.sqrt(max(xx / n - mean * mean, 0.0)) if n else None))
+    return df.sparkSession.createDataFrame(found, "t long, f int, mean double, std double")
+
+
+def engine_means_of_rows(df: DataFrame, features: list[str], size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE, dense: bool = False) -> DataFrame:
+    """The same means as `engine_mean_vectors`: rows that end a window are those from position `size` on."""
+    placed, place = (df, position) if dense else (number_rows(df, list(keys), [position], "_place"), "_place")
+    return placed.where(F.col(place) >= size).groupBy(*keys).agg(*[F.avg(F.col(f).cast("double")).alias(f"{f}_mean") for f in features])
+
+
 def flatten_windows(seqs: DataFrame, size: int, features: int, keep: list[str]) -> DataFrame:
     """Wide form, one column t{t}_f{f} per place."""
     return seqs.select(

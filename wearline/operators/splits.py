@@ -13,6 +13,8 @@ from wearline.operators.ordering import number_rows
 from wearline.schema import CYCLE, ENTITY
 
 DRAW_BLOCK = 65_536
+# Hashes are below 2 ** 31, so there are at most 32,768 ranges.
+HASH_RANGE = 65_536
 DRAWS_PER_COPY = 1_000
 
 
@@ -24,14 +26,21 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def split_random(df: DataFrame, key: str, test_share: float, seed: int = 42) -> DataFrame:
     """Mark exactly ceil(share x n) rows as test, drawn by hashed unique key.
 
-    Only hash and key are ordered, to find the last test row; the rows themselves are split
-    by comparing with it and do not move.
+    Hashes are counted in ranges; only the range that holds the last test row is ordered. The rows
+    themselves are split by comparing with that row and do not move.
     """
     drawn = df.select(modular_hash(key, seed).alias("_hash"), F.col(key).alias("_key"))
-    size = math.ceil(test_share * drawn.count())
+    drawn = drawn.withColumn("_range", F.expr(f"_hash div {HASH_RANGE}"))
+    counts = sorted((r["_range"], r["count"]) for r in drawn.groupBy("_range").count().collect())
+    size = math.ceil(test_share * sum(n for _, n in counts))
     if size == 0:
         return df.withColumn("is_test", F.lit(False))
-    last = number_rows(drawn, [], ["_hash", "_key"], "_pos").where(F.col("_pos") == size).first()
+    rank = size
+    for place, n in counts:
+        if rank <= n:
+            break
+        rank -= n
+    last = drawn.where(F.col("_range") == place).orderBy("_hash", "_key").offset(rank - 1).first()
     mark = F.struct(modular_hash(key, seed).alias("h"), F.col(key).alias("k"))
     edge = F.struct(F.lit(last["_hash"]).alias("h"), F.lit(last["_key"]).alias("k"))
     return df.withColumn("is_test", mark <= edge)
