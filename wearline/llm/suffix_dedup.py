@@ -42,9 +42,9 @@ LENGTH = 50
 ANCHOR = 20
 RUN = 32
 CHUNK = 1 << 18
-BLOCK_BYTES = 96 << 20
-BUCKET_ANCHORS = 2_000_000
-SHARD_PIECES = 60_000
+BLOCK_BYTES = 8 << 20
+BUCKET_ANCHORS = 500_000
+SHARD_PIECES = 30_000
 WIDTH = LENGTH + RUN - 1
 NULL_ID = -(1 << 63)
 
