@@ -32,7 +32,7 @@ from wearline.session import stage
 WINDOW = 2048
 END = 1
 K1, B = 1.2, 0.75
-SHARD_DOCS = 384
+SHARD_DOCS = 256
 SHARD_TOKENS = 1 << 20
 
 
@@ -47,13 +47,15 @@ def tokenised(docs: DataFrame, text: str, key: str, vocabulary: str) -> DataFram
     def encode(batches):
         ids = shared_ids(vocabulary)
         size = ids.tokenizer.get_vocab_size()
-        counts = np.zeros(size + 2, np.int64)
+        counts, met = np.zeros(size + 2, np.int64), np.zeros(size, bool)
         id_type = None
         for batch in slices(batches, 128):
             id_type = batch.column("__id").type
             found = [np.append(x, ids.width.type(END)) for x in ids.encode(batch.column("__text").to_pylist())]
             for x in found:
-                counts[np.unique(x)] += 1
+                met[x] = True
+                counts[np.flatnonzero(met)] += 1
+                met[x] = False
                 counts[size + 1] += len(x)
             counts[size] += len(found)
             yield pa.RecordBatch.from_arrays(

@@ -1,9 +1,12 @@
 """Token ids of texts, with a bounded memory of the pieces between white space.
 
 The tokenizer never merges across white space, so the ids of a text are those of its pieces in a
-row. Pieces seen before are looked up; the new ones of a batch are encoded together in one call and
-told apart by their offsets. A text that holds a control character which Python takes for white
-space and the tokenizer doesn't, or the start of a special token, is encoded as a whole.
+row. Pieces seen before are looked up; the new ones of a batch are encoded together in one call.
+Most new pieces are Latin letters with marks behind them: for these the pattern's two words are
+plain, and the model alone encodes them, each word ending in a token with the end-of-word suffix.
+All others go through the whole tokenizer and are told apart by their offsets. A text that holds a
+control character which Python takes for white space and the tokenizer doesn't, or the start of a
+special token, is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -12,10 +15,44 @@ import re
 from functools import lru_cache
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
-MEMORY = 600_000
-_WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+MEMORY = 1_200_000
+_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+# Lower-case Latin letters without combining marks, then marks that are neither letters, digits nor apostrophes.
+_PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for code points from 256 on."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    moved = [b for b in range(256) if b not in kept]
+    return {b: chr(256 + n) for n, b in enumerate(moved)}
+
+
+class _Places(dict):
+    """Piece -> number; a new piece gets the next number and is noted."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.fresh.append(piece)
+        return number
+
+
+class _Growing:
+    """An array that grows by doubling."""
+
+    def __init__(self, dtype):
+        self.data, self.size = np.zeros(1 << 16, dtype), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.data):
+            self.data = np.concatenate([self.data[: self.size], np.zeros(self.size + 2 * len(values), self.data.dtype)])
+        self.data[self.size : self.size + len(values)] = values
+        self.size += len(values)
 
 
 class Ids:
@@ -23,51 +60,72 @@ class Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.memory = memory
+        self.letters = _byte_letters()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.words = Tokenizer(self.tokenizer.model) if suffix else None
+        if suffix:
+            self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self._forget()
 
-    def _forget(self):
-        self.place: dict[str, int] = {}
-        self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.width)
+    def _forget(self) -> None:
+        self.place = _Places()
+        self.starts, self.sizes, self.pool = _Growing(np.int64), _Growing(np.int64), _Growing(self.width)
 
-    def _learn(self, pieces: list[str]):
-        """Encode pieces not met before, joined by spaces."""
-        if len(self.place) + len(pieces) > self.memory:
-            self._forget()
+    def _plain_ids(self, matches: list[re.Match]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for pieces of letters and marks."""
+        words = [w for m in matches for w in m.groups() if w]
+        text = " ".join(words)
+        if not text.isascii():
+            text = " ".join(w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words)
+        ids = np.array(self.words.encode(text, add_special_tokens=False).ids, self.width)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        last = np.cumsum([1 + bool(m[2]) for m in matches]) - 1
+        return ids, np.diff(np.append(0, ends[last]))
+
+    def _other_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        ids = np.array(encoded.ids, self.width)
         begins = np.array([o[0] for o in encoded.offsets], np.int64)
-        lengths = np.array([len(p) for p in pieces])
-        ends = np.cumsum(lengths + 1) - 1
-        cut = np.searchsorted(begins, ends, "left")
-        sizes = np.diff(np.append(0, cut))
-        self.place.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(pieces))))
-        self.starts = np.append(self.starts, len(self.pool) + cut - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.pool = np.append(self.pool, ids)
+        ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
+        return np.array(encoded.ids, self.width), np.diff(np.append(0, np.searchsorted(begins, ends, "left")))
+
+    def _learn(self) -> None:
+        """Encode the noted pieces."""
+        pieces, self.place.fresh = self.place.fresh, []
+        first = self.sizes.size
+        self.starts.extend(np.zeros(len(pieces), np.int64))
+        self.sizes.extend(np.zeros(len(pieces), np.int64))
+        matches = [_PLAIN.fullmatch(p.lower()) if self.words else None for p in pieces]
+        plain = [n for n, m in enumerate(matches) if m]
+        other = [n for n, m in enumerate(matches) if not m]
+        for at, make in ((plain, lambda: self._plain_ids([matches[n] for n in plain])), (other, lambda: self._other_ids([pieces[n] for n in other]))):
+            if at:
+                ids, sizes = make()
+                at = first + np.array(at)
+                self.starts.data[at], self.sizes.data[at] = self.pool.size + np.cumsum(sizes) - sizes, sizes
+                self.pool.extend(ids)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, null as empty."""
-        split = [None if _WHOLE.search(t or "") else (t or "").split() for t in texts]
-        fresh = {p for pieces in split if pieces for p in pieces if p not in self.place}
-        if fresh:
-            before = len(self.place)
-            self._learn(list(fresh))
-            if len(self.place) < before + len(fresh):  # it has forgotten the others
-                rest = {p for pieces in split if pieces for p in pieces if p not in self.place}
-                if rest:
-                    self.memory = max(self.memory, len(self.place) + len(rest))
-                    self._learn(list(rest))
-        found = []
+        if len(self.place) > self.memory:
+            self._forget()
         look = self.place.__getitem__
-        for text, pieces in zip(texts, split):
-            if pieces is None:
+        places = []
+        for text in texts:
+            text = text or ""
+            pieces = None if any(mark in text for mark in _WHOLE) else text.split()
+            places.append(None if pieces is None else np.fromiter(map(look, pieces), np.int64, len(pieces)))
+        if self.place.fresh:
+            self._learn()
+        found = []
+        for text, at in zip(texts, places):
+            if at is None:
                 found.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width))
                 continue
-            at = np.fromiter(map(look, pieces), np.int64, len(pieces))
-            sizes = self.sizes[at]
-            total = int(sizes.sum())
+            sizes = self.sizes.data[at]
             before = np.cumsum(sizes) - sizes
-            found.append(self.pool[np.repeat(self.starts[at] - before, sizes) + np.arange(total)])
+            found.append(self.pool.data[np.repeat(self.starts.data[at] - before, sizes) + np.arange(int(sizes.sum()))])
         return found
 
 
