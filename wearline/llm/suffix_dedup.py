@@ -45,6 +45,7 @@ CHUNK = 1 << 18
 BLOCK_BYTES = 8 << 20
 BUCKET_ANCHORS = 500_000
 SHARD_PIECES = 30_000
+LOT_STRINGS = 4_000
 WIDTH = LENGTH + RUN - 1
 NULL_ID = -(1 << 63)
 
@@ -104,6 +105,14 @@ def _range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
     return out
 
 
+def _by_symbol(transform: np.ndarray) -> tuple[np.ndarray, np.integer]:
+    """Sorted (symbol, row) pairs, each as one number with the row in the low bits, and those bits."""
+    kind, bits = (np.uint32, 23) if len(transform) < 1 << 23 else (np.uint64, 40)
+    keys = transform.astype(kind) << kind(bits) | np.arange(len(transform), dtype=kind)
+    keys.sort()
+    return keys, kind(bits)
+
+
 def build(texts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Transform and common prefixes of a collection of right-aligned rows (symbols from 1 up).
 
@@ -117,25 +126,26 @@ def build(texts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     place = np.arange(m)  # rows of the suffixes inserted last
     live = np.arange(m)  # their strings
     for j in range(1, int(lengths.max()) + 1):
-        order = np.argsort(transform, kind="stable")
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        finished = int(np.count_nonzero(transform == 0))
-        going = np.argsort(rank[place])
-        place, live = place[going], live[going]
-        k = rank[place].astype(np.int64)
-        symbol = transform[place]
+        keys, bits = _by_symbol(transform)
+        low = (keys.dtype.type(1) << bits) - keys.dtype.type(1)
+        finished = int(np.searchsorted(keys, low, "right"))
+        own = transform[place].astype(keys.dtype) << bits | place.astype(keys.dtype)
+        going = np.argsort(own)
+        own, place, live = own[going], place[going], live[going]
+        k = np.searchsorted(keys, own)
         rows = m + k - finished
-        # The suffix above starts with the same symbol if the row before in `order` has it: then both
-        # share that symbol and what the suffixes after it share.
-        before = order[np.maximum(k - 1, 0)]
-        same = (k > 0) & (transform[before] == symbol)
-        above = np.zeros(len(k), np.uint8)
-        above[same] = 1 + _range_minima(common, before[same] + 1, place[same])
-        after = order[np.minimum(k + 1, len(order) - 1)]
-        below_same = (k + 1 < len(order)) & (transform[after] == symbol)
-        below = np.zeros(len(k), np.uint8)
-        below[below_same] = 1 + _range_minima(common, place[below_same] + 1, after[below_same])
+        # The suffix above starts with the same symbol if the pair before has it: then both share that
+        # symbol and what the suffixes after it share. The same holds for the suffix below.
+        before, after = keys[np.maximum(k - 1, 0)], keys[np.minimum(k + 1, len(keys) - 1)]
+        up = (k > 0) & (before >> bits == own >> bits)
+        down = (k + 1 < len(keys)) & (after >> bits == own >> bits)
+        above, below = np.zeros(len(k), np.uint8), np.zeros(len(k), np.uint8)
+        least = _range_minima(
+            common,
+            np.concatenate([(before[up] & low).astype(np.int64), place[down]]) + 1,
+            np.concatenate([place[up], (after[down] & low).astype(np.int64)]),
+        )
+        above[up], below[down] = np.split(1 + least, [np.count_nonzero(up)])
         total = len(transform) + len(rows)
         old = np.ones(total, bool)
         old[rows] = False
@@ -372,12 +382,12 @@ def _answers(table: pa.Table) -> pa.Table:
 
 
 def _lots(anchor: np.ndarray) -> Iterator[np.ndarray]:
-    """Strings in lots of about SHARD_PIECES that hold all strings of an anchor."""
+    """Strings in lots of about LOT_STRINGS, each with all strings of its anchors: one collection each."""
     order = np.argsort(anchor, kind="stable")
     sorted_anchor = anchor[order]
     at = 0
     while at < len(order):
-        end = min(at + SHARD_PIECES, len(order))
+        end = min(at + LOT_STRINGS, len(order))
         end = int(np.searchsorted(sorted_anchor, sorted_anchor[end - 1], "right"))
         yield order[at:end]
         at = end
