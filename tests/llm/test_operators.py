@@ -280,6 +280,39 @@ def test_neighbours_come_by_falling_score():
     assert [p[0] for p in first] == [0, 2, 4, 1]
 
 
+def test_related_documents_meet_wherever_they_stand(spark):
+    # 40 themes of 15 documents of about 150 tokens; documents of a theme stand 40 places apart.
+    ids = tokens.shared_ids(public_tokenizers.path("word_bpe_49k.json"))
+    vocabulary = sorted(w[:-4] for w in ids.tokenizer.get_vocab() if w.endswith("</w>") and w[:-4].isascii() and w[:-4].isalpha() and len(w) > 9)
+    rng = random.Random(5)
+    rng.shuffle(vocabulary)
+    common, own = vocabulary[:400], vocabulary[400:]
+    rows = [(n, " ".join(rng.choices(common, k=110) + own[n % 40 * 8 : n % 40 * 8 + 8] * 5)) for n in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def windows(frame, **options):
+        found = {}
+        for r in packing.pack(frame, **options).collect():
+            found.setdefault(r["sequence_id"], []).append((r["offset"], r["doc_id"], r["start"], r["length"]))
+        return {k: sorted(v) for k, v in found.items()}
+
+    for options in ({}, {"shard_tokens": 10_000}):
+        got = windows(docs.repartition(3, "doc_id"), **options)
+        assert got == windows(docs.orderBy(F.desc("doc_id")).coalesce(1), **options)
+        full = [[i % 40 for _, i, _, _ in w] for w in got.values() if sum(p[3] for p in w) == 2048]
+        assert np.mean([t.count(t[0]) / len(t) for t in full]) > 0.6
+        assert len({i for w in got.values() for _, i, _, _ in w}) == 600
+
+
+def test_routes_bound_every_shard():
+    sizes = np.array([5, 400, 30, 70, 0, 90])
+    routes = packing.Routes(sizes, {(1, 3): 250}, 100)
+    # The large pair has three shards, what is left of its first term two, the others are gathered.
+    assert {routes.shard(1, 3, row) for row in range(-9, 9)} == {0, 1, 2}
+    assert {routes.shard(1, b, 0) for b in range(20, 60)} == {4, 5} and routes.shard(0, 9, 7) == 3
+    assert routes.shard(2, 0, 1) == routes.shard(3, 1, 2) != routes.shard(5, 0, 1) and routes.count == 8
+
+
 def test_remembered_pieces_encode_as_the_tokenizer(plain):
     ids = tokens.Ids(public_tokenizers.path("word_bpe_49k.json"), memory=500)
     texts = list(plain.values())[:60] + [t for _, t in AWKWARD] + ["ΑΣ Σ ΟΔΟΣ.", "İx ǅ", "a b　c"]

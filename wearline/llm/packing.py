@@ -1,18 +1,25 @@
 """Packing of documents into token windows by lexical retrieval.
 
 Documents are tokenised once into a written table. The corpus-wide document frequencies give the
-weights of BM25; the index itself is sharded: SHARD_DOCS documents of a partition (fewer when they
-hold SHARD_TOKENS tokens) form one shard. Within a shard, each seed document fills a window: whole
-windows of a long seed come first, then the index returns the unused documents by falling BM25 score
-for the seed's terms, and they are placed one after the other; the one that crosses the end is cut
-and its rest stays unused. The tokens left when a shard's documents run out are emitted in windows
-of power-of-two lengths, so there is no padding at all.
+weights of BM25; the index itself is sharded by content. A document goes where its leading term
+goes: of its terms, the rarest that enough documents share (`ranks`), so documents with the same
+distinctive term meet, wherever they stand in the input. Terms are gathered into shards of about
+SHARD_TOKENS tokens; a term with more tokens is dealt out by the documents' second term, and a pair
+of terms with more by a hash of the row (`Routes`). A corpus of up to SHARD_TOKENS tokens is one
+shard. Within a shard, each seed document fills a window: whole windows of a long seed come first,
+then the index returns the unused documents by falling BM25 score for the seed's terms, and they are
+placed one after the other; the one that crosses the end is cut and its rest stays unused. The
+tokens left when a shard's documents run out are emitted in windows of power-of-two lengths, so
+there is no padding at all. Neither routes nor order depend on files, splits or tasks.
+
+Routing is approximate: a neighbour whose leading terms differ from the seed's can be in another
+shard, and then is not found.
 
 BM25's idf ln((N - n + 0.5) / (n + 0.5)) is not positive for a term in half of all documents; such
 terms weigh nothing and have no postings.
 
-Defined cases: a null text is empty; an empty document is its end id alone; ties in score go to the
-earlier document of the shard; repeated rows are documents of their own; an empty table gives no
+Defined cases: a null text is empty; an empty document is its end id alone; a shard's documents are
+ordered by a hash of their ids, then by key; ties in score go to the earlier document of the shard; repeated rows are documents of their own; an empty table gives no
 pieces. Other columns are not used.
 """
 
@@ -21,19 +28,19 @@ from __future__ import annotations
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.llm.text import slices
+from wearline.llm.text import mix, slices
 from wearline.llm.tokens import shared_ids
 from wearline.session import stage
 
 WINDOW = 2048
 END = 1
 K1, B = 1.2, 0.75
-SHARD_DOCS = 256
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 21
+COMPANY = 16  # documents that share a term, for it to count fully as a leading term
+TASKS = 20_000
 
 
 def tokenised(docs: DataFrame, text: str, key: str, vocabulary: str) -> DataFrame:
@@ -85,6 +92,89 @@ def corpus_counts(table: DataFrame, size: int) -> np.ndarray:
     return counts
 
 
+def ranks(counts: np.ndarray, size: int) -> np.ndarray:
+    """For each term its claim to lead a document: its idf, less where few documents share it, 0 for one document's own."""
+    found, total = counts[:size].astype(float), int(counts[size])
+    idf = np.log((total - found + 0.5) / (found + 0.5))
+    return np.maximum(idf, 0) * np.minimum(np.log(np.maximum(found, 1)) / np.log(COMPANY), 1)
+
+
+def leading(ids: np.ndarray, place: np.ndarray) -> tuple[int, int]:
+    """The document's two terms of the best (lowest) places; the size of the vocabulary where there is none."""
+    none = len(place) - 1
+    by_place = np.unique(place[ids])[:2]
+    terms = [int(t) for t in by_place if t < none]
+    return tuple((terms + [none, none])[:2])
+
+
+class Routes:
+    """Shard of a document by its leading terms, from the tokens of each first term and of the largest pairs."""
+
+    def __init__(self, tokens: np.ndarray, pairs: dict[tuple[int, int], int], shard_tokens: int):
+        # Pairs above a shard have shards of their own and do not count for their first term.
+        self.pairs, self.count = {}, 0
+        rest = tokens.copy()
+        for (a, b), n in sorted(pairs.items()):
+            self.pairs[a, b] = (self.count, -(-n // shard_tokens))
+            self.count += -(-n // shard_tokens)
+            rest[a] -= n
+        self.first, self.parts = np.zeros(len(tokens), np.int64), np.ones(len(tokens), np.int64)
+        held = shard_tokens
+        for a in np.flatnonzero(rest):
+            if rest[a] > shard_tokens:
+                self.parts[a] = -(-rest[a] // shard_tokens)
+                self.first[a] = self.count
+                self.count += int(self.parts[a])
+                held = shard_tokens
+                continue
+            if held + rest[a] > shard_tokens:
+                held = 0
+                self.count += 1
+            self.first[a] = self.count - 1
+            held += int(rest[a])
+
+    def shard(self, a: int, b: int, row: int) -> int:
+        if (a, b) in self.pairs:
+            first, parts = self.pairs[a, b]
+            return first + row % parts
+        return int(self.first[a]) + int(mix(np.array([b + 1], np.uint64))[0]) % int(self.parts[a])
+
+
+def routed(table: DataFrame, counts: np.ndarray, size: int, kind: str, shard_tokens: int) -> tuple[DataFrame, int]:
+    """(shard, __id, ids), dealt out by shard and in a shard's order; and the number of shards."""
+    # A term's place among all terms; terms that one document has, or that weigh nothing, have the last.
+    rank = ranks(counts, size)
+    order = np.argsort(-rank, kind="stable")
+    place = np.full(size + 1, size, np.int64)
+    place[order] = np.where(rank[order] > 0, np.arange(size), size)
+    rows = table.where("ids is not null").select("__id", "ids")
+    width = np.dtype(np.uint16 if size <= 1 << 16 else np.uint32)
+
+    def lead(batches):
+        for batch in slices(batches, 256):
+            found = [(*leading(ids, place), len(ids)) for ids in (np.frombuffer(x.as_buffer(), width) for x in batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b", "n"])
+
+    pairs = stage(rows.select("ids").mapInArrow(lead, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
+    tokens = np.zeros(size + 1, np.int64)
+    for row in pairs.groupBy("a").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
+        tokens[row["a"]] = row["n"]
+    large = {(r["a"], r["b"]): r["n"] for r in pairs.where(F.col("n") > shard_tokens).collect()}  # at most one for each shard
+    routes = Routes(tokens, large, shard_tokens)
+
+    def deal(batches):
+        for batch in slices(batches, 256):
+            documents = (np.frombuffer(x.as_buffer(), width) for x in batch.column("ids"))
+            shards = [routes.shard(*leading(ids, place), row) for ids, row in zip(documents, batch.column("row").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), *batch.columns], ["shard", "content", "row", "__id", "ids"])
+
+    hashed = rows.select(F.xxhash64("ids").alias("content"), F.xxhash64("ids", "__id").alias("row"), "__id", "ids")
+    dealt = hashed.mapInArrow(deal, f"shard long, content long, row long, __id {kind}, ids binary")
+    tasks = max(1, min(routes.count, TASKS))
+    dealt = dealt.repartitionById(tasks, (F.col("shard") % tasks).cast("int")).sortWithinPartitions("shard", "content", "__id")
+    return dealt.select("shard", "__id", "ids"), routes.count
+
+
 class Shard:
     """Inverted index of some documents with BM25 weights."""
 
@@ -129,8 +219,7 @@ def fill_windows(documents: list[np.ndarray], idf: np.ndarray, mean: float, wind
         unused = np.flatnonzero(done < size)
         if len(unused):
             index = index or Shard(documents, idf, mean)
-            unused = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]
-            for neighbour in unused:
+            for neighbour in _falling(unused, index.scores(seed)[unused]):
                 take = int(min(space, size[neighbour] - done[neighbour]))
                 pieces.append((int(neighbour), int(done[neighbour]), take))
                 done[neighbour] += take
@@ -141,6 +230,16 @@ def fill_windows(documents: list[np.ndarray], idf: np.ndarray, mean: float, wind
     return sequences
 
 
+def _falling(documents: np.ndarray, scores: np.ndarray, first: int = 64):
+    """Documents by falling score, equal ones in their order; as few are sorted as the caller takes."""
+    bound = np.inf
+    while bound > -np.inf:
+        last, bound = bound, np.partition(scores, len(scores) - first)[len(scores) - first] if first < len(scores) else -np.inf
+        at = np.flatnonzero((scores >= bound) & (scores < last))
+        yield from documents[at[np.argsort(-scores[at], kind="stable")]]
+        first *= 8
+
+
 def _powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
     """The same pieces in sequences of power-of-two lengths, longest first."""
     rest = sum(p[2] for p in pieces)
@@ -159,7 +258,7 @@ def _powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int
     return out
 
 
-def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: str | None = None, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """(key, start, length, ids, doc_tokens, sequence_id, offset): one row per piece; ids as little-endian unsigned 32-bit."""
     vocabulary = vocabulary or public_tokenizers.path("word_bpe_49k.json")
     ids = shared_ids(vocabulary)
@@ -185,22 +284,25 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", vocabulary: s
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names), number + 1
 
     def fill(batches):
-        first = TaskContext.get().partitionId() << 40
-        keys, documents, held, id_type = [], [], 0, None
+        shard, first, keys, documents, held, id_type = None, 0, [], [], 0, None
         for batch in slices(batches, 256):
             id_type = batch.column("__id").type
-            for k, value in zip(batch.column("__id").to_pylist(), batch.column("ids")):
-                documents.append(np.frombuffer(value.as_buffer(), width))
-                keys.append(k)
-                held += len(documents[-1])
-                if len(documents) == SHARD_DOCS or held >= SHARD_TOKENS:
+            for number, k, value in zip(batch.column("shard").to_pylist(), batch.column("__id").to_pylist(), batch.column("ids")):
+                # The second terms of a hot term can deal unevenly; such a shard is taken in parts.
+                if documents and (number != shard or held >= 2 * shard_tokens):
                     out, used = emit(keys, documents, id_type, first)
                     yield out
                     first += used
                     keys, documents, held = [], [], 0
+                if number != shard:
+                    shard, first = number, number << 40
+                documents.append(np.frombuffer(value.as_buffer(), width))
+                keys.append(k)
+                held += len(documents[-1])
         if documents:
             yield emit(keys, documents, id_type, first)[0]
 
-    return table.where("ids is not null").select("__id", "ids").mapInArrow(
+    dealt, _ = routed(table, counts, size, kind, shard_tokens)
+    return dealt.mapInArrow(
         fill, f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     )
