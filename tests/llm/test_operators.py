@@ -575,6 +575,19 @@ def test_disclosing_terms_are_generalised(spark):
     assert got[500]["n_terms"] == 0 and got[100]["sanitised"] == got[100]["text"]
 
 
+def test_one_or_two_texts_can_disclose(spark):
+    rows = [(n, f"Filler text number {n} of somebody") for n in range(4000)]
+    rows += [(5000 + n, f"Somebody {w} asked Quillfeather, mail q.f@corp.example") for n, w in enumerate(["gladly", "sadly"])]
+    rows += [(6000, "Somebody Ottermole has mail o.m@corp.example"), (6001, "Ottermole has"), (6002, "Ottermole has"), (6003, "Ottermole has")]
+    # Copies of a text are one piece of evidence: 2/3, where three would be 4/5.
+    rows += [(7000 + n, "Somebody Wimpleton, mail w.t@corp.example") for n in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["sanitised"] for r in pii.sanitise(docs).where("doc_id >= 5000").collect()}
+    assert all("Quillfeather" not in got[n] and "Somebody" in got[n] and "mail" in got[n] for n in (5000, 5001))
+    assert "Ottermole" in got[6000] and "Somebody" in got[6000]
+    assert all("Wimpleton" in got[n] for n in (7000, 7001, 7002))
+
+
 # --- helpers ---------------------------------------------------------------------------------
 
 

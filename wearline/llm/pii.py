@@ -1,15 +1,16 @@
 """Personal data: fixed patterns, and terms that disclose the found entities.
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers. On top of them the
-corpus tells which other terms give an entity away. Over all lines of all documents, an entity c has
-information content IC(c) = -ln p(c), and a term t in the same line carries PMI(c; t) =
-ln p(c, t) / (p(c) p(t)) of it. A term discloses c when PMI(c; t) >= disclosure * IC(c) (at 1.0 it
-says everything about c). It counts only with `support` different lines as evidence, so copies of
-one line prove nothing. Disclosing terms are generalised (a capitalised word becomes [Name]) or
+corpus tells which other terms give an entity away. Over all documents, an entity c has information
+content IC(c) = -ln p(c), and a term t in the same line carries PMI(c; t) = ln p(c | t) / p(c) of it.
+A term discloses c when PMI(c; t) >= disclosure * IC(c) (at 1.0 it says everything about c). p(c | t)
+is smoothed by the evidence: where k different texts have both and a share r of the documents with t
+has c, it is (k + 1) / (k / r + 2). Copies of a text are one piece of evidence, and there is no least
+number: a single text has p(c | t) = 2/3, which is enough where c is rare. Disclosing terms are generalised (a capitalised word becomes [Name]) or
 removed wherever they stand in a line with that entity; base spans become [EMAIL], [IP], ...
 
-Only Spark SQL functions are used. No pattern can match across a line break, so lines are the unit
-of the statistics. Positions come from running sums over the text between matches, one row per
+Only Spark SQL functions are used. No pattern can match across a line break, so lines are looked at
+one by one. Positions come from running sums over the text between matches, one row per
 match, so that a text full of matches costs linear time.
 
 Defined cases: a null text counts as empty; rows equal in doc_id and text are treated alike; a null
@@ -41,7 +42,6 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 OUTPUT = [*(f"n_{k}" for k in KINDS), "n_terms", "base", "spans", "sanitised"]
 
 DISCLOSURE = 0.95
-SUPPORT = 3
 MIN_TERM = 4
 
 
@@ -113,7 +113,7 @@ def words(text: Column) -> Column:
 def _entity_lines(found: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
     """Lines that hold a base span: keys, offset, line, entities, the words beside them."""
     held = spans.groupBy(*keys).agg(F.collect_list(F.struct("start", "end", "kind", "value")).alias("held"))
-    lines = found.join(held, keys).select(*keys, "held", F.posexplode(F.split("__text", "\n", -1)).alias("no", "line"))
+    lines = found.join(held, keys).select(*keys, "times", "held", F.posexplode(F.split("__text", "\n", -1)).alias("no", "line"))
     before = Window.partitionBy(*keys).orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     lines = lines.withColumn("offset", F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)))
     inside = F.filter("held", lambda s: (s["start"] >= F.col("offset")) & (s["end"] <= F.col("offset") + F.length("line")))
@@ -121,6 +121,7 @@ def _entity_lines(found: DataFrame, spans: DataFrame, keys: list[str]) -> DataFr
     rest = F.aggregate("held", F.col("line"), lambda acc, s: F.replace(acc, s["value"], F.lit(" ")))
     return lines.select(
         *keys,
+        "times",
         "offset",
         "line",
         F.array_distinct(F.transform("held", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))).alias("entities"),
@@ -128,31 +129,35 @@ def _entity_lines(found: DataFrame, spans: DataFrame, keys: list[str]) -> DataFr
     )
 
 
-def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, support: int) -> DataFrame:
+def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float) -> DataFrame:
     """(entity, word) pairs whose word says at least `disclosure` of the entity's information."""
+    by_document = ["__id", "__hash"]
     pairs = (
-        lines.select(F.xxhash64("line").alias("h"), F.explode("entities").alias("entity"), "words")
-        .select("h", "entity", F.explode("words").alias("word"))
-        .groupBy("entity", "word", "h")
-        .agg(F.count(F.lit(1)).alias("n"))
+        lines.select(*by_document, "times", F.explode("entities").alias("entity"), "words")
+        .select(*by_document, "times", "entity", F.explode("words").alias("word"))
+        .groupBy("entity", "word", *by_document)
+        .agg(F.max("times").alias("n"))
+        .groupBy("entity", "word", "__hash")
+        .agg(F.sum("n").alias("n"))
         .groupBy("entity", "word")
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum("n").alias("n_pair"))
-        .where(F.col("lines") >= support)
+        .agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n_pair"))
     )
     pairs = stage(pairs, "pii-pairs")
-    entities = lines.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    by_line = keyed.select(F.split("__text", "\n", -1).alias("lines"))
-    total = by_line.agg(F.sum(F.size("lines")).alias("n")).first()["n"] or 1
-    counts = (
-        by_line.select(F.explode(F.flatten(F.transform("lines", words))).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n_word"))
-    )
+    entities = (
+        lines.select(*by_document, "times", F.explode("entities").alias("entity"))
+        .groupBy("entity", *by_document)
+        .agg(F.max("times").alias("n"))
+        .groupBy("entity")
+        .agg(F.sum("n").alias("n_entity"))
+    )
+    total = keyed.count() or 1
+    counts = keyed.select(F.explode(words(F.col("__text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_word"))
     total = F.lit(float(total))
     joined = pairs.join(entities, "entity").join(counts, "word")
     information = F.ln(total / F.col("n_entity"))
-    shared = F.ln(F.col("n_pair") * total / (F.col("n_entity") * F.col("n_word")))
-    # An entity on every line has no information to disclose.
+    given = (F.col("texts") + 1) / (F.col("texts") * F.col("n_word") / F.col("n_pair") + 2)
+    shared = F.ln(given) + information
+    # An entity in every document has no information to disclose.
     return joined.where((information > 0) & (shared >= disclosure * information)).select("entity", "word")
 
 
@@ -178,7 +183,7 @@ def term_spans(lines: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame
 
 
 def sanitise(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", disclosure: float = DISCLOSURE, support: int = SUPPORT
+    docs: DataFrame, text: str = "text", key: str = "doc_id", disclosure: float = DISCLOSURE
 ) -> DataFrame:
     """`docs` with counts per kind, base and spans (kind:start:end, comma-joined) and the sanitised text."""
     docs = docs.drop(*OUTPUT)
@@ -188,11 +193,13 @@ def sanitise(
         F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("__id"), F.xxhash64(whole).alias("__hash"), whole.alias("__text")
     )
     # The documents with matches are written once, so that whole texts are never shuffled; rows equal
-    # in key and text would find every span twice.
-    found = stage(documents_with_matches(keyed, keys, "__text").dropDuplicates(keys), "pii-documents")
+    # in key and text would find every span twice, and are counted instead.
+    matches = [f"__{k}" for k in KINDS]
+    found = documents_with_matches(keyed, keys, "__text").groupBy(*keys)
+    found = stage(found.agg(*(F.first(c).alias(c) for c in ["__text", *matches]), F.count(F.lit(1)).alias("times")), "pii-documents")
     spans = stage(base_spans(found, keys, "__text"), "pii-spans")
     lines = stage(_entity_lines(found, spans, keys), "pii-lines")
-    terms = disclosing_terms(keyed, lines, disclosure, support)
+    terms = disclosing_terms(keyed, lines, disclosure)
     names = F.array(*(F.lit(k) for k in [*KINDS, "term"]))
     every = spans.unionByName(term_spans(lines, terms, keys)).withColumn("name", F.get(names, F.col("kind")))
     entry = F.concat_ws(":", "name", "start", "end")
