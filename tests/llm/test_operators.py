@@ -588,6 +588,20 @@ def test_one_or_two_texts_can_disclose(spark):
     assert all("Wimpleton" in got[n] for n in (7000, 7001, 7002))
 
 
+def test_terms_near_entities_go_everywhere(spark):
+    rows = [(n, f"Filler text number {n} of somebody") for n in range(400)]
+    signed = "Regards to you,\n{}\nAccount K7714\nli.x@corp.example\nFar\nbelow\nnothing"
+    rows += [(1000 + n, f"Letter {n}: Li wrote K7714\n\n\n\n" + signed.format("Li")) for n in range(9)]
+    rows += [(1100 + n, f"Note {n} for 王明 at +49 30 1234569") for n in range(12)]
+    rows += [(2000, "Somebody met Li and 王明 of K7714, kin of K77140, li.x@corp.example"), (2001, "Li and K7714 came by")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.sanitise(docs).where("doc_id >= 1000").collect()}
+    assert not any(re.search(r"\bLi\b|\bK7714\b", got[n]["sanitised"]) for n in (*range(1000, 1009), 2000, 2001))
+    assert not any("王明" in got[n]["sanitised"] for n in (*range(1100, 1112), 2000))
+    assert "K77140" in got[2000]["sanitised"] and "[EMAIL]" in got[2000]["sanitised"] and "[EMAIL]" in got[1000]["sanitised"]
+    assert "nothing" in got[1000]["sanitised"]
+
+
 # --- helpers ---------------------------------------------------------------------------------
 
 

@@ -2,15 +2,17 @@
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers. On top of them the
 corpus tells which other terms give an entity away. Over all documents, an entity c has information
-content IC(c) = -ln p(c), and a term t in the same line carries PMI(c; t) = ln p(c | t) / p(c) of it.
+content IC(c) = -ln p(c), and a term t within REACH lines of it carries PMI(c; t) = ln p(c | t) / p(c) of it.
 A term discloses c when PMI(c; t) >= disclosure * IC(c) (at 1.0 it says everything about c). p(c | t)
 is smoothed by the evidence: where k different texts have both and a share r of the documents with t
 has c, it is (k + 1) / (k / r + 2). Copies of a text are one piece of evidence, and there is no least
-number: a single text has p(c | t) = 2/3, which is enough where c is rare. Disclosing terms are generalised (a capitalised word becomes [Name]) or
-removed wherever they stand in a line with that entity; base spans become [EMAIL], [IP], ...
+number: a single text has p(c | t) = 2/3, which is enough where c is rare. Terms are
+runs of letters, marks and digits of any length. Disclosing terms are generalised (a capitalised word
+becomes [Name]) or removed wherever they stand in any document, except inside base spans; base spans
+become [EMAIL], [IP], ...
 
-Only Spark SQL functions are used. No pattern can match across a line break, so lines are looked at
-one by one. Positions come from running sums over the text between matches, one row per
+Only Spark SQL functions are used. No pattern can match across a line break, so base spans are
+looked up line by line. Positions come from running sums over the text between matches, one row per
 match, so that a text full of matches costs linear time.
 
 Defined cases: a null text counts as empty; rows equal in doc_id and text are treated alike; a null
@@ -42,7 +44,9 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 OUTPUT = [*(f"n_{k}" for k in KINDS), "n_terms", "base", "spans", "sanitised"]
 
 DISCLOSURE = 0.95
-MIN_TERM = 4
+REACH = 2
+SLOTS = 1 << 20
+TERM = r"\p{L}\p{M}\p{N}"
 
 
 def luhn(digits: Column) -> Column:
@@ -106,26 +110,27 @@ def base_spans(found: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    """Distinct lower-case words of at least MIN_TERM letters."""
-    return F.filter(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), lambda w: F.length(w) >= MIN_TERM)
+    """Distinct lower-case terms."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), f"[^{TERM}]+")), lambda w: F.length(w) > 0)
 
 
 def _entity_lines(found: DataFrame, spans: DataFrame, keys: list[str]) -> DataFrame:
-    """Lines that hold a base span: keys, offset, line, entities, the words beside them."""
+    """Lines that hold a base span: keys, times, entities, the words in and near the line."""
     held = spans.groupBy(*keys).agg(F.collect_list(F.struct("start", "end", "kind", "value")).alias("held"))
     lines = found.join(held, keys).select(*keys, "times", "held", F.posexplode(F.split("__text", "\n", -1)).alias("no", "line"))
     before = Window.partitionBy(*keys).orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     lines = lines.withColumn("offset", F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)))
     inside = F.filter("held", lambda s: (s["start"] >= F.col("offset")) & (s["end"] <= F.col("offset") + F.length("line")))
-    lines = lines.withColumn("held", inside).where(F.size("held") > 0)
+    lines = lines.withColumn("held", inside)
     rest = F.aggregate("held", F.col("line"), lambda acc, s: F.replace(acc, s["value"], F.lit(" ")))
+    # A line's neighbours go in without their own base spans.
+    near = Window.partitionBy(*keys).orderBy("no").rowsBetween(-REACH, REACH)
+    lines = lines.withColumn("rest", rest).withColumn("near", F.array_join(F.collect_list("rest").over(near), "\n")).where(F.size("held") > 0)
     return lines.select(
         *keys,
         "times",
-        "offset",
-        "line",
         F.array_distinct(F.transform("held", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"])))).alias("entities"),
-        words(rest).alias("words"),
+        words(F.col("near")).alias("words"),
     )
 
 
@@ -161,25 +166,33 @@ def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float) -> D
     return joined.where((information > 0) & (shared >= disclosure * information)).select("entity", "word")
 
 
-def term_spans(lines: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
-    """Places of disclosing terms in the lines of their entities."""
-    # The exploded words carry no line; it is fetched for the few lines that have a flagged word.
+def term_spans(keyed: DataFrame, spans: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
+    """Places of disclosing terms in all documents, outside base spans."""
+    # The exploded words carry no text; it is fetched for the documents that have a flagged word.
+    # A table of at most SLOTS hashes leaves out most other words before they are shuffled.
+    known = stage(terms.select("word").distinct(), "pii-terms")
+    slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).alias("slot")
     flagged = (
-        lines.select(*keys, "offset", F.explode("entities").alias("entity"), "words")
-        .select(*keys, "offset", "entity", F.explode("words").alias("word"))
-        .join(terms, ["entity", "word"])
-        .groupBy(*keys, "offset")
+        keyed.select(*keys, F.explode(words(F.col("__text"))).alias("word"))
+        .select("*", slot)
+        .join(F.broadcast(known.select(slot).distinct()), "slot", "left_semi")
+        .join(known, "word")
+        .groupBy(*keys)
         .agg(F.collect_set("word").alias("flagged"))
-        .join(lines.select(*keys, "offset", "line"), [*keys, "offset"])
-    )
-    parts = flagged.select(
-        *keys, "offset", "flagged", F.posexplode(F.split("line", r"(?<=\p{L})(?=\P{L})|(?<=\P{L})(?=\p{L})", -1)).alias("i", "part")
-    )
-    until = Window.partitionBy(*keys, "offset").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    parts = parts.withColumn("end", F.col("offset") + F.sum(F.length("part")).over(until))
-    return parts.where(F.array_contains("flagged", F.lower("part"))).select(
-        *keys, (F.col("end") - F.length("part")).alias("start"), "end", F.lit(len(KINDS)).alias("kind"), F.col("part").alias("value")
     )
+    flagged = stage(flagged, "pii-flagged")
+    texts = keyed.join(flagged, keys).groupBy(*keys).agg(F.first("__text").alias("__text"), F.first("flagged").alias("flagged"))
+    parts = texts.select(
+        *keys, "flagged", F.posexplode(F.split("__text", f"(?<=[{TERM}])(?=[^{TERM}])|(?<=[^{TERM}])(?=[{TERM}])", -1)).alias("i", "part")
+    ).select(*keys, "i", "part", F.array_contains("flagged", F.lower("part")).alias("hit"))
+    until = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("end", F.sum(F.length("part")).over(until)).where("hit")
+    found = parts.select(*keys, (F.col("end") - F.length("part")).alias("start"), "end", F.lit(len(KINDS)).alias("kind"), F.col("part").alias("value"))
+    # A term inside a base span goes with it.
+    every = found.unionByName(spans.select(*keys, "start", "end", "kind", "value"))
+    ahead = Window.partitionBy(*keys).orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = F.max(F.when(F.col("kind") < len(KINDS), F.col("end"))).over(ahead)
+    return every.withColumn("covered", covered).where(f"kind = {len(KINDS)} and (covered is null or end > covered)").drop("covered")
 
 
 def sanitise(
@@ -201,7 +214,7 @@ def sanitise(
     lines = stage(_entity_lines(found, spans, keys), "pii-lines")
     terms = disclosing_terms(keyed, lines, disclosure)
     names = F.array(*(F.lit(k) for k in [*KINDS, "term"]))
-    every = spans.unionByName(term_spans(lines, terms, keys)).withColumn("name", F.get(names, F.col("kind")))
+    every = spans.unionByName(term_spans(keyed, spans, terms, keys)).withColumn("name", F.get(names, F.col("kind")))
     entry = F.concat_ws(":", "name", "start", "end")
     collected = every.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end", entry.alias("entry"), "value"))).alias("__found")
