@@ -411,6 +411,13 @@ def test_collection_transform_agrees_with_sorted_suffixes():
         assert [0] + [shared(a, b) for a, b in zip(got, got[1:])] == common.tolist()
 
 
+def test_anchors_are_dealt_evenly():
+    rng = np.random.default_rng(4)
+    anchors = np.unique(suffix_dedup.pieces(rng.integers(97, 123, 200_000).astype(np.uint8))[2])
+    sizes = [len(row.column("a0")[0].as_py()) // 8 for row in suffix_dedup._dealt(anchors, 18, [], [anchors])]
+    assert sum(sizes) == len(anchors) and len(sizes) == 18 and max(sizes) < 1.2 * len(anchors) / 18
+
+
 # --- 7 ---------------------------------------------------------------------------------------
 
 

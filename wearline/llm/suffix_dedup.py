@@ -259,10 +259,13 @@ def _block_anchors(buckets: int):
 
 
 def _dealt(anchors: np.ndarray, parts: int, fixed: list, arrays: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """One row per part of the anchors' range: part, fixed values, the part's slice of each array as bytes."""
+    """One row per part: part, fixed values, the part's slice of each array as bytes.
+
+    Anchors are minima of hashes and crowd at 0, so their range is mixed before it is cut.
+    """
     if not len(anchors):
         return
-    part = ((anchors >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    part = ((mix(anchors + np.uint64(BASE)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
     for p in np.flatnonzero(np.diff(cuts)):
