@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import decontamination, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, token_counts, token_files, vptree, warc
+from wearline.llm import decontamination, hard_negatives, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, token_counts, token_files, vptree, warc
 from wearline.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,9 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "token-ids")
     token_files.write_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), folder, "byte_bpe_50k.json", end_id=0)
     return token_files.read_documents(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op12_hard_negatives", hard_negatives.ORACLE_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), "vec_id % 100 = 0", label)
