@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import decontamination, hard_negatives, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, token_counts, token_files, vptree, warc
+from wearline.llm import alignment, decontamination, hard_negatives, line_dedup, near_dedup, packing, pii, quality, suffix_dedup, token_counts, token_files, vptree, warc
 from wearline.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,9 @@ def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
     return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), "vec_id % 100 = 0", label)
+
+
+@query("op13_cross_tokenizer_alignment")
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), "byte_bpe_50k.json", "piece_bpe_32k.model")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
