@@ -58,8 +58,8 @@ from wearline.llm.text import slices
 from wearline.llm.warc import file_system
 
 SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
-BLOCK_IDS = 4096
-GROUP_IDS = 1 << 22
+BLOCK_IDS = 2048
+GROUP_IDS = 1 << 21
 FILE_BYTES = 64 << 20
 SPLIT_BYTES = 4 << 20
 MAGIC, VERSION = b"WIDS", 1
