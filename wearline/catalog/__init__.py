@@ -9,5 +9,6 @@ from wearline.catalog import (  # noqa: F401
     scoring,
     series,
     storage,
+    training,
 )
 from wearline.catalog.registry import ORACLES, QUERIES  # noqa: F401

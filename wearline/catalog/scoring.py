@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from wearline.catalog.registry import PANEL_SQL, SERIES, frame, query, rounded
 from wearline.operators.sequences import of_shape, rolling_sequences
-from wearline.operators.splits import split_by_engine
 from wearline.panel import engine_panel
 from wearline.plans import learning, serving
 from wearline.plans.rul import actual_and_predicted, regression_metrics
@@ -135,16 +134,3 @@ def serve_zone_counts(spark, sf):
     """Engines per alert zone by their latest predicted life."""
     served = serving.train_and_validate(_windows(spark, sf), INPUTS)
     return serving.maintenance(served["predictions"])["counts"]
-
-
-@query("grid_search_cv")
-def grid_search_cv(spark, sf):
-    features = _windows(spark, sf)
-    return learning.grid_search(features, INPUTS)
-
-
-@query("training_history")
-def training_history(spark, sf):
-    features = _windows(spark, sf)
-    marked = stage(split_by_engine(features, 0.2), "split")
-    return learning.training_history(marked.where("NOT is_test"), marked.where("is_test"), INPUTS)

@@ -1,12 +1,10 @@
-"""Regressors on window features: training, grid search, history and batch scoring."""
+"""Regressors on window features: training and batch scoring."""
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,57 +48,6 @@ def coefficients(df: DataFrame, model: PipelineModel, inputs: list[str]) -> Data
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def grid_search(df: DataFrame, inputs: list[str], label: str = RUL, folds: int = 3, seed: int = 42, rounds: int = 30, keys=ENTITY) -> DataFrame:
-    """2 x 2 x 2 grid with cross validation: each combination, its score, and which one is best.
-
-    All windows of an engine are in one fold, chosen by a hash of its key. The best model is
-    refitted on all rows by the validator.
-    """
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    linear = LinearRegression(featuresCol="features", labelCol=label, maxIter=rounds)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(linear.regParam, [0.0, 0.1])
-        .addGrid(linear.elasticNetParam, [0.0, 0.5])
-        .addGrid(linear.fitIntercept, [True, False])
-        .build()
-    )
-    search = CrossValidator(
-        estimator=linear,
-        estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=4,
-        seed=seed,
-    )
-    fold = F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int").alias("_fold")
-    assembled = assembler.transform(df).select("features", label, fold).persist()
-    fitted = search.fit(assembled)
-    assembled.unpersist()
-    best = min(fitted.avgMetrics)
-    rows = [
-        (float(m[linear.regParam]), float(m[linear.elasticNetParam]), bool(m[linear.fitIntercept]), float(s), bool(s == best))
-        for m, s in zip(grid, fitted.avgMetrics)
-    ]
-    return df.sparkSession.createDataFrame(
-        rows, "reg_param double, elastic_net double, fit_intercept boolean, rmse double, is_best boolean"
-    )
-
-
-def training_history(train: DataFrame, validation: DataFrame, inputs: list[str], label: str = RUL, rounds: int = 30) -> DataFrame:
-    """Squared error per boosting round on train and validation rows."""
-    assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    fit_on = assembler.transform(train).select("features", label).persist()
-    check_on = assembler.transform(validation).select("features", label).persist()
-    model = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, maxDepth=3, seed=42).fit(fit_on)
-    losses = zip(model.evaluateEachIteration(fit_on, "squared"), model.evaluateEachIteration(check_on, "squared"))
-    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(losses)]
-    fit_on.unpersist()
-    check_on.unpersist()
-    return train.sparkSession.createDataFrame(rows, "epoch int, loss double, val_loss double")
-
-
 def score_windows(seqs: DataFrame, model: PipelineModel, features: list[str], size: int) -> DataFrame:
     """Predictions for windows of the expected shape, by key."""
     checked = of_shape(seqs, size, len(features))

@@ -70,3 +70,30 @@ def drop_stages(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; call it when all results are written."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text at `path`, where nothing is yet; it is there whole or not at all."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fresh = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = store.create(fresh, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    store.rename(fresh, target)
+
+
+def last_text(spark: SparkSession, folder: str, suffix: str) -> str | None:
+    """The text of the last file by name that ends in `suffix`, None where there is none."""
+    if not path_exists(spark, folder):
+        return None
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in store.listStatus(root))
+    names = [n for n in names if n.endswith(suffix)]
+    if not names:
+        return None
+    file = store.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{names[-1]}"))
+    text = bytes(file.readAllBytes()).decode()
+    file.close()
+    return text
