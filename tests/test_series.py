@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wearline.operators import ordering
+from wearline.operators import ordering, sequences
 from wearline.operators.ordering import number_rows, running_total
 from wearline.operators.sequences import (
     check_sequences, engine_mean_vectors, engine_means_of_rows, explode_steps, flatten_windows, forecast_windows, of_shape,
@@ -180,3 +180,24 @@ def test_window_statistics_from_rows(spark):
     assert means == pytest.approx({r["engine_id"]: r["sensor_1_mean"] for r in engine_mean_vectors(seqs, names).collect()})
     with pytest.raises(Exception, match="does not have shape"):
         of_shape(seqs, 4, 2).collect()
+
+
+def test_a_large_group_without_a_key_is_split(spark):
+    rows = [(None, k) for k in range(12)] + [("a", k) for k in range(3)] + [("b", k) for k in range(9)]
+    df = spark.createDataFrame(rows, "g string, k long")
+    usual, large = ordering.split_by_size(df, ["g"], 5)
+    assert usual.groupBy("g").count().collect() == [("a", 3)]
+    assert sorted(map(tuple, large.groupBy("g").count().collect()), key=str) == [("b", 9), (None, 12)]
+    numbered = ordering.number_rows(df, ["g"], ["k"], "place", total="all", bounded_rows=5).collect()
+    assert all(r["place"] == r["k"] + 1 for r in numbered) and len(numbered) == 24
+    assert {(r["g"], r["all"]) for r in numbered} == {(None, 12), ("a", 3), ("b", 9)}
+
+
+def test_merged_moments():
+    import numpy as np
+
+    values = np.random.default_rng(1).uniform(size=1_000) + 1e8
+    parts = [(len(p), float(p.mean()), float(((p - p.mean()) ** 2).sum())) for p in np.split(values, [100, 101, 500])]
+    n, mean, m2 = sequences.merge_moments([(0, None, None), *parts])
+    assert n == 1_000 and abs(mean - values.mean()) < 1e-7
+    assert abs(m2 / n - values.var()) < 1e-9

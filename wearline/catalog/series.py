@@ -200,7 +200,17 @@ SELECT t.t, f, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM (
 GROUP BY 1, 2""")
 def window_position_stats(spark, sf):
     features = ["sensor_1", "sensor_2"]
-    return rounded(seq.position_stats_of_rows(engine_panel(spark, sf), features, dense=True), ["mean", "std"])
+    return rounded(seq.position_stats_of_rows(engine_panel(spark, sf), features, dense=True, length="life"), ["mean", "std"])
+
+
+@query("window_position_stats_far_from_zero", PANEL_SQL + f"""
+, s AS (SELECT {KEY}, life, 1e8 + sensor_1 / 1000 AS v FROM panel), t AS (SELECT unnest(generate_series(0, 29)) AS t)
+SELECT t.t, 0 AS f, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS std
+FROM s JOIN t ON s.cycle >= t.t + 1 AND s.cycle <= s.life - 29 + t.t GROUP BY 1""")
+def window_position_stats_far_from_zero(spark, sf):
+    """Values whose spread is a billionth of their size."""
+    panel = engine_panel(spark, sf).select(*ENTITY, "cycle", (F.lit(1e8) + F.col("sensor_1") / 1000).alias("v"))
+    return rounded(seq.position_stats_of_rows(panel, ["v"], dense=True), ["mean", "std"], 4)
 
 
 @query("flat_windows_scaled", PANEL_SQL + f"""
@@ -213,7 +223,7 @@ def flat_windows_scaled(spark, sf):
     features = ["sensor_1", "sensor_2"]
     panel = engine_panel(spark, sf)
     made = seq.rolling_sequences(panel, features, dense=True)
-    scaled = seq.scale_flat_windows(made, seq.position_stats_of_rows(panel, features, dense=True), 30, 2, [*ENTITY, "cycle"])
+    scaled = seq.scale_flat_windows(made, seq.position_stats_of_rows(panel, features, dense=True, length="life"), 30, 2, [*ENTITY, "cycle"])
     flat = seq.flatten_windows(scaled, 30, 2, [*ENTITY, "cycle"])
     return rounded(flat.select(*ENTITY, "cycle", "t0_f0", "t15_f1", "t29_f0"), ["t0_f0", "t15_f1", "t29_f0"], 5)
 

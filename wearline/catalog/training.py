@@ -26,7 +26,7 @@ FOLDS = 3
 
 
 def _panel(spark, sf):
-    return engine_panel(spark, sf).select(*ENTITY, "cycle", *FEATURES, (F.col("life") - F.col("cycle")).cast("double").alias(RUL))
+    return engine_panel(spark, sf).select(*ENTITY, "cycle", "life", *FEATURES, (F.col("life") - F.col("cycle")).cast("double").alias(RUL))
 
 
 ENGINES_SQL = """
@@ -80,7 +80,7 @@ FROM settled, (SELECT unnest(range(1, {K + 1})) AS j)
 UNION ALL SELECT NULL, 'intercept', round(my - list_dot_product(w, m), 4) FROM settled""")
 def train_on_windows(spark, sf):
     """Regression on every time step and feature of the windows, from lagged products of the rows."""
-    moments = window_moments(_panel(spark, sf), FEATURES, size=STEPS, dense=True)[None]
+    moments = window_moments(_panel(spark, sf), FEATURES, size=STEPS, dense=True, length="life")[None]
     path = fresh_path(spark, "window-model")
     models.save_model(models.fit_window_model(moments), spark, path)
     return rounded(models.load_model(spark, path).table(spark), ["value"], 4)
@@ -91,7 +91,7 @@ SELECT dataset_id, engine_id, cycle, round(my + list_dot_product(settled.w, x) -
 def score_on_windows(spark, sf):
     """Predictions of the fitted model as sums of earlier rows' weighted values."""
     panel = _panel(spark, sf)
-    model = models.fit_window_model(window_moments(panel, FEATURES, size=STEPS, dense=True)[None])
+    model = models.fit_window_model(window_moments(panel, FEATURES, size=STEPS, dense=True, length="life")[None])
     return rounded(models.score_rows(panel, model, dense=True), ["prediction"], 4)
 
 
@@ -114,7 +114,7 @@ def grid_search_cv(spark, sf):
     panel = _panel(spark, sf)
     engines = number_rows(panel.select(*ENTITY).distinct(), [], ENTITY, "_no")
     folded = attach(panel, engines.select(*ENTITY, (modular_hash("_no", 42) % FOLDS).cast("int").alias("fold")), ENTITY)
-    rows, _ = models.grid_search(window_moments(folded, FEATURES, size=STEPS, by="fold", dense=True))
+    rows, _ = models.grid_search(window_moments(folded, FEATURES, size=STEPS, by="fold", dense=True, length="life"))
     return rounded(models.grid_table(spark, rows), ["rmse"], 5)
 
 
@@ -142,6 +142,6 @@ SELECT epoch, round(loss, 6) AS loss, round(val_loss, 6) AS val_loss, used AS ra
 def training_history(spark, sf):
     """Loss per epoch on the engines of either side, with early stopping; the best epoch's model is kept."""
     marked = split_by_engine(_panel(spark, sf), 0.2)
-    sides = window_moments(marked, FEATURES, size=STEPS, by="is_test", dense=True)
+    sides = window_moments(marked, FEATURES, size=STEPS, by="is_test", dense=True, length="life")
     state, _ = models.train_by_steps(sides[False], sides[True], EPOCHS, spark=spark, folder=fresh_path(spark, "training"))
     return rounded(models.history_table(spark, state), ["loss", "val_loss"])

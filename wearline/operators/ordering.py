@@ -25,35 +25,37 @@ BLOCK_ROWS = 16_384
 LARGE_GROUPS = 500_000
 
 
-def groups_fit(df: DataFrame, keys: list[str], limit: int) -> bool:
-    """Whether no key group has more than `limit` rows.
-
-    A table of that size at most cannot have one; otherwise the groups are counted, with
-    partial counts that stay cheap on uneven keys.
-    """
-    if df.count() <= limit:
-        return True
+def _largest(df: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """Rows per key, and the largest number; one pass that reads the keys only and sends partial counts."""
     if not keys:
-        return False
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).isEmpty()
+        return df, df.count()
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes, sizes.agg(F.max("_n")).first()[0] or 0
+
+
+def groups_fit(df: DataFrame, keys: list[str], limit: int) -> bool:
+    """Whether no key group has more than `limit` rows."""
+    return _largest(df, keys)[1] <= limit
 
 
 def split_by_size(df: DataFrame, keys: list[str], limit: float) -> tuple[DataFrame | None, DataFrame | None]:
     """Rows of groups up to `limit`, and rows of larger groups; None where there are none.
 
-    At most one group per `limit` rows can be large, which bounds the list of their keys.
-    An infinite limit says that the caller has checked the size.
+    At most one group per `limit` rows can be large, which bounds the list of their keys. Missing keys
+    are a group like any other. An infinite limit says that the caller has checked the size.
     """
-    if math.isinf(limit) or df.count() <= limit:
+    if math.isinf(limit):
+        return df, None
+    sizes, most = _largest(df, keys)
+    if most <= limit:
         return df, None
     if not keys:
         return None, df
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    large, found = stage_counted(sizes.drop("_n"), "large")
-    if not found:
-        return df, None
+    named = {k: f"_large_{i}" for i, k in enumerate(keys)}
+    large, found = stage_counted(sizes.where(F.col("_n") > limit).select(*[F.col(k).alias(n) for k, n in named.items()]), "large")
     side = F.broadcast(large) if found <= LARGE_GROUPS else large
-    return df.join(side, keys, "left_anti"), df.join(side, keys, "left_semi")
+    same = reduce(lambda x, y: x & y, [df[k].eqNullSafe(F.col(n)) for k, n in named.items()])
+    return df.join(side, same, "left_anti"), df.join(side, same, "left_semi")
 
 
 def _placed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

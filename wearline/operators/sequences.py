@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wearline.operators.joins import attach
 from wearline.operators.ordering import lay_blocks, number_rows, over_series, running_total, series_window
 from wearline.schema import CYCLE, ENTITY, WINDOW_SIZE, require_numeric
+from wearline.session import stage
 
 
 def rolling_sequences(
@@ -119,37 +120,51 @@ def position_stats(seqs: DataFrame, features: list[str]) -> DataFrame:
 
 
 def position_stats_of_rows(
-    df: DataFrame, features: list[str], size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE, dense: bool = False
+    df: DataFrame, features: list[str], size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE, dense: bool = False, length: str | None = None
 ) -> DataFrame:
     """The same numbers as `position_stats` of all windows, from the rows themselves.
 
     Place t of the windows holds every row of an engine but its first t and its last size - 1 - t.
-    One aggregation sums the rows by their distance to either end, as far as that is below `size`.
+    One aggregation takes count, mean and squared distance from the mean of the rows by their distance to either
+    end, as far as that is below `size`; the groups of a place are then merged, which loses no digits
+    to large values. `length` names a column with the number of an engine's rows, as `number_rows` gives
+    it; without one the rows are numbered or, if `dense`, written once and counted.
     """
-    if dense:
-        lengths = df.groupBy(*keys).agg(F.max(position).alias("_length"))
-        placed, place = attach(df, lengths, keys), position
+    values = [F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(features)]
+    if dense and length:
+        placed = df.select(F.col(position).alias("_place"), F.col(length).alias("_length"), *values)
+    elif dense:
+        rows = stage(df.select(*keys, F.col(position).alias("_place"), *values), "series")
+        placed = attach(rows, rows.groupBy(*keys).agg(F.max("_place").alias("_length")), list(keys))
     else:
-        placed, place = number_rows(df, list(keys), [position], "_place", total="_length"), "_place"
-    to_end = F.col("_length") - F.col(place)
-    sums = [
-        F.struct(F.count(c).alias("n"), F.sum(F.col(c).cast("double")).alias("x"), F.sum(F.pow(F.col(c).cast("double"), 2.0)).alias("xx")).alias(f"_{i}")
-        for i, c in enumerate(features)
-    ]
+        placed = number_rows(df.select(*keys, position, *values), list(keys), [position], "_place", total="_length")
+    to_end = F.col("_length") - F.col("_place")
+    moments = [F.struct(F.count(f"_v{i}").alias("n"), F.avg(f"_v{i}").alias("mean"), (F.var_pop(f"_v{i}") * F.count(f"_v{i}")).alias("m2")).alias(f"_{i}") for i in range(len(features))]
     ends = placed.where(F.col("_length") >= size).groupBy(
-        F.when(F.col(place) < size, F.col(place)).alias("head"), F.when(to_end < size - 1, to_end).alias("tail")
+        F.when(F.col("_place") < size, F.col("_place")).alias("head"), F.when(to_end < size - 1, to_end).alias("tail")
     )
-    rows = ends.agg(*sums).collect()  # at most size x size groups
+    rows = ends.agg(*moments).collect()  # at most size x size groups
     found = []
     for t in range(size):
         inside = [r for r in rows if (r["head"] is None or r["head"] > t) and (r["tail"] is None or r["tail"] >= size - 1 - t)]
         for i in range(len(features)):
-            n, x, xx = (sum(r[f"_{i}"][k] or 0 for r in inside) for k in range(3))
-            mean = x / n if n else None
-            found.append((t, i, mean, math.sqrt(max(xx / n - mean * mean, 0.0)) if n else None))
+            n, mean, m2 = merge_moments([tuple(r[f"_{i}"]) for r in inside])
+            found.append((t, i, mean if n else None, math.sqrt(m2 / n) if n else None))
     return df.sparkSession.createDataFrame(found, "t long, f int, mean double, std double")
 
 
+def merge_moments(parts: list[tuple[int, float | None, float | None]]) -> tuple[int, float, float]:
+    """Count, mean and sum of squared distances from the mean of all parts together, without sums of squares."""
+    n, mean, m2 = 0, 0.0, 0.0
+    for size, own, squares in parts:
+        if size:
+            apart = own - mean
+            m2 += squares + apart * apart * n * size / (n + size)
+            mean += apart * size / (n + size)
+            n += size
+    return n, mean, m2
+
+
 def engine_means_of_rows(df: DataFrame, features: list[str], size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE, dense: bool = False) -> DataFrame:
     """The same means as `engine_mean_vectors`: rows that end a window are those from position `size` on."""
     placed, place = (df, position) if dense else (number_rows(df, list(keys), [position], "_place"), "_place")

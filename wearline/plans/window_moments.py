@@ -96,23 +96,27 @@ class _Sums:
 
 def window_moments(
     df: DataFrame, features: list[str], label: str = RUL, size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE,
-    by: str | None = None, dense: bool = False, block_rows: int | None = None,
+    by: str | None = None, dense: bool = False, block_rows: int | None = None, length: str | None = None,
 ) -> dict:
     """Moments of all windows for each value of `by`, a column that is constant within an engine (None: one entry, None).
 
-    The input is read once. Engines shorter than a window have none. A missing or non-finite input or
+    The input is read once. `length` names a column with the number of an engine's rows, as the pass that
+    numbers them gives it; without one it is counted from the written rows. Engines shorter than a window have none. A missing or non-finite input or
     target in an engine that has windows is an error: fill before.
     """
     require_numeric(df.schema, [*features, label])
     values = F.array(*[F.col(c).cast("double") for c in [*features, label]])
     group = (F.col(by) if by else F.lit(None).cast("string")).alias("_by")
-    if dense:
-        narrow = df.select(*keys, F.col(position).alias("_place"), group, values.alias("_x"))
+    if not dense:
+        narrow = number_rows(df.select(*keys, position, group, values.alias("_x")), list(keys), [position], "_place", total="_length").drop(position)
+    elif length:
+        narrow = df.select(*keys, F.col(position).alias("_place"), F.col(length).alias("_length"), group, values.alias("_x"))
     else:
-        narrow = number_rows(df.select(*keys, position, group, values.alias("_x")), list(keys), [position], "_place").drop(position)
+        narrow = df.select(*keys, F.col(position).alias("_place"), group, values.alias("_x"))
     rows = stage(narrow, "series")
-    lengths = rows.groupBy(*keys).agg(F.max("_place").alias("_length")).where(F.col("_length") >= size)
-    whole = attach(rows, lengths, list(keys))
+    if dense and not length:
+        rows = attach(rows, rows.groupBy(*keys).agg(F.max("_place").alias("_length")), list(keys))
+    whole = rows.where(F.col("_length") >= size)
     width = len(features) + 2
     odd = F.exists("_x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     checked = whole.agg(F.count_if(odd).alias("odd"), *[F.avg(F.col("_x")[i]).alias(f"_{i}") for i in range(width - 1)]).first()
