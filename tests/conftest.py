@@ -38,3 +38,4 @@ def small_limits(monkeypatch):
     monkeypatch.setattr(ordering, "BOUNDED_ROWS", 5)
     monkeypatch.setattr(ordering, "BLOCK_ROWS", 40)
     monkeypatch.setattr(quantiles, "BOUNDED_VALUES", 5)
+    monkeypatch.setattr(quantiles, "SKETCH_FROM", 5)

@@ -277,3 +277,34 @@ def test_all_chosen_engines_are_shown(spark):
     assert alerts.rul_trend(df).select("engine_id").distinct().count() == 5
     assert alerts.rul_trend(df, df.where("engine_id > 99")).count() == 24
     assert alerts.latest_zones(df, edges=[-1, 7, 100], labels=["Low", "High"]).where("Alert = 'Low'").count() == 8
+
+
+@pytest.mark.parametrize("accuracy", [2_000, 20])
+def test_quantiles_of_groups_with_sketches(spark, monkeypatch, accuracy):
+    """A hot group, ties, missing values, and brackets so narrow that some miss."""
+    from wearline.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "SKETCH_FROM", 50)
+    monkeypatch.setattr(quantiles, "GROUP_ACCURACY", accuracy)
+    rng = np.random.default_rng(accuracy)
+    rows = [("hot", float(v), float(round(v))) for v in rng.normal(size=4_000) * 10]
+    rows += [("ties", 5.0, None)] * 300 + [("few", float(v), 1.0) for v in range(7)] + [("two", float(v % 2), float(v)) for v in range(200)]
+    df = spark.createDataFrame(rows, "g string, a double, b double").repartition(4)
+    got = quantiles.exact_quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 0.9, 1.0], list("vwxyz"), by=["g"]).collect()
+    found = {(r["g"], r["column"]): (r["n"], *(r[c] for c in "vwxyz")) for r in got}
+    for group in ("hot", "ties", "few", "two"):
+        for i, column in ((1, "a"), (2, "b")):
+            values = [r[i] for r in rows if r[0] == group and r[i] is not None]
+            if values:
+                want = (len(values), *np.quantile(values, [0.0, 0.25, 0.5, 0.9, 1.0]))
+                assert found[group, column] == pytest.approx(want), (group, column)
+            else:
+                assert (group, column) not in found
+
+
+def test_only_values_near_the_ranks_are_shuffled(spark):
+    from wearline.operators import quantiles
+
+    df = spark.range(300_000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("a"))
+    near = quantiles._collapse_groups(df, ["a"], ["g"], [0.25, 0.5, 0.75])
+    assert near.groupBy("g", "value", "gap").count().count() < 10_000

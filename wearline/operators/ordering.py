@@ -95,7 +95,7 @@ def number_rows(
     if large is not None:
         placed = _placed(large, keys, order)
         parts = placed.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_amount"), F.min("_row").alias("_first"))
-        known = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"])
+        known = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"], missing=True)
         position = F.col("_row") - F.col("_first") + 1 + F.col("_before")
         numbered.append(known.select("*", position.alias(name), *_total_of(F.col("_total"), total)))
     return reduce(DataFrame.union, [part.select(*df.columns, *added) for part in numbered])
@@ -126,7 +126,7 @@ def running_total(
     if large is not None:
         placed = _placed(large, keys, order)
         parts = placed.groupBy(*keys, "_part").agg(F.sum(amount).alias("_amount"))
-        known = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"])
+        known = attach(placed, _before_part(parts, keys).drop("_amount"), [*keys, "_part"], missing=True)
         by_part = Window.partitionBy(*keys, "_part").orderBy(*order)
         running = F.col("_before") + F.sum(amount).over(by_part.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         summed.append(known.select("*", running.alias(name), *_total_of(F.col("_total"), total)))

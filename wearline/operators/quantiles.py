@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.operators.ordering import groups_fit, running_total
+from wearline.operators.joins import attach
+from wearline.operators.ordering import running_total, split_by_size
 from wearline.session import stage
 
 # Groups with up to this many values are ordered by one window task each.
 BOUNDED_VALUES = 1_000_000
 SKETCH_ACCURACY = 10_000
+# Groups with more values than this are sketched first; a sketch of a group holds some thousand values.
+SKETCH_FROM = 20_000
+GROUP_ACCURACY = 2_000
 
 
 def _present(column: str):
@@ -57,6 +62,41 @@ def _collapse(df: DataFrame, columns: list[str], probs: list[float]) -> DataFram
     )
 
 
+def _collapse_groups(df: DataFrame, columns: list[str], by: list[str], probs: list[float]) -> DataFrame:
+    """As `_collapse` within groups: partial sketches are merged per group, and the brackets stay a table."""
+    reach = 2.0 / GROUP_ACCURACY
+    lows, highs = [max(0.0, p - reach) for p in probs], [min(1.0, p + reach) for p in probs]
+    sketch = df.groupBy(*by).agg(*[F.percentile_approx(_present(c), lows + highs, GROUP_ACCURACY).alias(f"_s{i}") for i, c in enumerate(columns)])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_s{i}").alias("_edges")) for i, c in enumerate(columns)])
+    brackets = stage(sketch.select(*by, F.explode(each).alias("_e")).select(*by, "_e.*"), "brackets")
+    value, inside, floor = F.col("value"), F.lit(False), [F.lit(float("-inf"))]
+    for i in range(len(probs)):
+        low, high = F.col("_edges")[i], F.col("_edges")[len(probs) + i]
+        inside = inside | value.between(low, high)
+        floor.append(F.when(value > high, high))
+    joined = attach(_long(df, columns, by), brackets, [*by, "column"])
+    return joined.select(
+        *by, "column", F.when(inside, value).otherwise(F.greatest(*floor)).alias("value"), F.when(inside, 0).otherwise(1).alias("gap")
+    )
+
+
+def _counted(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """Rows per distinct value."""
+    counted = _long(df, columns, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("gap", F.lit(0))
+
+
+def _quantiles_of_large_groups(df: DataFrame, columns: list[str], probs: list[float], names: list[str], by: list[str], limit: float) -> DataFrame:
+    """Groups worth a sketch: exact counts inside the brackets; a group whose bracket misses is counted whole."""
+    near = _collapse_groups(df, columns, by, probs).groupBy(*by, "column", "value", "gap").agg(F.count(F.lit(1)).alias("n"))
+    picked = stage(_pick(stage(near, "near"), by, names, probs, limit), "picked")
+    hit, missed = picked.where("_missed = 0"), picked.where("_missed > 0").select(*by).distinct()
+    if missed.isEmpty():
+        return hit.drop("_missed")
+    again = _pick(stage(_counted(df.join(missed, by, "left_semi"), columns, by), "counted"), by, names, probs, limit)
+    return attach(hit, missed, by, "left_anti").drop("_missed").unionByName(again.drop("_missed"))
+
+
 def _pick(counted: DataFrame, by: list[str], names: list[str], probs: list[float], bounded_rows: float) -> DataFrame:
     """Values at the wanted ranks of (by, column), from counts per distinct value."""
     ranked = running_total(
@@ -98,22 +138,26 @@ def exact_quantiles(
     """One row per group and column: `n` present values and the quantiles as `names`.
 
     Values are counted per distinct value, ordered with running totals, and read off at their
-    ranks. Whole columns first drop to the values near the ranks. Groups of measured, moderate
-    size are ordered by a window each; larger ones by a range sort, so that no task holds them. (The built-in `percentile` gives the same numbers from one buffer per group.)
+    ranks. Whole columns and groups of more than SKETCH_FROM rows first drop to the values near the
+    ranks, which a mergeable sketch brackets; the others are counted per gap. Smaller groups are ordered by a
+    window each. (The built-in `percentile` gives the same numbers from one buffer per group.)
     """
     by = list(by or [])
     limit = BOUNDED_VALUES if bounded_values is None else bounded_values
-    if by and groups_fit(df, by, limit):
-        counted = _long(df, columns, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-        return _pick(counted.withColumn("gap", F.lit(0)), by, names, probs, math.inf).drop("_missed")
-    if not by:
-        near = stage(_collapse(df, columns, probs).groupBy("column", "value", "gap").agg(F.count(F.lit(1)).alias("n")))
-        picked = _pick(near, by, names, probs, limit)
-        rows = picked.collect()
-        if all(r["_missed"] == 0 for r in rows):
-            return df.sparkSession.createDataFrame(rows, picked.schema).drop("_missed")
-    counted = stage(_long(df, columns, by).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n")))
-    return _pick(counted.withColumn("gap", F.lit(0)), by, names, probs, limit).drop("_missed")
+    if by:
+        usual, large = split_by_size(df, by, SKETCH_FROM)
+        found = []
+        if usual is not None:
+            found.append(_pick(_counted(usual, columns, by), by, names, probs, math.inf).drop("_missed"))
+        if large is not None:
+            found.append(_quantiles_of_large_groups(large, columns, probs, names, by, limit))
+        return reduce(DataFrame.unionByName, found)
+    near = stage(_collapse(df, columns, probs).groupBy("column", "value", "gap").agg(F.count(F.lit(1)).alias("n")))
+    picked = _pick(near, by, names, probs, limit)
+    rows = picked.collect()
+    if all(r["_missed"] == 0 for r in rows):
+        return df.sparkSession.createDataFrame(rows, picked.schema).drop("_missed")
+    return _pick(stage(_counted(df, columns, by)), by, names, probs, limit).drop("_missed")
 
 
 def quantile_row(df: DataFrame, columns: list[str], probs: list[float], bounded_values: int | None = None) -> dict:
