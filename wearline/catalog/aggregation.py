@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearline.catalog.projection import CELLS_SQL
-from wearline.catalog.registry import PANEL_SQL, frame, query, rounded
+from wearline.catalog.registry import PANEL_SQL, SERIES, frame, query, rounded
 from wearline.functions import arrays
 from wearline.operators import aggregates as agg
-from wearline.operators import sequences
+from wearline.operators import products, sequences
 from wearline.operators.quantiles import exact_quantiles
+from wearline.operators.sequences import flatten_windows, rolling_sequences
 from wearline.panel import engine_panel, table
 from wearline.schema import ENTITY
 
@@ -162,7 +163,7 @@ def matmul_coo(spark, sf):
     cells = table(spark, sf, "embeddings").select("vec_id", "label", F.posexplode(F.col("embedding").cast("array<double>")).alias("k", "v"))
     left = cells.select(F.col("vec_id").alias("i"), "k", "v")
     right = cells.groupBy("k", F.col("label").alias("j")).agg(F.avg("v").alias("v"))
-    return rounded(agg.multiply(left, right), ["v"])
+    return rounded(products.multiply(left, right), ["v"])
 
 
 @query("quantiles_exact", _each("""
@@ -171,3 +172,35 @@ SELECT '{c}' AS "column", count({c}) AS n, round(quantile_cont({c}, 0.25), 6) AS
 def quantiles_exact(spark, sf):
     found = exact_quantiles(table(spark, sf, "lineitem"), NUMBERS, [0.25, 0.5, 0.75], ["q1", "q2", "q3"])
     return rounded(found, ["q1", "q2", "q3"])
+
+
+@query("matmul_heavy_inner", """
+WITH a AS (SELECT l_orderkey AS i, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey % 97 + 1 END AS k, sum(l_linenumber) AS v FROM lineitem GROUP BY 1, 2),
+b AS (SELECT c_nationkey * 1000 + c_custkey % 300 AS j, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey % 97 + 1 END AS k, count(*) AS v FROM customer GROUP BY 1, 2),
+c AS (SELECT i, j, sum(a.v * b.v) AS v FROM a JOIN b USING (k) GROUP BY 1, 2)
+SELECT i, count(*) AS n, cast(sum(v) AS bigint) AS total, cast(sum(v * (j % 1009)) AS bigint) AS weighted FROM c GROUP BY 1""")
+def matmul_heavy_inner(spark, sf):
+    """One inner index holds a third of the entries of either side."""
+    inner = lambda c, other: F.when(F.col(c) % 3 == 0, 0).otherwise(F.col(other) % 97 + 1).alias("k")
+    left = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("i"), inner("l_orderkey", "l_partkey")).agg(F.sum("l_linenumber").alias("v"))
+    right = table(spark, sf, "customer").groupBy((F.col("c_nationkey") * 1000 + F.col("c_custkey") % 300).alias("j"), inner("c_custkey", "c_custkey")).agg(F.count(F.lit(1)).alias("v"))
+    product = products.multiply(left, right)
+    return product.groupBy("i").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").cast("long").alias("total"), F.sum(F.col("v") * (F.col("j") % 1009)).cast("long").alias("weighted")
+    )
+
+
+WIDE_STEPS = 6
+WIDE = [f"t{t}_{f}" for t in range(WIDE_STEPS) for f in ("sensor_1", "sensor_2", "sensor_3", "op_setting_1", "op_setting_2")]
+
+
+@query("corr_flat_windows", PANEL_SQL + f"""
+, w AS (SELECT [{', '.join(f"lag({f}, {WIDE_STEPS - 1 - t}) OVER ({SERIES})" for t in range(WIDE_STEPS) for f in ("sensor_1", "sensor_2", "sensor_3", "op_setting_1", "op_setting_2"))}] AS x
+        FROM panel QUALIFY cycle >= {WIDE_STEPS}), names AS (SELECT ['{"', '".join(WIDE)}'] AS c)
+SELECT c[i] AS a, c[j] AS b, round(corr(x[i], x[j]), 5) AS r
+FROM w, names, (SELECT unnest(range(1, {len(WIDE) + 1})) AS i), (SELECT unnest(range(1, {len(WIDE) + 1})) AS j) GROUP BY c, i, j""")
+def corr_flat_windows(spark, sf):
+    """All pairs of the places of flattened windows, with missing values, by tiles of matrices."""
+    features = ["sensor_1", "sensor_2", "sensor_3", "op_setting_1", "op_setting_2"]
+    flat = flatten_windows(rolling_sequences(engine_panel(spark, sf), features, WIDE_STEPS, dense=True), WIDE_STEPS, len(features), [])
+    return rounded(agg.correlations(flat.toDF(*WIDE), WIDE), ["r"], 5)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearline.functions.scalar import is_infinite
-from wearline.operators.joins import attach
+from wearline.operators.products import PAIR_EXPRESSIONS, pair_count, tiled_correlations
 from wearline.operators.quantiles import exact_quantiles
 from wearline.schema import CYCLE, ENTITY, columns_with_prefix
 
@@ -130,7 +130,12 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair over rows where both are present."""
+    """Pearson correlation of every column pair over rows where both are present.
+
+    Many columns are multiplied as tiles of matrices, few as expressions of one aggregation.
+    """
+    if pair_count(columns) > PAIR_EXPRESSIONS:
+        return tiled_correlations(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     row = df.agg(
         *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
@@ -163,13 +168,3 @@ def group_spread(df: DataFrame, by: list[str], column: str) -> DataFrame:
     spread = df.groupBy(*by).agg(F.count(column).alias("n"), F.stddev_samp(column).alias("std"))
     quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=by)
     return spread.join(quartiles.drop("n", "column"), by).withColumn("iqr", F.col("q3") - F.col("q1"))
-
-
-def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Product of two matrices in coordinate form: a(i, k, v) times b(k, j, v) gives (i, j, v).
-
-    `b` is the smaller one. Products are summed before the shuffle on (i, j).
-    """
-    left = a.select("i", "k", F.col("v").alias("_a"))
-    right = b.select("k", "j", F.col("v").alias("_b"))
-    return attach(left, right, ["k"]).groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))

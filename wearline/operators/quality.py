@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearline.functions.scalar import clip, infinite_to_missing, is_infinite
 from wearline.operators.aggregates import distinct_counts, stack
 from wearline.operators.joins import attach
+from wearline.operators.products import PAIR_EXPRESSIONS, pair_count, tiled_gram
 from wearline.operators.quantiles import exact_quantiles, quantile_row
 from wearline.schema import CYCLE, DATASET_ID, ENGINE_ID, columns_with_prefix, numeric_columns
+from wearline.session import stage_counted
 
 
 def _metrics(row: DataFrame, names: list[str]) -> DataFrame:
@@ -37,13 +39,22 @@ def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> DataFrame
 def drop_duplicates(df: DataFrame, subset: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
     """Keep one row per distinct key: the first in `order`, which must tell copies apart.
 
-    The minimum is combined before the shuffle, so a key with very many copies stays cheap.
+    Two phases. Rows are counted by a 128-bit hash of their key, in buffers of fixed width; those whose hash is alone
+    stay as they are. Only the others are compared by their whole keys, and a task sends at most its
+    first row of each key, so that a key with very many copies stays cheap.
     """
     if subset is None:
         return df.distinct()
+    hashes = {"_h1": F.xxhash64(*subset), "_h2": F.xxhash64(F.lit(1), *subset)}
+    hashed = df.withColumns(hashes)
+    copied = hashed.groupBy(*hashes).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*hashes)
+    copies, found = stage_counted(copied, "copied")
+    if not found:
+        return df
     rest = [c for c in df.columns if c not in subset]
-    first = df.groupBy(*subset).agg(F.min_by(F.struct(*rest), F.struct(*(order or rest))).alias("_row"))
-    return first.select(*subset, "_row.*").select(*df.columns)
+    first = Window.partitionBy(*subset).orderBy(*(order or rest or subset))
+    repeated = hashed.join(copies, [*hashes], "left_semi").withColumn("_place", F.row_number().over(first)).where("_place = 1")
+    return hashed.join(copies, [*hashes], "left_anti").select(*df.columns).union(repeated.select(*df.columns))
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -169,6 +180,15 @@ def inflation_factor(gram: np.ndarray, i: int) -> float:
     return float("inf") if left < 1e-10 else float(1 / left)
 
 
+def inflation_factors(gram: np.ndarray) -> list[float]:
+    """All factors from one inverse where the columns are independent; else one by one."""
+    length = np.sqrt(np.maximum(np.diag(gram), np.finfo(float).tiny))
+    unit = gram / np.outer(length, length)
+    if np.linalg.eigvalsh(unit)[0] > 1e-9:
+        return [float(v) for v in np.diag(np.linalg.inv(unit))]
+    return [inflation_factor(gram, i) for i in range(len(gram))]
+
+
 def variance_inflation(df: DataFrame, columns: list[str]) -> DataFrame:
     """Variance inflation factor per column without intercept.
 
@@ -179,11 +199,14 @@ def variance_inflation(df: DataFrame, columns: list[str]) -> DataFrame:
     means = finite.agg(*[F.avg(c).alias(c) for c in columns]).first()
     filled = finite.select(*[F.coalesce(F.col(c), F.lit(means[c])).alias(c) for c in columns])
     k = len(columns)
-    sums = filled.agg(
-        *[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"{i}_{j}") for i in range(k) for j in range(i, k)]
-    ).first()
-    gram = np.array([[sums[f"{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
-    factors = [inflation_factor(gram, i) for i in range(k)]
+    if pair_count(columns) > PAIR_EXPRESSIONS:
+        factors = inflation_factors(tiled_gram(filled, columns))
+    else:
+        sums = filled.agg(
+            *[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"{i}_{j}") for i in range(k) for j in range(i, k)]
+        ).first()
+        gram = np.array([[sums[f"{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
+        factors = [inflation_factor(gram, i) for i in range(k)]
     schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("vif", T.DoubleType())])
     return df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(columns, factors)], schema)
 
