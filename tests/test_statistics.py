@@ -308,3 +308,29 @@ def test_only_values_near_the_ranks_are_shuffled(spark):
     df = spark.range(300_000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("a"))
     near = quantiles._collapse_groups(df, ["a"], ["g"], [0.25, 0.5, 0.75])
     assert near.groupBy("g", "value", "gap").count().count() < 10_000
+
+
+def test_column_transform_survives_saving(spark, tmp_path):
+    rows = [(k, float(k % 11) if k % 5 else None, f"c{k % 1_500}", "x" if k % 3 else None) for k in range(6_000)]
+    df = spark.createDataFrame(rows, "id long, n double, many string, few string")
+    fitted = transforms.fit_column_transform(df, ["n"], ["many", "few"])
+    fitted.save(str(tmp_path / "fitted"))
+    again = transforms.ColumnTransform.load(spark, str(tmp_path / "fitted"))
+    unseen = spark.createDataFrame([(1, None, "c10", "y"), (2, 100.0, "new", None), (3, 3.0, None, "x"), (4, 3.0, "c0", "x")], df.schema)
+    got, want = (sorted(map(tuple, t.transform(unseen).collect())) for t in (again, fitted))
+    assert got == want
+    order = sorted({f"c{k}" for k in range(1_500)})
+    vectors = {r["id"]: r["many_vector"] for r in again.transform(unseen).collect()}
+    assert [vectors[k]["size"] for k in (1, 2, 3, 4)] == [1_499] * 4
+    assert vectors[1]["ones"] == [order.index("c10") - 1] and vectors[2]["ones"] == [] and vectors[4]["ones"] == []
+    wide = {r["id"]: r["features"] for r in again.vectors(unseen).collect()}
+    assert wide[1]["size"] == 1 + 1_499 and wide[1]["places"] == [0, 1 + order.index("c10") - 1] and wide[1]["values"][1] == 1.0
+    assert again.transform(unseen.limit(0)).collect() == []
+
+
+def test_column_transform_of_another_version_is_an_error(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "n double, c string")
+    fitted = transforms.fit_column_transform(df, ["n"], ["c"])
+    fitted.params.withColumn("version", F.lit(0)).write.parquet(str(tmp_path / "old"))
+    with pytest.raises(ValueError, match="version"):
+        transforms.ColumnTransform.load(spark, str(tmp_path / "old"))

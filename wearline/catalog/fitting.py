@@ -195,6 +195,51 @@ def preprocess_columns(spark, sf):
     return rounded(fitted.transform(part), ["p_size", "p_retailprice"])
 
 
+SEEN = "l_linenumber <= 4"
+
+
+def _cleaned_sql(c: str) -> str:
+    """Steps fitted on the rows seen, applied to all."""
+    return f"""
+f_{c} AS (SELECT *, coalesce({c}, (SELECT avg({c}) FROM p WHERE {SEEN})) AS v FROM p),
+b_{c} AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
+          (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM f_{c} WHERE {SEEN})),
+l_{c} AS (SELECT row_id, l_linenumber, ln(1 + greatest(least(greatest(v, lo), hi), 0)) AS v FROM f_{c}, b_{c}),
+s_{c} AS (SELECT row_id, (v - (SELECT avg(v) FROM l_{c} WHERE {SEEN})) / (SELECT stddev_pop(v) FROM l_{c} WHERE {SEEN}) AS {c} FROM l_{c})"""
+
+
+FEW_SQL = "coalesce(few, (SELECT few FROM p WHERE few IS NOT NULL AND {seen} GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1))".format(seen=SEEN)
+FITTED_COLUMNS_SQL = f"""
+WITH p AS MATERIALIZED (SELECT row_number() OVER () AS row_id, l_orderkey, l_linenumber, nullif(l_quantity, 7) AS l_quantity, l_extendedprice,
+             nullif(l_returnflag, 'A') AS few, 'k' || (l_orderkey * 7 + l_linenumber) % 5003 AS many FROM lineitem),
+{_cleaned_sql('l_quantity')}, {_cleaned_sql('l_extendedprice')},
+few_at AS (SELECT few, row_number() OVER (ORDER BY few) - 2 AS at FROM (SELECT DISTINCT few FROM p WHERE few IS NOT NULL AND {SEEN})),
+many_at AS (SELECT many, row_number() OVER (ORDER BY many) - 2 AS at FROM (SELECT DISTINCT many FROM p WHERE {SEEN})),
+t AS (SELECT *, {FEW_SQL} AS few_filled FROM p),
+j AS (SELECT t.row_id, l_orderkey, l_linenumber, s1.l_quantity AS q, s2.l_extendedprice AS e, few_at.at AS a, many_at.at AS m
+      FROM t JOIN s_l_quantity s1 USING (row_id) JOIN s_l_extendedprice s2 USING (row_id)
+      LEFT JOIN few_at ON few_at.few = few_filled AND few_at.at >= 0 LEFT JOIN many_at ON many_at.many = t.many AND many_at.at >= 0)
+SELECT l_orderkey, l_linenumber, (SELECT 2 + count(*) - 1 FROM few_at) + (SELECT count(*) - 1 FROM many_at) AS size,
+       concat_ws(',', '0', '1', a + 2, m + 2 + (SELECT count(*) - 1 FROM few_at)) AS places, round(q, 5) AS l_quantity, round(e, 5) AS l_extendedprice
+FROM j WHERE NOT ({SEEN})"""
+
+
+@query("transform_saved_columns", FITTED_COLUMNS_SQL)
+def transform_saved_columns(spark, sf):
+    """Fitted on some rows, saved, loaded and applied to the others: about 5,000 categories, some of them unseen."""
+    line = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.expr("nullif(l_quantity, 7)").cast("double").alias("l_quantity"), "l_extendedprice",
+        F.expr("nullif(l_returnflag, 'A')").alias("few"), F.concat(F.lit("k"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 5003).cast("string")).alias("many"),
+    )
+    path = fresh_path(spark, "columns")
+    transforms.fit_column_transform(line.where(SEEN), ["l_quantity", "l_extendedprice"], ["few", "many"]).save(path)
+    found = transforms.ColumnTransform.load(spark, path).vectors(line.where(f"NOT ({SEEN})"))
+    return rounded(found.select(
+        "l_orderkey", "l_linenumber", "features.size", F.concat_ws(",", F.col("features.places").cast("array<string>")).alias("places"),
+        F.col("features.values")[0].alias("l_quantity"), F.col("features.values")[1].alias("l_extendedprice"),
+    ), ["l_quantity", "l_extendedprice"], 5)
+
+
 def _roll5(c: str) -> str:
     w = f"({SERIES} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
     return f"cast({c} AS float) AS {c}, cast(avg({c}) OVER {w} AS float) AS {c}_rollmean5, stddev_samp({c}) OVER {w} AS {c}_std"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from wearline.operators.quality import iqr_bounds
 from wearline.operators.ordering import number_rows
 from wearline.operators.quantiles import quantile_row
 from wearline.schema import MODEL_FEATURES, RUL, ENTITY, CYCLE, DATASET_ID
+from wearline.session import stage
 
 SCALER_SCHEMA = T.StructType(
     [T.StructField("feature", T.StringType())]
@@ -190,26 +191,84 @@ def downcast(df: DataFrame, exclude: list[str] | None = None) -> DataFrame:
 
 # Column transform ------------------------------------------------------------------------------
 
+TRANSFORM_VERSION = 1
+# One row per fitted number, most frequent value or category; `pos` is a column's or category's place.
+TRANSFORM_SCHEMA = "version int, step string, column string, pos long, value double, text string"
 
-@dataclass
-class ColumnTransform:
-    """Fitted numeric (mean fill, cap, log1p, scale) and categorical (mode fill, one-hot) steps."""
 
-    means: dict
-    bounds: dict
-    scaler: DataFrame
-    modes: dict
-    known: dict
+class ColumnTransform:
+    """Fitted numeric (mean fill, cap, log1p, scale) and categorical (mode fill, one-hot) steps, held by one table.
+
+    The table is all there is to save, load or apply; categories stay in it, of any number, and only the
+    numbers of a numeric column and the short category lists come to the driver. Categories are told
+    apart by their text. Unknown categories and, without a mode, missing ones have no 1.
+    """
+
+    def __init__(self, params: DataFrame):
+        self.params = params
+        rows = params.where("step NOT IN ('category')").collect()
+        versions = {r["version"] for r in rows}
+        if versions != {TRANSFORM_VERSION}:
+            raise ValueError(f"the fitted transform has version {sorted(versions)}, not {TRANSFORM_VERSION}")
+        self.fitted = {(r["step"], r["column"]): r["value"] if r["text"] is None else r["text"] for r in rows}
+        self.numeric_columns, self.category_columns = (
+            [r["column"] for r in sorted(rows, key=lambda r: r["pos"]) if r["step"] == step] for step in ("mean", "size")
+        )
+
+    def save(self, path: str) -> None:
+        self.params.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ColumnTransform:
+        return cls(spark.read.schema(TRANSFORM_SCHEMA).parquet(path))
 
     def numeric(self, df: DataFrame) -> DataFrame:
-        return _prepared(df, self.means, self.bounds)
+        """The numeric columns before scaling."""
+        means = {c: self.fitted["mean", c] for c in self.numeric_columns}
+        return _prepared(df, means, {c: (self.fitted["low", c], self.fitted["high", c]) for c in self.numeric_columns})
+
+    def _scaled(self, df: DataFrame) -> DataFrame:
+        return self.numeric(df).withColumns({c: (F.col(c) - self.fitted["centre", c]) / self.fitted["scale", c] for c in self.numeric_columns})
+
+    def _text(self, column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(self.fitted.get(("mode", column))))
+
+    def size(self, column: str) -> int:
+        """Number of places of a category column; the first category has none."""
+        return max(0, int(self.fitted["size", column]) - 1)
+
+    def _categories(self, column: str) -> DataFrame:
+        return self.params.where((F.col("step") == "category") & (F.col("column") == column)).select("pos", "text")
+
+    def _placed(self, df: DataFrame, column: str, name: str) -> DataFrame:
+        """Add the place of the row's 1, or nothing."""
+        known = self._categories(column).where("pos > 0").select(F.col("text").alias("_text"), (F.col("pos") - 1).alias(name))
+        return df.withColumn("_text", self._text(column)).join(known, "_text", "left").drop("_text")
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = apply_scaler(self.numeric(df), self.scaler)
-        out = apply_imputer(out, self.modes)
-        for c, values in self.known.items():
-            out = one_hot(out, c, values)
-        return out.drop(*self.known)
+        """Scaled numbers; a 0/1 column per category but the first, or above MAX_CATEGORIES a sparse `{column}_vector`."""
+        out = self._scaled(df)
+        for c in self.category_columns:
+            if self.size(c) < MAX_CATEGORIES:
+                values = [r["text"] for r in self._categories(c).where("pos > 0").orderBy("pos").collect()]
+                out = out.withColumns({f"{c}_{v}": F.coalesce((self._text(c) == v).cast("int"), F.lit(0)) for v in values})
+            else:
+                ones = F.when(F.col("_at").isNotNull(), F.array("_at")).otherwise(F.array().cast("array<bigint>"))
+                vector = F.struct(F.lit(self.size(c)).cast("long").alias("size"), ones.alias("ones"))
+                out = self._placed(out, c, "_at").withColumn(f"{c}_vector", vector).drop("_at")
+        return out.drop(*self.category_columns)
+
+    def vectors(self, df: DataFrame, name: str = "features") -> DataFrame:
+        """All outputs as one sparse vector (size, places, values): numbers first, then each category column's places."""
+        out, at = self._scaled(df), len(self.numeric_columns)
+        places, values = [F.lit(i).cast("long") for i in range(at)], [F.col(c) for c in self.numeric_columns]
+        for i, c in enumerate(self.category_columns):
+            out = self._placed(out, c, f"_at{i}")
+            places.append(F.col(f"_at{i}") + at)
+            values.append(F.when(F.col(f"_at{i}").isNotNull(), 1.0))
+            at += self.size(c)
+        vector = F.struct(F.lit(at).cast("long").alias("size"), F.array_compact(F.array(*places)).alias("places"), F.array_compact(F.array(*values)).alias("values"))
+        return out.withColumn(name, vector).drop(*self.numeric_columns, *self.category_columns, *[f"_at{i}" for i in range(len(self.category_columns))])
 
 
 def _prepared(df: DataFrame, means: dict, bounds: dict) -> DataFrame:
@@ -218,14 +277,26 @@ def _prepared(df: DataFrame, means: dict, bounds: dict) -> DataFrame:
 
 
 def fit_column_transform(df: DataFrame, numeric: list[str], categorical: list[str]) -> ColumnTransform:
-    """Each stage is fitted on the output of the stage before it; only parameters reach the driver."""
+    """Each stage is fitted on the output of the stage before it; the categories are numbered where they are."""
+    spark = df.sparkSession
     means = fit_imputer(df, numeric, "mean")
     bounds = iqr_bounds(apply_imputer(df.select(*numeric), means), numeric)
-    scaler = fit_scaler(_prepared(df.select(*numeric), means, bounds), numeric)
-    scaler = df.sparkSession.createDataFrame(scaler.collect(), SCALER_SCHEMA)
-    modes = fit_imputer(df, categorical, "most_frequent")
-    known = {c: categories(df, c) for c in categorical}
-    return ColumnTransform(means, bounds, scaler, modes, known)
+    scaler = {r["feature"]: r for r in fit_scaler(_prepared(df.select(*numeric), means, bounds), numeric).collect()}
+    rows = []
+    for i, c in enumerate(numeric):
+        fitted = {"mean": means[c], "low": bounds[c][0], "high": bounds[c][1], "centre": scaler[c]["mean"], "scale": scaler[c]["scale"]}
+        rows += [(TRANSFORM_VERSION, step, c, i, None if v is None else float(v), None) for step, v in fitted.items()]
+    tables = []
+    for i, c in enumerate(categorical):
+        text = df.select(F.col(c).cast("string").alias("text"))
+        mode = most_frequent(text, "text")
+        index = stage(category_index(text, "text").select(F.col("index").alias("pos"), "text"), "categories")
+        rows += [(TRANSFORM_VERSION, "size", c, i, float(index.count()), None)]
+        rows += [(TRANSFORM_VERSION, "mode", c, i, None, mode)] if mode is not None else []
+        tables.append(index.select(
+            F.lit(TRANSFORM_VERSION).alias("version"), F.lit("category").alias("step"), F.lit(c).alias("column"), "pos", F.lit(None).cast("double").alias("value"), "text"
+        ))
+    return ColumnTransform(reduce(DataFrame.unionByName, tables, spark.createDataFrame(rows, TRANSFORM_SCHEMA)))
 
 
 def without_dataset(df: DataFrame) -> DataFrame:
