@@ -7,6 +7,7 @@ from wearline.catalog.series import KEY
 from wearline.panel import engine_panel, truth
 from wearline.plans import alerts
 from wearline.plans.rul import capped_rul, test_rul, train_rul
+from wearline.plans.serving import maintenance
 from wearline.schema import ENTITY, RUL
 
 CYCLES = [*ENTITY, "cycle"]
@@ -80,6 +81,40 @@ def alert_messages(spark, sf):
     return alerts.zone_messages(alerts.zone_counts(alerts.latest_zones(_unfinished(spark, sf))))
 
 
+EDGES = [-1.0, 5.0, 15.0, 40.0, float("inf")]
+OWN_LABELS = ["Ground", "Inspect", "Watch", "Fly"]
+OWN_MESSAGES = {"Ground": "ground %d now", "Watch": "watch %d"}
+OWN_SQL = LATEST_SQL.replace("""CASE WHEN rul > -1 AND rul <= 10 THEN 'Critical' WHEN rul > 10 AND rul <= 30 THEN 'Warning'
+                         WHEN rul > 30 THEN 'Safe' END""", """CASE WHEN rul > -1 AND rul <= 5 THEN 'Ground' WHEN rul > 5 AND rul <= 15 THEN 'Inspect'
+                         WHEN rul > 15 AND rul <= 40 THEN 'Watch' WHEN rul > 40 THEN 'Fly' END""").replace(
+    "SELECT 1 AS pos, 'Critical' AS label UNION ALL SELECT 2, 'Warning' UNION ALL SELECT 3, 'Safe'",
+    "SELECT unnest([1, 2, 3, 4]) AS pos, unnest(['Ground', 'Inspect', 'Watch', 'Fly']) AS label")
+
+
+def _own_zones(spark, sf):
+    predictions = _unfinished(spark, sf).withColumnRenamed(RUL, "prediction")
+    return maintenance(predictions, EDGES, OWN_LABELS, OWN_MESSAGES)
+
+
+@query("own_zone_counts", OWN_SQL + "SELECT pos, label AS \"Alert\", n FROM counts")
+def own_zone_counts(spark, sf):
+    """Four zones of the caller's."""
+    return _own_zones(spark, sf)["counts"]
+
+
+@query("own_zone_metrics", OWN_SQL + "SELECT " + ", ".join(f"count(*) FILTER (alert = '{z}') AS {z.lower()}" for z in OWN_LABELS)
+       + ", count(*) FILTER (alert IS NULL) AS null_zone FROM zones")
+def own_zone_metrics(spark, sf):
+    return _own_zones(spark, sf)["metrics"]
+
+
+@query("own_zone_messages", OWN_SQL + """
+SELECT pos, label AS level, CASE label WHEN 'Ground' THEN concat('ground ', n, ' now') WHEN 'Watch' THEN concat('watch ', n)
+       ELSE concat(n, ' engine(s) ', upper(label)) END AS message FROM counts WHERE n > 0""")
+def own_zone_messages(spark, sf):
+    return _own_zones(spark, sf)["messages"]
+
+
 @query("alert_board", LATEST_SQL + f"SELECT {KEY}, cast(rul AS double) AS \"RUL\", alert AS \"Alert\" FROM zones")
 def alert_board(spark, sf):
     return alerts.alert_board(alerts.latest_zones(_unfinished(spark, sf)))

@@ -8,10 +8,11 @@ from wearline.catalog.aggregation import NUMBERS, _each
 from wearline.catalog.registry import PANEL_SQL, query, rounded
 from wearline.operators import aggregates, quality, rows
 from wearline.operators.transforms import apply_imputer, fit_imputer
-from wearline.panel import engine_panel, table
+from wearline.panel import PANEL_SENSORS, engine_panel, table
 from wearline.schema import ENTITY
 
-PROFILED = ["dataset_id", "engine_id", "cycle", "sensor_1", "sensor_3"]
+PROFILED = [*ENTITY, "cycle", "event_id", "op_setting_1", "op_setting_2", "op_setting_3", *PANEL_SENSORS, "life", "cutoff"]
+MISSING_SQL = " + ".join(f"count(*) - count({c})" for c in PROFILED)
 
 
 def _metric(name: str, expression: str, source: str = "p") -> str:
@@ -21,13 +22,13 @@ def _metric(name: str, expression: str, source: str = "p") -> str:
 PROFILE_SQL = " UNION ALL ".join(
     [
         _metric("rows", "count(*)"),
-        _metric("columns", "max(5)"),
-        _metric("type_bigint", "max(2)"),
-        _metric("type_double", "max(2)"),
+        _metric("columns", "max(14)"),
+        _metric("type_bigint", "max(5)"),
+        _metric("type_double", "max(8)"),
         _metric("type_string", "max(1)"),
-        _metric("missing", "count(*) - count(sensor_3)"),
+        _metric("missing", MISSING_SQL),
         _metric("duplicates", "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p))"),
-        *[_metric(f"{c}_{n}", f"{f}({c})") for c in ("sensor_1", "sensor_3")
+        *[_metric(f"{c}_{n}", f"{f}({c})") for c in PANEL_SENSORS
           for n, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))],
         *[_metric(f"rows_FD00{i}", f"count(*) FILTER (dataset_id = 'FD00{i}')") for i in range(1, 5)],
     ]
@@ -40,10 +41,10 @@ def profile_table(spark, sf):
 
 
 @query("quality_report", PANEL_SQL + f", p AS (SELECT {', '.join(PROFILED)} FROM panel) " + " UNION ALL ".join([
-    _metric("total_rows", "count(*)"), _metric("total_columns", "max(5)"),
-    _metric("missing_values", "count(*) - count(sensor_3)"),
+    _metric("total_rows", "count(*)"), _metric("total_columns", "max(14)"),
+    _metric("missing_values", MISSING_SQL),
     _metric("duplicate_rows", "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM p))"),
-    _metric("numeric_columns", "max(4)"), _metric("inf_values", "count(*) FILTER (sensor_1 = 0)")]))
+    _metric("numeric_columns", "max(13)"), _metric("inf_values", "count(*) FILTER (sensor_1 = 0)")]))
 def quality_report(spark, sf):
     panel = engine_panel(spark, sf).select(*PROFILED)
     marked = panel.withColumn("sensor_1", F.when(F.col("sensor_1") == 0, F.lit(float("inf"))).otherwise(F.col("sensor_1")))

@@ -10,7 +10,7 @@ from wearline.catalog.series import FILL_SQL, KEY
 from wearline.functions.scalar import cut
 from wearline.operators import rows, splits, transforms
 from wearline.operators.windows import rolling_mean
-from wearline.panel import engine_panel, table
+from wearline.panel import PANEL_SENSORS, engine_panel, table
 from wearline.plans.preparation import prepare_complete, prepare_test, prepare_train
 from wearline.panel import truth as engine_truth
 from wearline.schema import ENTITY, RUL
@@ -249,18 +249,19 @@ def _scaled(c: str) -> str:
     return f"round((cast({c} AS double) - (SELECT avg(cast({c} AS double)) FROM r)) / (SELECT stddev_pop(cast({c} AS double)) FROM r), 4) AS {c}"
 
 
-PREPARED = ["sensor_1", "sensor_3", "sensor_1_rollmean5", "sensor_3_rollmean5", "sensor_1_rollstd5", "sensor_3_rollstd5"]
+MOVING = ["sensor_1", "sensor_2", "sensor_3", "sensor_5"]
+PREPARED = ["op_setting_1", "op_setting_2", *MOVING, *[f"{c}_roll{n}5" for c in MOVING for n in ("mean", "std")]]
 
 
 @query("preprocess_complete", PANEL_SQL + f"""
-, f AS (SELECT {KEY}, sensor_1, {FILL_SQL} AS sensor_3 FROM panel),
-w AS (SELECT {KEY}, {_roll5('sensor_1')}, {_roll5('sensor_3')} FROM f),
-r AS (SELECT *, cast(sensor_1_std AS float) AS sensor_1_rollstd5, cast(sensor_3_std AS float) AS sensor_3_rollstd5
-      FROM w WHERE sensor_1_std IS NOT NULL AND sensor_3_std IS NOT NULL)
+, f AS (SELECT {KEY}, op_setting_1, op_setting_2, sensor_1, sensor_2, {FILL_SQL} AS sensor_3, sensor_5 FROM panel),
+w AS (SELECT {KEY}, cast(op_setting_1 AS float) AS op_setting_1, cast(op_setting_2 AS float) AS op_setting_2, {', '.join(map(_roll5, MOVING))} FROM f),
+r AS (SELECT *, {', '.join(f'cast({c}_std AS float) AS {c}_rollstd5' for c in MOVING)} FROM w WHERE {' AND '.join(f'{c}_std IS NOT NULL' for c in MOVING)})
 SELECT {KEY}, {', '.join(map(_scaled, PREPARED))} FROM r""")
 def preprocess_complete(spark, sf):
-    panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "sensor_1", "sensor_3", "sensor_4")
-    return rounded(prepare_complete(panel)["data"], PREPARED, 4)
+    """The whole panel; the constant setting and sensor go."""
+    panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "op_setting_1", "op_setting_2", "op_setting_3", *PANEL_SENSORS)
+    return rounded(prepare_complete(panel, with_reports=False)["data"], PREPARED, 4)
 
 
 @query("train_and_test_preparation", PANEL_SQL + f"""

@@ -9,9 +9,10 @@ from wearline.operators import sequences as seq
 from wearline.operators import windows as win
 from wearline.operators.ordering import number_rows
 from wearline.operators.splits import split_chronological
-from wearline.panel import engine_panel
+from wearline.panel import PANEL_SENSORS, engine_panel
 from wearline.plans.rul import train_rul
 from wearline.schema import ENTITY, RUL
+from wearline.session import stage
 
 KEY = "dataset_id, engine_id, cycle"
 
@@ -75,20 +76,25 @@ def rolling_opsettings(spark, sf):
     return rounded(out, out.columns[3:])
 
 
-FILL_SQL = f"""
-coalesce(last_value(sensor_3 IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-         first_value(sensor_3 IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
-BACK_SQL = f"""
-coalesce(first_value(sensor_3 IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
-         last_value(sensor_3 IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+def _filled(c: str, method: str = "ffill") -> str:
+    past = f"last_value({c} IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = f"first_value({c} IGNORE NULLS) OVER ({SERIES} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return f"coalesce({past}, {ahead})" if method == "ffill" else f"coalesce({ahead}, {past})"
+
+
+FILL_SQL = _filled("sensor_3")
+FILLED = [*SETTINGS, *PANEL_SENSORS]
+# More columns with gaps: at the start, in the middle and at the end of engines.
+GAPPED = {"sensor_2": "cycle % 5 >= 2", "op_setting_2": "cycle > 3", "sensor_5": "cycle < life - 1"}
 
 
 @query("ffill_bfill", PANEL_SQL + f"""
-SELECT {KEY}, 'ffill' AS method, {FILL_SQL} AS sensor_3 FROM panel
-UNION ALL SELECT {KEY}, 'bfill' AS method, {BACK_SQL} AS sensor_3 FROM panel""")
+, g AS (SELECT {KEY}, {', '.join(f"CASE WHEN {GAPPED[c]} THEN {c} END AS {c}" if c in GAPPED else c for c in FILLED)} FROM panel)
+""" + " UNION ALL ".join(f"SELECT {KEY}, '{m}' AS method, {', '.join(f'{_filled(c, m)} AS {c}' for c in FILLED)} FROM g" for m in ("ffill", "bfill")))
 def ffill_bfill(spark, sf):
-    panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "sensor_3")
-    forward, backward = (win.fill_series(panel, ["sensor_3"], m).withColumn("method", F.lit(m)) for m in ("ffill", "bfill"))
+    gaps = {c: F.when(F.expr(condition), F.col(c)) for c, condition in GAPPED.items()}
+    panel = stage(engine_panel(spark, sf).withColumns(gaps).select(*ENTITY, "cycle", *FILLED), "panel")
+    forward, backward = (win.fill_series(panel, FILLED, m).withColumn("method", F.lit(m)) for m in ("ffill", "bfill"))
     return forward.unionByName(backward)
 
 

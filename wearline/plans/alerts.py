@@ -38,22 +38,26 @@ def latest_zones(df: DataFrame, keys=ENTITY, position=CYCLE, edges: list[float]
     return latest_rows(df.select(*keys, position, RUL), keys, position).withColumn("Alert", alert_zone(RUL, edges, labels))
 
 
-def zone_counts(zones: DataFrame) -> DataFrame:
-    return counts_for_labels(zones, "Alert", ZONE_LABELS)
+def zone_counts(zones: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """Engines per label, in the labels' order, zero where there are none."""
+    return counts_for_labels(zones, "Alert", labels or ZONE_LABELS)
 
 
-def zone_metrics(zones: DataFrame) -> DataFrame:
+def zone_metrics(zones: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """One row: engines per zone and engines without one."""
     return zones.agg(
-        *[F.count_if(F.col("Alert") == z).alias(z.lower()) for z in ZONE_LABELS],
+        *[F.count_if(F.col("Alert") == z).alias(z.lower()) for z in labels or ZONE_LABELS],
         F.count_if(F.col("Alert").isNull()).alias("null_zone"),
     )
 
 
-def zone_messages(counts: DataFrame) -> DataFrame:
-    """Messages in order of severity, for zones that hold engines."""
-    text = F.lit(None).cast("string")
-    for zone, message in ZONE_MESSAGES.items():
+def zone_messages(counts: DataFrame, messages: dict[str, str] | None = None) -> DataFrame:
+    """Messages in order of severity, for zones that hold engines; `messages` has a text with one %d for a label.
+
+    A label without a text of its own is named with its number of engines.
+    """
+    text = F.format_string("%d engine(s) %s", F.col("n"), F.upper("Alert"))
+    for zone, message in (messages or ZONE_MESSAGES).items():
         text = F.when(F.col("Alert") == zone, F.format_string(message, F.col("n"))).otherwise(text)
     return counts.where("n > 0").select("pos", F.col("Alert").alias("level"), text.alias("message")).orderBy("pos")
 

@@ -82,16 +82,18 @@ def prepare_complete(
     scale: bool = True,
     method: str = "standard",
     keys: list[str] | None = None,
+    with_reports: bool = True,
 ) -> dict:
     """All cleaning and feature steps in their fixed order, with switches.
 
-    Positions are numbered once after the optional removal of duplicates. Tables that several
-    statistics passes read are written once. The outlier report needs quantiles, which are computed at once.
+    Positions are numbered once after the optional removal of duplicates. The table is written after it
+    is filled and after the windows, since several passes read it there. The profile, outlier and
+    quality reports are passes of their own; a caller who does not want them says `with_reports=False`.
     """
     keys = list(keys or ENTITY)
     steps = ["load", "profile", "sort"]
-    reports: dict = {"profile": profile(df)}
-    numbered = stage(number_rows(df, keys, [CYCLE], "_pos"), "numbered")
+    reports: dict = {"profile": profile(df)} if with_reports else {}
+    numbered = number_rows(df, keys, [CYCLE], "_pos")
     filled = stage(fill_missing(numbered, fill, keys, "_pos"), "filled")
     steps.append("fill")
     sensors = [c for c in numeric_columns(df.schema, (ENGINE_ID, CYCLE, *keys))]
@@ -104,8 +106,9 @@ def prepare_complete(
         filled = stage(number_rows(plain, keys, [CYCLE], "_pos"), "unique")
     steps.append("duplicates")
     sensors = columns_with_prefix(filled.columns, "sensor_")
-    reports["outliers"] = iqr_outliers(filled, sensors)
-    steps.append("outliers")
+    if with_reports:
+        reports["outliers"] = iqr_outliers(filled, sensors)
+        steps.append("outliers")
     out = filled
     if create_rolling:
         features = {}
@@ -126,6 +129,7 @@ def prepare_complete(
         out = apply_scaler(out, scaler, method)
         reports["scaler"] = scaler
         steps.append("scale")
-    reports["quality"] = quality_report(out)
-    steps.append("validate")
+    if with_reports:
+        reports["quality"] = quality_report(out)
+        steps.append("validate")
     return {"data": out, "matrix": without_dataset(out), "reports": reports, "steps": steps}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wearline.operators.splits import split_by_engine
 from wearline.operators.transforms import apply_scaler, fit_scaler
-from wearline.plans.alerts import latest_zones, zone_counts, zone_messages
+from wearline.plans.alerts import latest_zones, zone_counts, zone_messages, zone_metrics
 from wearline.plans.learning import score_features, train_regressor
 from wearline.plans.rul import regression_metrics
 from wearline.schema import CYCLE, ENTITY, RUL
@@ -34,8 +34,10 @@ def train_and_validate(features: DataFrame, inputs: list[str], test_share: float
     }
 
 
-def maintenance(predictions: DataFrame) -> dict[str, DataFrame]:
-    """Latest predicted life per engine, its zone, the engines per zone and the messages."""
-    latest = latest_zones(predictions.select(*ENTITY, CYCLE, F.col("prediction").alias(RUL)))
-    counts = zone_counts(latest)
-    return {"latest": latest, "counts": counts, "messages": zone_messages(counts)}
+def maintenance(
+    predictions: DataFrame, edges: list[float] | None = None, labels: list[str] | None = None, messages: dict[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """Latest predicted life per engine, its zone, the engines per zone, as metrics too, and the messages."""
+    latest = latest_zones(predictions.select(*ENTITY, CYCLE, F.col("prediction").alias(RUL)), edges=edges, labels=labels)
+    counts = zone_counts(latest, labels)
+    return {"latest": latest, "counts": counts, "metrics": zone_metrics(latest, labels), "messages": zone_messages(counts, messages)}
