@@ -13,7 +13,7 @@ NAMES = list(catalog.QUERIES)
 SIZED = [
     "agg_two_level", "alert_zone_counts", "boxplot_stats", "describe_numeric", "feature_engineering", "ffill_bfill",
     "impute_group_median", "matmul_coo", "oversample_minority", "rolling_sequences", "rul_test_truth",
-    "sequence_index", "rolling_with_gaps", "sequences_with_gaps", "split_by_engine", "split_random", "src_positional_truth",
+    "preprocess_drop", "preprocess_median", "train_on_windows", "score_on_windows", "grid_search_cv", "window_position_stats", "sequence_index", "rolling_with_gaps", "sequences_with_gaps", "split_by_engine", "split_random", "src_positional_truth",
 ]
 
 

@@ -253,15 +253,51 @@ MOVING = ["sensor_1", "sensor_2", "sensor_3", "sensor_5"]
 PREPARED = ["op_setting_1", "op_setting_2", *MOVING, *[f"{c}_roll{n}5" for c in MOVING for n in ("mean", "std")]]
 
 
-@query("preprocess_complete", PANEL_SQL + f"""
-, f AS (SELECT {KEY}, op_setting_1, op_setting_2, sensor_1, sensor_2, {FILL_SQL} AS sensor_3, sensor_5 FROM panel),
+def _complete_sql(filled: str = FILL_SQL, where: str = "TRUE", scaled=_scaled) -> str:
+    """The twelve steps with `filled` for the missing values of sensor_3."""
+    return PANEL_SQL + f"""
+, f AS (SELECT {KEY}, op_setting_1, op_setting_2, sensor_1, sensor_2, {filled} AS sensor_3, sensor_5 FROM panel WHERE {where}),
 w AS (SELECT {KEY}, cast(op_setting_1 AS float) AS op_setting_1, cast(op_setting_2 AS float) AS op_setting_2, {', '.join(map(_roll5, MOVING))} FROM f),
 r AS (SELECT *, {', '.join(f'cast({c}_std AS float) AS {c}_rollstd5' for c in MOVING)} FROM w WHERE {' AND '.join(f'{c}_std IS NOT NULL' for c in MOVING)})
-SELECT {KEY}, {', '.join(map(_scaled, PREPARED))} FROM r""")
+SELECT {KEY}, {', '.join(map(scaled, PREPARED))} FROM r"""
+
+
+def _spanned(c: str) -> str:
+    low = f"(SELECT min(cast({c} AS double)) FROM r)"
+    return f"round((cast({c} AS double) - {low}) / ((SELECT max(cast({c} AS double)) FROM r) - {low}), 4) AS {c}"
+
+
+def _complete(spark, sf, doubled=False, **switches):
+    panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "op_setting_1", "op_setting_2", "op_setting_3", *PANEL_SENSORS)
+    panel = panel.unionByName(panel) if doubled else panel
+    return rounded(prepare_complete(panel, with_reports=False, **switches)["data"], PREPARED, 4)
+
+
+@query("preprocess_complete", _complete_sql())
 def preprocess_complete(spark, sf):
     """The whole panel; the constant setting and sensor go."""
-    panel = engine_panel(spark, sf).select(*ENTITY, "cycle", "op_setting_1", "op_setting_2", "op_setting_3", *PANEL_SENSORS)
-    return rounded(prepare_complete(panel, with_reports=False)["data"], PREPARED, 4)
+    return _complete(spark, sf)
+
+
+@query("preprocess_mean_minmax", _complete_sql(f"coalesce(sensor_3, avg(sensor_3) OVER ({ENGINE}))", scaled=_spanned))
+def preprocess_mean_minmax(spark, sf):
+    return _complete(spark, sf, fill="mean", method="minmax")
+
+
+@query("preprocess_median", _complete_sql(f"coalesce(sensor_3, quantile_cont(sensor_3, 0.5) OVER ({ENGINE}))"))
+def preprocess_median(spark, sf):
+    return _complete(spark, sf, fill="median")
+
+
+@query("preprocess_drop", _complete_sql("sensor_3", "sensor_3 IS NOT NULL"))
+def preprocess_drop(spark, sf):
+    return _complete(spark, sf, fill="drop")
+
+
+@query("preprocess_unique", _complete_sql())
+def preprocess_unique(spark, sf):
+    """Every row stands twice in the input."""
+    return _complete(spark, sf, doubled=True, remove_duplicates=True)
 
 
 @query("train_and_test_preparation", PANEL_SQL + f"""

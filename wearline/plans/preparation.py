@@ -61,7 +61,7 @@ def prepare_test(
 
 def fill_missing(df: DataFrame, method: str, keys: list[str], position: str) -> DataFrame:
     """Fill missing sensor and setting values by one of the named methods, or drop their rows."""
-    columns = [c for c in numeric_columns(df.schema) if c not in (*keys, position)]
+    columns = [c for c in numeric_columns(df.schema) if c not in (*keys, position, CYCLE)]
     if method in ("ffill", "bfill"):
         return fill_series(df, columns, method, keys, position)
     if method in ("mean", "median"):
@@ -94,7 +94,10 @@ def prepare_complete(
     steps = ["load", "profile", "sort"]
     reports: dict = {"profile": profile(df)} if with_reports else {}
     numbered = number_rows(df, keys, [CYCLE], "_pos")
-    filled = stage(fill_missing(numbered, fill, keys, "_pos"), "filled")
+    filled = fill_missing(numbered, fill, keys, "_pos")
+    if fill == "drop":  # the rows that stay are numbered anew
+        filled = number_rows(filled.drop("_pos"), keys, [CYCLE], "_pos")
+    filled = stage(filled, "filled")
     steps.append("fill")
     sensors = [c for c in numeric_columns(df.schema, (ENGINE_ID, CYCLE, *keys))]
     constant = constant_columns(filled, sensors) if remove_constant else []
