@@ -176,14 +176,14 @@ def quantiles_exact(spark, sf):
 
 @query("matmul_heavy_inner", """
 WITH a AS (SELECT l_orderkey AS i, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey % 97 + 1 END AS k, sum(l_linenumber) AS v FROM lineitem GROUP BY 1, 2),
-b AS (SELECT c_nationkey * 1000 + c_custkey % 300 AS j, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey % 97 + 1 END AS k, count(*) AS v FROM customer GROUP BY 1, 2),
+b AS (SELECT c_nationkey * 12 + c_custkey % 12 AS j, CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey % 97 + 1 END AS k, count(*) AS v FROM customer GROUP BY 1, 2),
 c AS (SELECT i, j, sum(a.v * b.v) AS v FROM a JOIN b USING (k) GROUP BY 1, 2)
 SELECT i, count(*) AS n, cast(sum(v) AS bigint) AS total, cast(sum(v * (j % 1009)) AS bigint) AS weighted FROM c GROUP BY 1""")
 def matmul_heavy_inner(spark, sf):
     """One inner index holds a third of the entries of either side."""
     inner = lambda c, other: F.when(F.col(c) % 3 == 0, 0).otherwise(F.col(other) % 97 + 1).alias("k")
     left = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("i"), inner("l_orderkey", "l_partkey")).agg(F.sum("l_linenumber").alias("v"))
-    right = table(spark, sf, "customer").groupBy((F.col("c_nationkey") * 1000 + F.col("c_custkey") % 300).alias("j"), inner("c_custkey", "c_custkey")).agg(F.count(F.lit(1)).alias("v"))
+    right = table(spark, sf, "customer").groupBy((F.col("c_nationkey") * 12 + F.col("c_custkey") % 12).alias("j"), inner("c_custkey", "c_custkey")).agg(F.count(F.lit(1)).alias("v"))
     product = products.multiply(left, right)
     return product.groupBy("i").agg(
         F.count(F.lit(1)).alias("n"), F.sum("v").cast("long").alias("total"), F.sum(F.col("v") * (F.col("j") % 1009)).cast("long").alias("weighted")

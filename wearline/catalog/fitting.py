@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearline.catalog.projection import LINE_KEY, LINE_KEY_SQL
-from wearline.catalog.registry import ENGINE, PANEL_SQL, SERIES, query, rounded
+from wearline.catalog.registry import ENGINE, PANEL_SQL, SERIES, frame, query, rounded
 from wearline.catalog.series import FILL_SQL, KEY
 from wearline.functions.scalar import cut
 from wearline.operators import rows, splits, transforms
@@ -14,7 +14,7 @@ from wearline.panel import PANEL_SENSORS, engine_panel, table
 from wearline.plans.preparation import prepare_complete, prepare_test, prepare_train
 from wearline.panel import truth as engine_truth
 from wearline.schema import ENTITY, RUL
-from wearline.session import fresh_path
+from wearline.session import fresh_path, stage
 from wearline.sources.tables import load_manifest, load_scaler, save_manifest, save_scaler
 
 SCALED = ["l_quantity", "l_extendedprice"]
@@ -300,21 +300,38 @@ def preprocess_unique(spark, sf):
     return _complete(spark, sf, doubled=True, remove_duplicates=True)
 
 
+def _engineered() -> dict[str, str]:
+    """Every feature of the preparation in SQL; the constant sensor has none."""
+    settings = ["op_setting_1", "op_setting_2", "op_setting_3"]
+    found = {c: c for c in [*settings, *MOVING]}
+    for c in MOVING:
+        for n in (3, 5):
+            found[f"{c}_rollmean{n}"] = f"avg({c}) OVER {frame(n)}"
+            found[f"{c}_rollstd{n}"] = f"coalesce(stddev_samp({c}) OVER {frame(n)}, 0)"
+        found[f"{c}_diff1"] = f"coalesce({c} - lag({c}) OVER ({SERIES}), 0)"
+    for c in settings:
+        found[f"{c}_rollmean3"] = f"avg({c}) OVER {frame(3)}"
+        found[f"{c}_diff1"] = f"coalesce({c} - lag({c}) OVER ({SERIES}), 0)"
+    return found | {"cycle_rollmean": f"avg(cycle) OVER {frame(3)}"}
+
+
+ENGINEERED = _engineered()
+
+
 @query("train_and_test_preparation", PANEL_SQL + f"""
-, v AS (SELECT {KEY}, life, cutoff, sensor_1, life - cycle AS rul,
-               avg(sensor_1) OVER ({SERIES} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS m FROM panel),
-s AS (SELECT avg(sensor_1) AS a, stddev_pop(sensor_1) AS b, avg(m) AS c, stddev_pop(m) AS d FROM v),
-e AS (SELECT {KEY}, cutoff, rul, (sensor_1 - a) / b AS x, (m - c) / d AS y FROM v, s),
-q AS (SELECT {KEY}, cutoff, rul, count(*) OVER w AS n, sum(x) OVER w AS x_sum, sum(y) OVER w AS y_sum
+, v AS MATERIALIZED (SELECT {KEY}, cutoff, life - cycle AS rul, {', '.join(f'{e} AS f_{n}' for n, e in ENGINEERED.items())} FROM panel),
+s AS MATERIALIZED (SELECT {', '.join(f'avg(f_{n}) AS a_{n}, CASE WHEN min(f_{n}) = max(f_{n}) THEN 1 ELSE stddev_pop(f_{n}) END AS b_{n}' for n in ENGINEERED)} FROM v),
+e AS (SELECT {KEY}, cutoff, rul, {', '.join(f'(f_{n} - a_{n}) / b_{n} AS f_{n}' for n in ENGINEERED)} FROM v, s),
+q AS MATERIALIZED (SELECT {KEY}, cutoff, rul, count(*) OVER w AS n, {', '.join(f'round(CASE WHEN count(f_{n}) OVER w = 30 THEN sum(f_{n}) OVER w END, 3) AS {n}' for n in ENGINEERED)}
       FROM e WINDOW w AS ({SERIES} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
-SELECT 'train' AS part, {KEY}, rul AS "RUL", round(x_sum, 4) AS sensor_1, round(y_sum, 4) AS sensor_1_rollmean3 FROM q WHERE n = 30
-UNION ALL SELECT 'test', {KEY}, rul, round(x_sum, 4), round(y_sum, 4) FROM q WHERE n = 30 AND cycle <= cutoff""")
+SELECT 'train' AS part, {KEY}, rul AS "RUL", {', '.join(ENGINEERED)} FROM q WHERE n = 30
+UNION ALL SELECT 'test', {KEY}, rul, {', '.join(ENGINEERED)} FROM q WHERE n = 30 AND cycle <= cutoff""")
 def train_and_test_preparation(spark, sf):
-    panel = engine_panel(spark, sf)
-    log = panel.select(*ENTITY, "cycle", "op_setting_1", "op_setting_2", "sensor_1", "sensor_2", "sensor_4")
-    train = prepare_train(log)
-    unfinished = log.join(panel.select(*ENTITY, "cycle", "cutoff"), [*ENTITY, "cycle"]).where("cycle <= cutoff").drop("cutoff")
-    test = prepare_test(unfinished, engine_truth(panel), train["manifest"], train["scaler"])
+    """The whole panel; of every feature, the sum over each window."""
+    panel = stage(engine_panel(spark, sf), "panel")
+    columns = [*ENTITY, "cycle", "op_setting_1", "op_setting_2", "op_setting_3", *PANEL_SENSORS]
+    train = prepare_train(panel.select(*columns))
+    test = prepare_test(panel.where("cycle <= cutoff").select(*columns), engine_truth(panel), train["manifest"], train["scaler"])
     names = transforms.manifest_names(train["manifest"])
 
     def total(feature):
@@ -322,7 +339,6 @@ def train_and_test_preparation(spark, sf):
         return F.aggregate(F.transform("seq", lambda s: s[i]), F.lit(0.0), lambda a, x: a + x).alias(feature)
 
     parts = [
-        d["sequences"].select(F.lit(p).alias("part"), *ENTITY, "cycle", RUL, total("sensor_1"), total("sensor_1_rollmean3"))
-        for p, d in (("train", train), ("test", test))
+        d["sequences"].select(F.lit(p).alias("part"), *ENTITY, "cycle", RUL, *map(total, names)) for p, d in (("train", train), ("test", test))
     ]
-    return rounded(rows.union_all(*parts), ["sensor_1", "sensor_1_rollmean3"], 4)
+    return rounded(rows.union_all(*parts), names, 3)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wearline.functions.scalar import is_infinite
 from wearline.operators.products import PAIR_EXPRESSIONS, pair_count, tiled_correlations
-from wearline.operators.quantiles import exact_quantiles
+from wearline.operators.quantiles import exact_quantiles, quantiles_and
 from wearline.schema import CYCLE, ENTITY, columns_with_prefix
 
 
@@ -71,16 +71,14 @@ DESCRIBE = ["count", "mean", "std", "min", "q1", "median", "q3", "max"]
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per numeric column: count, mean, sample std, min, quartiles, max."""
-    moments = stack(
-        df.agg(
-            *[F.struct(F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-                       F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                       F.max(c).cast("double").alias("max")).alias(f"_{j}") for j, c in enumerate(columns)]
-        ),
-        [], len(columns),
-    )
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], ["q1", "median", "q3"]).drop("n")
-    return moments.join(quartiles, "column", "left").select("column", *DESCRIBE)
+    moments = [
+        F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
+                 F.max(c).cast("double").alias("max")).alias(f"_m{j}") for j, c in enumerate(columns)
+    ]
+    quartiles, row = quantiles_and(df, columns, [0.25, 0.5, 0.75], ["q1", "median", "q3"], moments)
+    found = [(c, *row[f"_m{j}"]) for j, c in enumerate(columns)]
+    shared = df.sparkSession.createDataFrame(found, "column string, count long, mean double, std double, min double, max double")
+    return shared.join(quartiles.drop("n"), "column", "left").select("column", *DESCRIBE)
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

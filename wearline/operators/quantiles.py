@@ -5,18 +5,18 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from wearline.operators.joins import attach
 from wearline.operators.ordering import running_total, split_by_size
-from wearline.session import stage
+from wearline.session import stage, stage_counted
 
 # Groups with up to this many values are ordered by one window task each.
 BOUNDED_VALUES = 1_000_000
 SKETCH_ACCURACY = 10_000
 # Groups with more values than this are sketched first; a sketch of a group holds some thousand values.
-SKETCH_FROM = 20_000
+SKETCH_FROM = 200_000
 GROUP_ACCURACY = 2_000
 
 
@@ -35,15 +35,19 @@ def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
     )
 
 
-def _collapse(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+def _collapse(df: DataFrame, columns: list[str], probs: list[float], more: list[Column] | None = None, rows: list[Row] | None = None) -> DataFrame:
     """Keep only the values near the wanted ranks apart; count the others together.
 
+    `more` are aggregates to take in the sketch pass; its row goes to `rows`.
+
     A sketch pass brackets every rank. Values outside the brackets become one counted row per
     gap (`gap` = 1), so the later shuffle carries a small share of the distinct values.
     """
     reach = 2.0 / SKETCH_ACCURACY
     asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-reach, reach)})
-    sketch = df.agg(*[F.percentile_approx(_present(c), asked, SKETCH_ACCURACY).alias(c) for c in columns]).first()
+    sketch = df.agg(*[F.percentile_approx(_present(c), asked, SKETCH_ACCURACY).alias(c) for c in columns], *(more or [])).first()
+    if rows is not None:
+        rows.append(sketch)
     brackets = []
     for c in columns:
         at = dict(zip(asked, sketch[c] or []))
@@ -68,7 +72,7 @@ def _collapse_groups(df: DataFrame, columns: list[str], by: list[str], probs: li
     lows, highs = [max(0.0, p - reach) for p in probs], [min(1.0, p + reach) for p in probs]
     sketch = df.groupBy(*by).agg(*[F.percentile_approx(_present(c), lows + highs, GROUP_ACCURACY).alias(f"_s{i}") for i, c in enumerate(columns)])
     each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_s{i}").alias("_edges")) for i, c in enumerate(columns)])
-    brackets = stage(sketch.select(*by, F.explode(each).alias("_e")).select(*by, "_e.*"), "brackets")
+    brackets = sketch.select(*by, F.explode(each).alias("_e")).select(*by, "_e.*")
     value, inside, floor = F.col("value"), F.lit(False), [F.lit(float("-inf"))]
     for i in range(len(probs)):
         low, high = F.col("_edges")[i], F.col("_edges")[len(probs) + i]
@@ -89,10 +93,13 @@ def _counted(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
 def _quantiles_of_large_groups(df: DataFrame, columns: list[str], probs: list[float], names: list[str], by: list[str], limit: float) -> DataFrame:
     """Groups worth a sketch: exact counts inside the brackets; a group whose bracket misses is counted whole."""
     near = _collapse_groups(df, columns, by, probs).groupBy(*by, "column", "value", "gap").agg(F.count(F.lit(1)).alias("n"))
-    picked = stage(_pick(stage(near, "near"), by, names, probs, limit), "picked")
+    near, rows = stage_counted(near, "near")
+    observation = Observation()
+    picked = _pick(near, by, names, probs, math.inf if rows <= limit else limit)
+    picked = stage(picked.observe(observation, F.count_if(F.col("_missed") > 0).alias("missed")), "picked")
+    if not observation.get["missed"]:
+        return picked.drop("_missed")
     hit, missed = picked.where("_missed = 0"), picked.where("_missed > 0").select(*by).distinct()
-    if missed.isEmpty():
-        return hit.drop("_missed")
     again = _pick(stage(_counted(df.join(missed, by, "left_semi"), columns, by), "counted"), by, names, probs, limit)
     return attach(hit, missed, by, "left_anti").drop("_missed").unionByName(again.drop("_missed"))
 
@@ -145,19 +152,36 @@ def exact_quantiles(
     by = list(by or [])
     limit = BOUNDED_VALUES if bounded_values is None else bounded_values
     if by:
-        usual, large = split_by_size(df, by, SKETCH_FROM)
+        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n"), F.max("n")).first()
+        if (sizes[1] or 0) <= SKETCH_FROM:
+            usual, large = df, None
+        elif sizes[0] > SKETCH_FROM:
+            usual, large = None, df
+        else:
+            usual, large = split_by_size(df, by, SKETCH_FROM)
         found = []
         if usual is not None:
             found.append(_pick(_counted(usual, columns, by), by, names, probs, math.inf).drop("_missed"))
         if large is not None:
             found.append(_quantiles_of_large_groups(large, columns, probs, names, by, limit))
         return reduce(DataFrame.unionByName, found)
-    near = stage(_collapse(df, columns, probs).groupBy("column", "value", "gap").agg(F.count(F.lit(1)).alias("n")))
-    picked = _pick(near, by, names, probs, limit)
+    return quantiles_and(df, columns, probs, names, [], limit)[0]
+
+
+def quantiles_and(
+    df: DataFrame, columns: list[str], probs: list[float], names: list[str], more: list[Column], bounded_values: int | None = None
+) -> tuple[DataFrame, Row | None]:
+    """Exact quantiles of whole columns, and the row of the aggregates `more`, which share a pass with the sketches."""
+    limit = BOUNDED_VALUES if bounded_values is None else bounded_values
+    found: list[Row] = []
+    near = _collapse(df, columns, probs, more, found) if more else _collapse(df, columns, probs)
+    row = found[0] if found else None
+    near, kept = stage_counted(near.groupBy("column", "value", "gap").agg(F.count(F.lit(1)).alias("n")), "near")
+    picked = _pick(near, [], names, probs, math.inf if kept <= limit else limit)
     rows = picked.collect()
     if all(r["_missed"] == 0 for r in rows):
-        return df.sparkSession.createDataFrame(rows, picked.schema).drop("_missed")
-    return _pick(stage(_counted(df, columns, by)), by, names, probs, limit).drop("_missed")
+        return df.sparkSession.createDataFrame(rows, picked.schema).drop("_missed"), row
+    return _pick(stage(_counted(df, columns, [])), [], names, probs, limit).drop("_missed"), row
 
 
 def quantile_row(df: DataFrame, columns: list[str], probs: list[float], bounded_values: int | None = None) -> dict:
