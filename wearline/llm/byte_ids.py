@@ -17,7 +17,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from wearline.llm.pieces import PieceMemory, Ragged
 
-MEMORY = 400_000
+MEMORY = 300_000
 
 
 def byte_letters() -> dict[int, str]:

@@ -1,7 +1,7 @@
 """Token ids of documents in binary files, compressed by `id_coder`, as a Spark data source.
 
-Writing: `write_documents` range-sorts whole documents by (doc_id, text), tokenises them inside tasks and
-appends the end id to each. A task cuts its stream of ids into groups of up to GROUP_IDS ids of whole
+Writing: `write_documents` range-sorts whole documents by (doc_id, hash of the text); the writing tasks tokenise
+them and append the end id to each. A task cuts its stream of ids into groups of up to GROUP_IDS ids of whole
 documents, and a group into blocks of nearly equal length of at most BLOCK_IDS; blocks are coded
 independently, a group's blocks together. A task's files are taken into a manifest when the job commits,
 in range order, with their number of ids; files of failed or speculative attempts are never read.
@@ -145,10 +145,11 @@ class Written(WriterCommitMessage):
 
 
 class TokenWriter(DataSourceArrowWriter):
-    """Writes (doc_id, ids) in the order of partitions and rows."""
+    """Writes (doc_id, text) in the order of partitions and rows; texts are tokenised here, in the task that codes them."""
 
     def __init__(self, options: dict[str, str]):
         self.path, self.job = options["path"], uuid.uuid4().hex
+        self.vocabulary, self.end_id = options["vocabulary"], int(options.get("endid", 0))
         self.id_bits = int(options.get("idbits", 16))
         self.group_ids = int(options.get("groupids", GROUP_IDS))
         self.limit = int(options.get("filebytes", FILE_BYTES))
@@ -175,10 +176,11 @@ class TokenWriter(DataSourceArrowWriter):
         return Written(context.partitionId(), [tuple(f) for f in files])
 
     def _groups(self, iterator):
+        encoder = shared_ids(self.vocabulary)
         doc_ids, ids, held = [], [], 0
-        for batch in iterator:
-            for doc_id, own in zip(batch["doc_id"].to_pylist(), batch["ids"]):
-                own = np.frombuffer(own.as_buffer(), "<u4")
+        for batch in slices(iterator, 256):
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist())):
+                own = np.append(own, self.end_id).astype("<u4")
                 if doc_ids and held + len(own) > self.group_ids:
                     yield doc_ids, ids
                     doc_ids, ids, held = [], [], 0
@@ -294,17 +296,8 @@ def write_documents(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0
     """Write the ids of all documents in ascending order of `key`. `path` must not hold an earlier write."""
     from public_tokenizers import path as vocabulary_path
 
-    file = vocabulary_path(vocabulary)
-
-    def tokenise(batches):
-        encoder = shared_ids(file)
-        for batch in slices(batches, 256):
-            found = [np.append(ids, end_id).astype("<u4").tobytes() for ids in encoder.encode(batch["text"].to_pylist())]
-            yield pa.record_batch([batch["doc_id"], pa.array(found, pa.large_binary())], names=["doc_id", "ids"])
-
     docs.sparkSession.dataSource.register(TokenDataSource)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_hash"))
     # Equal doc_ids may be many: the hash lets a range end between them.
-    ranged = rows.repartitionByRange("doc_id", "_hash").sortWithinPartitions("doc_id", "_hash")
-    ids = ranged.select("doc_id", "text").mapInArrow(tokenise, "doc_id long, ids binary")
-    ids.write.format("token_ids").options(**options).mode("append").save(path)
+    ranged = rows.repartitionByRange("doc_id", "_hash").sortWithinPartitions("doc_id", "_hash").select("doc_id", "text")
+    ranged.write.format("token_ids").options(vocabulary=vocabulary_path(vocabulary), endid=str(end_id), **options).mode("append").save(path)
