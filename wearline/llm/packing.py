@@ -2,8 +2,7 @@
 
 Documents are tokenised once into a written table. The corpus-wide document frequencies give the
 weights of BM25; the index itself is sharded by content. A document goes where its leading term
-goes: of its terms, the rarest that enough documents share (`ranks`), so documents with the same
-distinctive term meet, wherever they stand in the input. Terms are gathered into shards of about
+goes: of its terms, the rarest that enough documents share (`ranks`), wherever it stands in the input. Terms are gathered into shards of about
 SHARD_TOKENS tokens; a term with more tokens is dealt out by the documents' second term, and a pair
 of terms with more by a hash of the row (`Routes`). A corpus of up to SHARD_TOKENS tokens is one
 shard. Within a shard, each seed document fills a window: whole windows of a long seed come first,
@@ -12,8 +11,9 @@ placed one after the other; the one that crosses the end is cut and its rest sta
 tokens left when a shard's documents run out are emitted in windows of power-of-two lengths, so
 there is no padding at all. Neither routes nor order depend on files, splits or tasks.
 
-Routing is approximate: a neighbour whose leading terms differ from the seed's can be in another
-shard, and then is not found.
+Routing is a weak approximation: a neighbour whose leading terms differ from the seed's can be in another
+shard, and then is not found. Over several shards that is the usual case, about as often as with random
+dealing. A part that still holds twice a shard's tokens is cut in order of arrival.
 
 BM25's idf ln((N - n + 0.5) / (n + 0.5)) is not positive for a term in half of all documents; such
 terms weigh nothing and have no postings.

@@ -13,7 +13,7 @@ become [EMAIL], [IP], ...
 
 Only Spark SQL functions are used. No pattern can match across a line break, so base spans are
 looked up line by line. Positions come from running sums over the text between matches, one row per
-match, so that a text full of matches costs linear time.
+match; putting the text together again copies what is finished for each span.
 
 Defined cases: a null text counts as empty; rows equal in doc_id and text are treated alike; a null
 doc_id is a key like others. Other columns pass through; those named like an output column are
