@@ -64,9 +64,13 @@ def remove_repeated_windows(docs: DataFrame, text: str = "text", key: str = "doc
         F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (WINDOW_LINES - 1))))
     )
     joined = joined.withColumn("__covered", covered)
-    kept = F.when(F.col("__covered").isNull(), F.col(text)).otherwise(
-        F.array_join(F.filter(_lines(text), lambda _, i: ~F.array_contains("__covered", i)), "\n")
-    )
+    # One sort sets each covered position before its line, so a long text takes n log n steps.
+    marks = F.transform("__covered", lambda i: F.struct((2 * i).alias("at"), F.lit(None).cast("string").alias("line")))
+    numbered = F.transform(_lines(text), lambda line, i: F.struct((2 * i + 1).alias("at"), line.alias("line")))
+    joined = joined.withColumn("__sorted", F.array_sort(F.concat(marks, numbered)))
+    follows = F.arrays_zip(F.col("__sorted").alias("own"), F.concat(F.array(F.lit(None)), F.slice("__sorted", 1, F.size("__sorted") - 1)).alias("last"))
+    left = F.filter(follows, lambda z: z["own"]["line"].isNotNull() & ~F.coalesce(z["last"]["at"] == z["own"]["at"] - 1, F.lit(False)))
+    kept = F.when(F.col("__covered").isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda z: z["own"]["line"]), "\n"))
     return joined.select(
         *docs.columns,
         F.when(F.col(text).isNull(), 0).otherwise(F.size(_lines(text))).cast("long").alias("n_lines"),
