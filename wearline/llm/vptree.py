@@ -6,12 +6,13 @@ distance of each half. A query with distance d to the vantage point and k-th bes
 half only if the interval [d - t, d + t] meets the half's (triangle inequality). The search relaxes
 this to t / factor: larger factors skip more and may miss neighbours; factor 1 is exact, ties
 included. Queries come in blocks, each block meets every shard, and a block moves through a tree
-together. The best of all shards are then ranked per query.
+together. The best of all shards are then ranked per query. A search takes one neighbour more than asked
+for, and of those the query's own row goes.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows
 without an id, take no part; vectors of different lengths are not compared; ties go to the smaller
-id; a query's own id is no candidate, also when it repeats; equal (id, vector) rows are one query but
-each is a candidate; many equal vectors split by rank, so trees stay balanced; empty tables give no
+id; one row equal to a query in id and vector is its own and no candidate, every other row is one, whatever
+its id; equal (id, vector) rows are one query; many equal vectors split by rank, so trees stay balanced; empty tables give no
 rows. Other columns are not used.
 """
 
@@ -73,11 +74,11 @@ class Tree:
         self.nodes[number] = (first, last, near, rest, bounds)
         return number
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """(ids, distances) of the k nearest found of each query; missing ones are infinitely far."""
         self.best_d = np.full((len(queries), k), np.inf)
         self.best_i = np.full((len(queries), k), np.iinfo(np.int64).max)
-        self.query_ids, self.queries, self.factor = query_ids, queries, factor
+        self.queries, self.factor = queries, factor
         # Each query's own path to a leaf gives a first bound; then all queries pass the tree together.
         self.home = np.zeros(len(queries), np.int64)
         self._descend(0, np.arange(len(queries)))
@@ -116,7 +117,7 @@ class Tree:
         own, asked = self.vectors[first:last], self.queries[rows]
         size = np.square(own).sum(1) + np.square(asked).sum(1)[:, None]
         rough = size - 2 * (asked @ own.T)
-        r, c = np.nonzero((rough <= np.square(self.best_d[rows, -1])[:, None] + 1e-9 * size) & (self.ids[first:last] != self.query_ids[rows][:, None]))
+        r, c = np.nonzero(rough <= np.square(self.best_d[rows, -1])[:, None] + 1e-9 * size)
         if not len(r):
             return
         d = np.full(rough.shape, np.inf)
@@ -187,7 +188,7 @@ def nearest(
                     made = (dim, number.as_py())
                     tree = Tree(np.frombuffer(own_ids.as_buffer(), np.int64), np.frombuffer(own.as_buffer(), np.float64).reshape(-1, dim))
                 ids = np.frombuffer(ids.as_buffer(), np.int64)
-                got, d = tree.search(ids, np.frombuffer(asked.as_buffer(), np.float64).reshape(-1, dim), k, factor)
+                got, d = tree.search(np.frombuffer(asked.as_buffer(), np.float64).reshape(-1, dim), k + 1, factor)
                 keep = np.isfinite(d)
                 place = np.broadcast_to(np.arange(len(ids))[:, None], d.shape)[keep]
                 yield pa.RecordBatch.from_arrays(
@@ -200,5 +201,10 @@ def nearest(
     )
     # A row number with a bound is cut to k rows per query before the shuffle, too.
     best = Window.partitionBy("block", "place").orderBy("score", "id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
+    own = F.when((F.col("id") == F.col("query_id")) & (F.col("score") == 0), F.col("rank"))
+    before = Window.partitionBy("block", "place").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The first row of the query's id at distance 0 is its own; later ranks move up by one.
+    ranked = ranked.withColumn("own", F.min(own).over(before)).where(F.col("own").isNull() | (F.col("own") != F.col("rank")))
+    ranked = ranked.withColumn("rank", F.col("rank") - F.col("own").isNotNull().cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(key), "score")
