@@ -3,10 +3,12 @@
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers. On top of them the
 corpus tells which other terms give an entity away. Over all documents, an entity c has information
 content IC(c) = -ln p(c), and a term t within REACH lines of it carries PMI(c; t) = ln p(c | t) / p(c) of it.
-A term discloses c when PMI(c; t) >= disclosure * IC(c) (at 1.0 it says everything about c). p(c | t)
-is smoothed by the evidence: where k different texts have both and a share r of the documents with t
-has c, it is (k + 1) / (k / r + 2). Copies of a text are one piece of evidence, and there is no least
-number: a single text has p(c | t) = 2/3, which is enough where c is rare. Terms are
+A term discloses c when it says at least a share `disclosure` of that information and leaves at most
+`residual` of it unknown (ln 2: one bit): PMI(c; t) >= max(disclosure * IC(c), IC(c) - residual). For p(c | t)
+stands the lower end of its Wilson interval of one standard error, where k different texts have both and
+a share r of the documents with t has c: k of k / r trials. So the bar does not move with the size of the
+corpus. Copies of a text are one piece of evidence. A single text cannot tell a disclosing word from a
+chance neighbour: its lower end is 1/2, and at least two different texts are asked for. Terms are
 runs of letters, marks and digits of any length. Disclosing terms are generalised (a capitalised word
 becomes [Name]) or removed wherever they stand in any document, except inside base spans; base spans
 become [EMAIL], [IP], ...
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearline.session import stage
+from wearline.session import stage, stage_counted
 
 KINDS = ["email", "ip", "card", "phone"]
 _LOCAL, _PART = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]+"
@@ -43,9 +45,12 @@ MUST_HOLD = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 OUTPUT = [*(f"n_{k}" for k in KINDS), "n_terms", "base", "spans", "sanitised"]
 
-DISCLOSURE = 0.95
+DISCLOSURE = 0.5
+RESIDUAL = 0.6931471805599453
+LEAST_TEXTS = 2
 REACH = 2
-SLOTS = 1 << 20
+# Terms whose 64-bit hashes may be broadcast.
+BROADCAST_TERMS = 1 << 20
 TERM = r"\p{L}\p{M}\p{N}"
 
 
@@ -134,8 +139,14 @@ def _entity_lines(found: DataFrame, spans: DataFrame, keys: list[str]) -> DataFr
     )
 
 
-def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float) -> DataFrame:
-    """(entity, word) pairs whose word says at least `disclosure` of the entity's information."""
+def wilson_low(hits: Column, trials: Column) -> Column:
+    """Lower end of the Wilson interval of one standard error for `hits` of `trials`."""
+    share = F.least(hits / trials, F.lit(1.0))
+    return (share + 1 / (2 * trials) - F.sqrt(share * (1 - share) / trials + 1 / (4 * trials * trials))) / (1 + 1 / trials)
+
+
+def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, residual: float) -> DataFrame:
+    """(entity, word) pairs whose word discloses the entity."""
     by_document = ["__id", "__hash"]
     pairs = (
         lines.select(*by_document, "times", F.explode("entities").alias("entity"), "words")
@@ -146,6 +157,7 @@ def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float) -> D
         .agg(F.sum("n").alias("n"))
         .groupBy("entity", "word")
         .agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n_pair"))
+        .where(F.col("texts") >= LEAST_TEXTS)
     )
     pairs = stage(pairs, "pii-pairs")
     entities = (
@@ -160,23 +172,24 @@ def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float) -> D
     total = F.lit(float(total))
     joined = pairs.join(entities, "entity").join(counts, "word")
     information = F.ln(total / F.col("n_entity"))
-    given = (F.col("texts") + 1) / (F.col("texts") * F.col("n_word") / F.col("n_pair") + 2)
-    shared = F.ln(given) + information
+    texts = F.col("texts").cast("double")
+    shared = F.ln(wilson_low(texts, texts * F.col("n_word") / F.col("n_pair"))) + information
+    needed = F.greatest(disclosure * information, information - residual)
     # An entity in every document has no information to disclose.
-    return joined.where((information > 0) & (shared >= disclosure * information)).select("entity", "word")
+    return joined.where((information > 0) & (shared >= needed)).select("entity", "word")
 
 
 def term_spans(keyed: DataFrame, spans: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
     """Places of disclosing terms in all documents, outside base spans."""
     # The exploded words carry no text; it is fetched for the documents that have a flagged word.
-    # A table of at most SLOTS hashes leaves out most other words before they are shuffled.
-    known = stage(terms.select("word").distinct(), "pii-terms")
-    slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).alias("slot")
+    known, count = stage_counted(terms.select("word").distinct(), "pii-terms")
+    held = keyed.select(*keys, F.explode(words(F.col("__text"))).alias("word"))
+    if count <= BROADCAST_TERMS:
+        # Their hashes leave out all other words before any are shuffled; beyond, the plain join does.
+        hashed = F.xxhash64("word").alias("hashed")
+        held = held.select("*", hashed).join(F.broadcast(known.select(hashed).distinct()), "hashed", "left_semi")
     flagged = (
-        keyed.select(*keys, F.explode(words(F.col("__text"))).alias("word"))
-        .select("*", slot)
-        .join(F.broadcast(known.select(slot).distinct()), "slot", "left_semi")
-        .join(known, "word")
+        held.join(known, "word")
         .groupBy(*keys)
         .agg(F.collect_set("word").alias("flagged"))
     )
@@ -196,7 +209,7 @@ def term_spans(keyed: DataFrame, spans: DataFrame, terms: DataFrame, keys: list[
 
 
 def sanitise(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", disclosure: float = DISCLOSURE
+    docs: DataFrame, text: str = "text", key: str = "doc_id", disclosure: float = DISCLOSURE, residual: float = RESIDUAL
 ) -> DataFrame:
     """`docs` with counts per kind, base and spans (kind:start:end, comma-joined) and the sanitised text."""
     docs = docs.drop(*OUTPUT)
@@ -212,7 +225,7 @@ def sanitise(
     found = stage(found.agg(*(F.first(c).alias(c) for c in ["__text", *matches]), F.count(F.lit(1)).alias("times")), "pii-documents")
     spans = stage(base_spans(found, keys, "__text"), "pii-spans")
     lines = stage(_entity_lines(found, spans, keys), "pii-lines")
-    terms = disclosing_terms(keyed, lines, disclosure)
+    terms = disclosing_terms(keyed, lines, disclosure, residual)
     names = F.array(*(F.lit(k) for k in [*KINDS, "term"]))
     every = spans.unionByName(term_spans(keyed, spans, terms, keys)).withColumn("name", F.get(names, F.col("kind")))
     entry = F.concat_ws(":", "name", "start", "end")
