@@ -433,15 +433,25 @@ def test_line_windows_of_awkward_rows(awkward, empty):
     assert line_dedup.remove_repeated_windows(empty).count() == 0
 
 
+def test_line_windows_of_a_long_text(spark):
+    """Half of 200,000 lines repeat, in runs of five; the time is that of a sort."""
+    lines = [f"line {n}" for n in range(200_000)]
+    other = [line if n % 10 < 5 else f"{line} too" for n, line in enumerate(lines)]
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(other))], "doc_id long, text string")
+    first, second = line_dedup.remove_repeated_windows(docs).orderBy("doc_id").collect()
+    assert first["n_removed"] == 0 and first["kept"] == "\n".join(lines)
+    assert second["n_removed"] == 100_000 and second["kept"] == "\n".join(line for line in other if line.endswith("too"))
+
+
 # --- 8 ---------------------------------------------------------------------------------------
 
 
 def neighbours_by_brute_force(rows, k=10):
     good = [(i, np.array(v, float)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all() and any(v)]
     found = set()
-    for q, v in good:
+    for own, (q, v) in enumerate(good):
         if q % 100 == 0:
-            near = sorted((float(np.sqrt(np.square(w - v).sum())), i) for i, w in good if i != q and len(w) == len(v))
+            near = sorted((float(np.sqrt(np.square(w - v).sum())), i) for at, (i, w) in enumerate(good) if at != own and len(w) == len(v))
             found |= {(q, n + 1, i, d) for n, (d, i) in enumerate(near[:k])}
     return found
 
@@ -459,6 +469,8 @@ def test_nearest_by_factor(spark, small):
 def test_nearest_of_awkward_rows(spark):
     rows = [(0, [1.0, 2.0]), (100, [1.0, 2.0]), (3, None), (200, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, [1.0, 1.0])]
     rows += [(n, [1.0, 2.5]) for n in range(8, 70)] + [(70, [float("inf"), 1.0])]
+    # Equal rows, equal ids of unlike vectors, and more equal vectors of smaller ids than are asked for.
+    rows += [(300, [9.0, 2.0]), (300, [9.0, 2.0]), (400, [5.0, 5.0]), (400, [5.0, 5.5]), (100, [1.0, 2.1]), (500, [1.0, 2.5])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
     got = vptree.nearest(vectors, vectors.where("vec_id % 100 = 0"), factor=1.0).collect()
     assert {tuple(r) for r in got} == neighbours_by_brute_force(rows)
@@ -609,6 +621,22 @@ def test_terms_near_entities_go_everywhere(spark):
     assert "nothing" in got[1000]["sanitised"]
 
 
+def test_chance_neighbours_stay_at_any_size(spark):
+    """A word beside an entity goes if two different texts show it and it is seldom elsewhere."""
+    for size in (60, 3000):
+        rows = [(n, f"Plain words {n} of people with letters") for n in range(size)]
+        rows += [(10_000, "Zorbina wrote\nwith quillon a.b@corp.example")]
+        rows += [(10_020 + n, f"Letter {n * 7} of Zorbina, with people\na.b@corp.example") for n in range(3)]
+        # Copies of a text count once, and words of the corpus stay.
+        rows += [(10_002 + n, "Mertal of c.d@corp.example") for n in range(3)]
+        rows += [(10_010, "Seen: Zorbina and Mertal and quillon")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r["doc_id"]: r for r in pii.sanitise(docs).where("doc_id >= 10000").collect()}
+        assert "Zorbina" not in got[10_000]["sanitised"] + got[10_021]["sanitised"]
+        assert got[10_010]["sanitised"] == "Seen: [Name] and Mertal and quillon"
+        assert "Mertal" in got[10_002]["sanitised"] and "quillon" in got[10_000]["sanitised"] and "people" in got[10_021]["sanitised"]
+
+
 # --- helpers ---------------------------------------------------------------------------------
 
 
