@@ -7,8 +7,10 @@ A term discloses c when it says at least a share `disclosure` of that informatio
 `residual` of it unknown (ln 2: one bit): PMI(c; t) >= max(disclosure * IC(c), IC(c) - residual). For p(c | t)
 stands the lower end of its Wilson interval of one standard error, where k different texts have both and
 a share r of the documents with t has c: k of k / r trials. So the bar does not move with the size of the
-corpus. Copies of a text are one piece of evidence. A single text cannot tell a disclosing word from a
-chance neighbour: its lower end is 1/2, and at least two different texts are asked for. Terms are
+corpus. Copies of a text are one piece of evidence. A word of one text only has the lower end 1/2 and just
+discloses an entity that stands in no other text either: nothing shows it to be harmless, so it goes, chance
+neighbours included. If the entity stands elsewhere without the word, two texts are needed. `least_texts` = 2
+keeps all words of one text. Terms are
 runs of letters, marks and digits of any length. Disclosing terms are generalised (a capitalised word
 becomes [Name]) or removed wherever they stand in any document, except inside base spans; base spans
 become [EMAIL], [IP], ...
@@ -47,7 +49,7 @@ OUTPUT = [*(f"n_{k}" for k in KINDS), "n_terms", "base", "spans", "sanitised"]
 
 DISCLOSURE = 0.5
 RESIDUAL = 0.6931471805599453
-LEAST_TEXTS = 2
+LEAST_TEXTS = 1
 REACH = 2
 # Terms whose 64-bit hashes may be broadcast.
 BROADCAST_TERMS = 1 << 20
@@ -145,7 +147,7 @@ def wilson_low(hits: Column, trials: Column) -> Column:
     return (share + 1 / (2 * trials) - F.sqrt(share * (1 - share) / trials + 1 / (4 * trials * trials))) / (1 + 1 / trials)
 
 
-def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, residual: float) -> DataFrame:
+def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, residual: float, least_texts: int) -> DataFrame:
     """(entity, word) pairs whose word discloses the entity."""
     by_document = ["__id", "__hash"]
     pairs = (
@@ -157,7 +159,7 @@ def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, resi
         .agg(F.sum("n").alias("n"))
         .groupBy("entity", "word")
         .agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n_pair"))
-        .where(F.col("texts") >= LEAST_TEXTS)
+        .where(F.col("texts") >= least_texts)
     )
     pairs = stage(pairs, "pii-pairs")
     entities = (
@@ -176,7 +178,7 @@ def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, resi
     shared = F.ln(wilson_low(texts, texts * F.col("n_word") / F.col("n_pair"))) + information
     needed = F.greatest(disclosure * information, information - residual)
     # An entity in every document has no information to disclose.
-    return joined.where((information > 0) & (shared >= needed)).select("entity", "word")
+    return joined.where((information > 0) & (shared >= needed - 1e-9) & ((F.col("texts") > 1) | (F.col("n_pair") == F.col("n_entity")))).select("entity", "word")
 
 
 def term_spans(keyed: DataFrame, spans: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
@@ -209,7 +211,7 @@ def term_spans(keyed: DataFrame, spans: DataFrame, terms: DataFrame, keys: list[
 
 
 def sanitise(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", disclosure: float = DISCLOSURE, residual: float = RESIDUAL
+    docs: DataFrame, text: str = "text", key: str = "doc_id", disclosure: float = DISCLOSURE, residual: float = RESIDUAL, least_texts: int = LEAST_TEXTS
 ) -> DataFrame:
     """`docs` with counts per kind, base and spans (kind:start:end, comma-joined) and the sanitised text."""
     docs = docs.drop(*OUTPUT)
@@ -225,7 +227,7 @@ def sanitise(
     found = stage(found.agg(*(F.first(c).alias(c) for c in ["__text", *matches]), F.count(F.lit(1)).alias("times")), "pii-documents")
     spans = stage(base_spans(found, keys, "__text"), "pii-spans")
     lines = stage(_entity_lines(found, spans, keys), "pii-lines")
-    terms = disclosing_terms(keyed, lines, disclosure, residual)
+    terms = disclosing_terms(keyed, lines, disclosure, residual, least_texts)
     names = F.array(*(F.lit(k) for k in [*KINDS, "term"]))
     every = spans.unionByName(term_spans(keyed, spans, terms, keys)).withColumn("name", F.get(names, F.col("kind")))
     entry = F.concat_ws(":", "name", "start", "end")
