@@ -117,3 +117,16 @@ def test_keep_first_in_two_phases(spark):
     assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()
     alone = df.where("g = 'c'")
     assert quality.drop_duplicates(alone, ["g", "h"], ["k"]).collect() == alone.collect()
+
+
+def test_a_small_matrix_shuffles_no_products(spark, monkeypatch):
+    """Rows of the large side are dealt once; sums by place and by row need no further shuffle."""
+    monkeypatch.setattr(products, "ROW_PRODUCTS", 20_000)
+    left = spark.range(5_000).select((F.col("id") % 700).alias("i"), (F.col("id") % 13).alias("k"), F.lit(2).alias("v"))
+    right = spark.range(400).select((F.col("id") % 13).alias("k"), (F.col("id") % 150).alias("j"), F.lit(3).alias("v"))
+    for a, b, row in ((left, right, "i"), (right.select(F.col("j").alias("i"), "k", "v"), left.select("k", F.col("i").alias("j"), "v"), "j")):
+        plain = a.withColumnRenamed("v", "_a").join(b.withColumnRenamed("v", "_b"), "k").groupBy("i", "j").agg(F.sum(F.expr("_a * _b")).alias("v"))
+        got = products.multiply(a, b)
+        assert sorted(got.collect()) == sorted(plain.select("i", "j", "v").collect())
+        plan = got.groupBy(row).agg(F.sum("v"))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan

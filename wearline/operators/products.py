@@ -19,6 +19,9 @@ TILE = 256
 FAN = 32
 # A cell of a matrix product has at most this many entries of either side.
 CELL_ENTRIES = 2_048
+# A matrix of at most this many entries is sent to all tasks; a task then makes about ROW_PRODUCTS products.
+SMALL_ENTRIES = 100_000
+ROW_PRODUCTS = 2_000_000
 
 SUMS = ["n", "a", "b", "aa", "bb", "ab"]
 
@@ -109,16 +112,32 @@ def tiled_gram(df: DataFrame, columns: list[str], tile: int | None = None) -> np
     return gram
 
 
+def _by_rows(large: DataFrame, small: DataFrame, row: str) -> DataFrame:
+    """The product where `small` fits every task: whole rows of `large` are dealt by `row`, so that all products
+    of one place arise in one task and only the entries are shuffled. A row makes one product per entry of `small` at most."""
+    each = large.groupBy("k").agg(F.count(F.lit(1)).alias("n")).join(small.groupBy("k").agg(F.count(F.lit(1)).alias("m")), "k")
+    made = each.agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+    dealt = large.repartition(max(1, -(-made // ROW_PRODUCTS)), row)
+    return dealt.join(F.broadcast(small), "k").groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
+
+
 def multiply(a: DataFrame, b: DataFrame, cell: int | None = None) -> DataFrame:
     """Product of two matrices in coordinate form: a(i, k, v) times b(k, j, v) gives (i, j, v).
 
+    Where one side is small, the other is multiplied row by row and no product is shuffled (`cell` asks for the
+    grid all the same).
+
     An inner index k with n entries in `a` and m in `b` makes n * m products. Where n or m is above `cell`,
     the entries of k are dealt to a grid of parts by i and by j, and each side is copied to the other
     side's parts; so a heavy k fills many cells of at most about cell ** 2 products each, by design and
     not by what the engine finds out later. Products are summed before the shuffle on (i, j).
     """
-    cell = cell or CELL_ENTRIES
     left, right = a.select("i", "k", F.col("v").alias("_a")), b.select("k", "j", F.col("v").alias("_b"))
+    if cell is None:
+        (left, n), (right, m) = stage_counted(left, "left"), stage_counted(right, "right")
+        if min(n, m) <= SMALL_ENTRIES:
+            return _by_rows(left, right, "i") if m <= n else _by_rows(right, left, "j")
+    cell = cell or CELL_ENTRIES
     heavy_a, heavy_b = (side.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cell) for side in (left, right))
     parts = lambda n: F.ceil(F.coalesce(n, F.lit(1)) / cell)
     # At most one heavy k per `cell` entries of a side.
