@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from wearline.operators import sequences
 from wearline.plans.preparation import fill_missing, prepare_complete, prepare_test, prepare_train
 from wearline.schema import LOG_COLUMNS
 from wearline.session import fresh_path
@@ -109,6 +110,21 @@ def test_train_and_test_preparation(spark):
     assert test["sequences"].count() == 6 and row["RUL"] == 12 and len(row["seq"]) == 30 and len(row["seq"][0]) == len(names)
 
 
+def test_totals_of_windows(spark):
+    """Sums by feature, missing ones kept; windows are not gathered in few tasks for the few bytes they are made of."""
+    df = log(spark)
+    features = ["op_setting_1", "sensor_1"]
+    seqs = sequences.rolling_sequences(df, features, 5, dense=True)
+    names, step = ["a", "b"], lambda i: lambda s: s[i]
+    plain = seqs.select("cycle", "engine_id", *[F.aggregate(F.transform("seq", step(i)), F.lit(0.0), lambda x, y: x + y).alias(n) for i, n in enumerate(names)])
+    found = sequences.window_totals(seqs.select("cycle", "engine_id", "seq"), names)
+    rows = lambda d: sorted([(r[0], r[1], round(r[2], 9), r[3] is None or round(r[3], 9)) for r in d.collect()], key=str)
+    assert found.columns == ["cycle", "engine_id", *names] and rows(found) == rows(plain)
+    assert found.where("b IS NULL").count() > 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert seqs.rdd.getNumPartitions() == parts > 1
+
+
 def test_complete_preparation_switches(spark):
     df = log(spark)
     doubled = df.unionByName(df.where("cycle = 40"))

@@ -9,6 +9,7 @@ from wearline.catalog.registry import ENGINE, PANEL_SQL, SERIES, frame, query, r
 from wearline.catalog.series import FILL_SQL, KEY
 from wearline.functions.scalar import cut
 from wearline.operators import rows, splits, transforms
+from wearline.operators.sequences import window_totals
 from wearline.operators.windows import rolling_mean
 from wearline.panel import PANEL_SENSORS, engine_panel, table
 from wearline.plans.preparation import prepare_complete, prepare_test, prepare_train
@@ -334,11 +335,7 @@ def train_and_test_preparation(spark, sf):
     test = prepare_test(panel.where("cycle <= cutoff").select(*columns), engine_truth(panel), train["manifest"], train["scaler"])
     names = transforms.manifest_names(train["manifest"])
 
-    def total(feature):
-        i = names.index(feature)
-        return F.aggregate(F.transform("seq", lambda s: s[i]), F.lit(0.0), lambda a, x: a + x).alias(feature)
-
     parts = [
-        d["sequences"].select(F.lit(p).alias("part"), *ENTITY, "cycle", RUL, *map(total, names)) for p, d in (("train", train), ("test", test))
+        window_totals(d["sequences"].select(F.lit(p).alias("part"), *ENTITY, "cycle", RUL, "seq"), names) for p, d in (("train", train), ("test", test))
     ]
     return rounded(rows.union_all(*parts), names, 3)

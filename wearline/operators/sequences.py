@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wearline.operators.joins import attach
 from wearline.operators.ordering import lay_blocks, number_rows, over_series, running_total, series_window
 from wearline.schema import CYCLE, ENTITY, WINDOW_SIZE, require_numeric
 from wearline.session import stage
 
+# Windows whose values are summed at once.
+TOTAL_ROWS = 1_000
+
 
 def rolling_sequences(
     df: DataFrame,
@@ -37,11 +43,35 @@ def rolling_sequences(
     step = F.array(*[F.col(c).cast("double") for c in features])
     narrow = df.select(*kept, step.alias("_step"))
     w = series_window(keys, position).rowsBetween(1 - size, 0)
-    laid = lay_blocks(narrow, position, size - 1, block_rows)
+    # Windows hold `size` times the bytes that are shuffled, so those bytes must not merge the partitions.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = lay_blocks(narrow, position, size - 1, block_rows).repartition(parts, *keys, "_block")
     seqs = laid.select(*kept, "_own", F.collect_list("_step").over(w).alias("seq"))
     return seqs.where(F.col("_own") & (F.col(position) >= size)).drop("_own")
 
 
+def window_totals(seqs: DataFrame, names: list[str]) -> DataFrame:
+    """The other columns, and for each feature of `seq` its sum over the window; missing where a value of it is missing.
+
+    All windows have the same number of steps.
+    """
+    others = [f for f in seqs.schema.fields if f.name != "seq"]
+    schema = StructType([*others, *(StructField(n, DoubleType()) for n in names)])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOTAL_ROWS):
+                part = batch.slice(at, TOTAL_ROWS)
+                values = part.column("seq").flatten().flatten()
+                shape = (part.num_rows, -1, len(names))
+                missing = values.is_null().to_numpy(zero_copy_only=False).reshape(shape).any(1)
+                sums = values.to_numpy(zero_copy_only=False).reshape(shape).sum(1) + 0.0  # no negative zero
+                columns = [pa.array(sums[:, i], mask=missing[:, i]) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in others), *columns], [*(f.name for f in others), *names])
+
+    return seqs.mapInArrow(total, schema)
+
+
 def with_sequence_index(
     seqs: DataFrame, df: DataFrame, size: int = WINDOW_SIZE, keys=ENTITY, position=CYCLE, dense: bool = False
 ) -> DataFrame:
