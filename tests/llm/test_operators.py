@@ -127,6 +127,25 @@ def test_a_crowded_bucket_keeps_every_link(spark):
     assert got == {i: i - i % 2 for i in texts}
 
 
+def test_every_shingle_has_the_idf_of_its_own_documents(spark, monkeypatch):
+    """Rare shingles too, over many blocks and ranges of hashes; copies and repeated rows count as documents."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(near_dedup, "RANGE_BYTES", 700)
+    random.seed(8)
+    texts = [" ".join(random.choices("abc", k=random.choice([3, 9, 30]))) for _ in range(60)] + ["a b c a b c a"] * 5 + [None, "", " \x1c\n"]
+    rows = [*enumerate(texts), (60, texts[60]), (60, texts[60]), (None, texts[0])]
+    bags = [Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) for w in ((t or "").split() for _, t in rows) if w]
+    df = Counter(s for b in bags for s in b)
+    expected = Counter(round(sum(c * (1 + np.log(len(bags) / df[s])) for s, c in b.items()), 6) for b in bags)
+    docs = spark.createDataFrame(rows, "__id long, __text string").withColumn("__hash", F.xxhash64("__text")).repartition(3)
+    signed, documents = near_dedup.signatures(docs)
+    got = Counter()
+    for r in signed.where("size(bands) > 0").collect():
+        got[round(r["weight"], 6)] += r["copies"]
+    assert documents == len(bags) and got == expected
+    assert len(near_dedup.near_duplicates(docs, "__text", "__id").collect()) == len(rows)
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     a = np.sort(rng.integers(0, 1 << 63, 300).astype(np.uint64))

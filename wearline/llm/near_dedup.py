@@ -1,11 +1,10 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF word shingles.
 
 A document is the weighted set of its five-word shingles (lower case, white space folded), weight =
-term frequency x idf, idf = 1 + ln(1 / max(share of documents with the shingle, COMMON_SHARE)). The
-floor keeps the weights of ordinary shingles equal, so that a group of near copies does not lower
-the weight of its own text, and it bounds the table of lower-weighted shingles: at most mean shingles
-per document / COMMON_SHARE, whatever the corpus. Shares are counted exactly over all documents: a
-first pass counts hashed buckets, a second one only the shingles of buckets that reach the floor.
+term frequency x idf, idf = 1 + ln(documents with a shingle / documents with this one). Every shingle's
+documents are counted exactly: texts are dealt to blocks of bounded size, a block sends its distinct
+shingles with their counts to parts by ranges of the hash, and a part sends back the sums in the same
+order, which need no hashes and are mostly ones. The block's texts are shuffled once for both passes.
 
 Improved consistent weighted sampling draws, for every shingle and sample, r and c from Gamma(2, 1)
 and beta from [0, 1) and takes the shingle with the smallest ln c - r (t - beta + 1), t =
@@ -23,7 +22,7 @@ common bucket, unless links found so far connect it, and only if its total weigh
 similarity's ratio. Which texts have a pair to compare is settled first, on bands and weights alone, so
 that a text's vector goes only to the buckets that compare it.
 
-Defined cases: texts equal after normalisation are one class without comparison; null, empty and
+Defined cases: every row counts as a document, copies too; texts equal after normalisation are one class without comparison; null, empty and
 blank texts have no shingle and are classes of their own; texts under five words are one shingle;
 rows with equal or null ids keep one row each. Other columns of the input are not used.
 """
@@ -44,8 +43,12 @@ from wearline.session import stage, stage_counted
 
 SIMILARITY = 0.8
 BANDS, ROWS = 14, 3
-COMMON_SHARE = 1 / 16
-COUNT_BITS = 16
+# A share of documents from which on the idf would stop growing; none.
+COMMON_SHARE = 0.0
+# Bytes of text of a block, and those whose distinct shingles one range of hashes has on average.
+BLOCK_BYTES, RANGE_BYTES = 4 << 20, 5 << 20
+# What str.split takes for no white space.
+NOT_BLANK = "[^" + "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace()) + "]"
 # Pivots of a bucket in one round, and the bytes of their vectors.
 PIVOTS, PIVOT_BYTES = 1024, 64 << 20
 PART_ROWS, PART_BYTES = 1000, 32 << 20
@@ -60,67 +63,61 @@ def weighted_shingles(normal: str, n: int = SHINGLE_WORDS) -> tuple[np.ndarray,
     return np.unique(shingle_hashes(word_hashes(normal), n), return_counts=True)
 
 
-# --- document shares -------------------------------------------------------------------------
-
-
-def _bucket_of(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-
-
-def _bucket_counts(batches):
-    counts, docs = np.zeros(1 << COUNT_BITS, np.int64), 0
-    for batch in slices(batches):
-        found = [np.zeros(0, np.uint64)]
-        for normal in map(normalised, batch.column(0).to_pylist()):
-            found.append(np.unique(shingle_hashes(word_hashes(normal))))
-            docs += len(found[-1]) > 0
-        counts += np.bincount(_bucket_of(np.concatenate(found)), minlength=1 << COUNT_BITS)
-    used = np.flatnonzero(counts)
-    # Bucket -1 carries the number of documents.
-    yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(counts[used], docs))], ["bucket", "n"])
-
-
-def _shingle_counts(heavy: np.ndarray):
-    def count(batches):
-        for batch in slices(batches, 4096):
-            found = [np.zeros(0, np.uint64)]
-            for normal in map(normalised, batch.column(0).to_pylist()):
-                shingles = shingle_hashes(word_hashes(normal))
-                found.append(np.unique(shingles[heavy[_bucket_of(shingles)]]))
-            values, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["shingle", "n"])
-
-    return count
-
-
-def common_shingles(docs: DataFrame, text: str, share: float = COMMON_SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the shingles in more than `share` of the documents, and their idf."""
-    texts = docs.select(text)
-    counts = texts.mapInArrow(_bucket_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = stage(counts, "buckets")
-    total = sum(r["n"] for r in counts.where("bucket = -1").collect())
-    # At most 2 ** COUNT_BITS buckets.
-    full = [r["bucket"] for r in counts.where((F.col("bucket") >= 0) & (F.col("n") > share * total)).collect()]
-    if not full:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    heavy = np.zeros(1 << COUNT_BITS, bool)
-    heavy[full] = True
-    exact = texts.mapInArrow(_shingle_counts(heavy), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    # At most mean shingles per document / share rows.
-    rows = exact.where(F.col("n") > share * total).collect()
-    shingles = np.array([r["shingle"] for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], 1 - np.log(np.array([r["n"] for r in rows], float)[order] / total)
-
-
-def weights(shingles: np.ndarray, frequency: np.ndarray, common: tuple[np.ndarray, np.ndarray], share: float = COMMON_SHARE) -> np.ndarray:
-    idf = np.full(len(shingles), 1 - np.log(share))
-    hashes, values = common
-    if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, shingles), len(hashes) - 1)
-        known = hashes[at] == shingles
-        idf[known] = values[at[known]]
-    return frequency * idf
+# --- document counts -------------------------------------------------------------------------
+
+
+def _block_shingles(texts: pa.ChunkedArray) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
+    """The normalised texts and their shingles with term frequencies."""
+    normal = [normalised(x.as_py()) for x in texts]
+    return normal, [weighted_shingles(x) for x in normal]
+
+
+def _packed(shingles: np.ndarray) -> bytes:
+    """Differences of sorted hashes by byte places, since the high ones are zero and compress."""
+    return np.diff(shingles, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _runs(parts: int):
+    """Distinct shingles of a block, cut into `parts` ranges of the hash, and the documents that have each."""
+    starts = np.array([(p << 64) // parts for p in range(1, parts)], np.uint64)
+
+    def run(table: pa.Table) -> pa.Table:
+        _, found = _block_shingles(table["__text"])
+        copies = np.repeat(table["copies"].to_numpy(), [len(x) for x, _ in found])
+        shingles, place = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
+        counts = np.bincount(place, copies, len(shingles)).astype(np.int64)
+        at = np.searchsorted(shingles, starts)
+        cut = [(p, x, n) for p, (x, n) in enumerate(zip(np.split(shingles, at), np.split(counts, at))) if len(x)]
+        return pa.table({
+            "block": pa.array([table["block"][0].as_py()] * len(cut), pa.int64()), "part": pa.array([p for p, _, _ in cut], pa.int64()),
+            "shingles": pa.array([_packed(x) for _, x, _ in cut], pa.binary()), "counts": pa.array([n.tobytes() for _, _, n in cut], pa.binary()),
+        })
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The runs of one range of hashes with the counts of the whole corpus."""
+    runs = [_unpacked(x.as_buffer()) for x in table["shingles"]]
+    counts = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["counts"]])
+    every = np.concatenate(runs)
+    order = np.argsort(every)
+    every = every[order]
+    starts = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+    counts = counts[order]
+    total = np.empty_like(counts)
+    total[order] = np.repeat(np.add.reduceat(counts, starts), np.diff(np.append(starts, len(counts))))
+    sums = np.split(total, np.cumsum([len(x) for x in runs])[:-1])
+    return pa.table({"block": table["block"], "part": table["part"], "counts": pa.array([x.tobytes() for x in sums], pa.binary())})
+
+
+def weights(frequency: np.ndarray, counts: np.ndarray, documents: int) -> np.ndarray:
+    """Term frequency x idf of shingles that `counts` of the documents have."""
+    return frequency * (1 - np.log(np.maximum(counts / documents, COMMON_SHARE)))
 
 
 # --- signatures ------------------------------------------------------------------------------
@@ -188,32 +185,49 @@ def fingerprint(normal: str) -> bytes:
     return hashlib.blake2b(normal.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _signatures(common):
-    def sign(batches):
-        for batch in slices(batches):
-            prints, bands, totals = [], [], []
-            for normal in map(normalised, batch.column("__text").to_pylist()):
-                shingles, frequency = weighted_shingles(normal)
-                prints.append(fingerprint(normal))
-                weighed = weights(shingles, frequency, common)
-                totals.append(float(weighed.sum()))
-                bands.append(band_codes(samples(shingles, weighed)).view(np.int64) if len(shingles) else [])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("__id"), batch.column("__hash"), pa.array(prints, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(totals)],
-                ["__id", "__hash", "print", "bands", "weight"],
-            )
+def _signatures(documents: int):
+    def sign(table: pa.Table, sums: pa.Table) -> pa.Table:
+        normal, found = _block_shingles(table["__text"])
+        counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for x in sums.sort_by("part")["counts"])])
+        _, place = np.unique(np.concatenate([x for x, _ in found]), return_inverse=True)
+        own = np.split(counts[place], np.cumsum([len(x) for x, _ in found])[:-1])
+        bands, totals = [], []
+        for (shingles, frequency), n in zip(found, own):
+            weighed = weights(frequency, n, documents)
+            totals.append(float(weighed.sum()))
+            bands.append(band_codes(samples(shingles, weighed)).view(np.int64) if len(shingles) else [])
+        return pa.table({
+            "__id": table["__id"], "__hash": table["__hash"], "copies": table["copies"], "print": pa.array([fingerprint(x) for x in normal], pa.binary()),
+            "bands": pa.array(bands, pa.list_(pa.int64())), "weight": pa.array(totals, pa.float64()),
+            "counts": pa.array([pa.compress(n.tobytes(), "zstd", asbytes=True) for n in own], pa.binary()),
+        })
 
     return sign
 
 
-def _vectors(common):
+def signatures(rows: DataFrame) -> tuple[DataFrame, int]:
+    """__id, __hash, copies, print, bands, weight and counts (documents of each shingle) of the distinct rows (__id, __hash, __text); and the number of documents that have shingles."""
+    size = rows.agg(F.sum(F.octet_length("__text")), F.count(F.when(F.col("__text").rlike(NOT_BLANK), 1))).first()
+    blocks, parts = (max(1, -(-(size[0] or 0) // n)) for n in (BLOCK_BYTES, RANGE_BYTES))
+    documents = max(1, size[1])
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("__id", "__hash"), F.lit(blocks)).cast("long")).repartition("block")
+    # Repeated rows are dealt to one block and are one row there.
+    blocked = dealt.groupBy("block", "__id", "__hash", "__text").agg(F.count(F.lit(1)).alias("copies"))
+    runs = blocked.groupBy("block").applyInArrow(_runs(parts), "block long, part long, shingles binary, counts binary")
+    sums = runs.groupBy("part").applyInArrow(_summed, "block long, part long, counts binary")
+    schema = f"__id {rows.schema['__id'].dataType.simpleString()}, __hash long, copies long, print binary, bands array<long>, weight double, counts binary"
+    return stage(blocked.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_signatures(documents), schema), "signatures"), documents
+
+
+def _vectors(documents: int):
     def vector(batches):
         for batch in slices(batches):
             hashes, weighed = [], []
-            for normal in map(normalised, batch.column("__text").to_pylist()):
+            for normal, counts in zip(map(normalised, batch.column("__text").to_pylist()), batch.column("counts")):
                 shingles, frequency = weighted_shingles(normal)
+                counts = np.frombuffer(pa.decompress(counts.as_buffer(), 8 * len(shingles), "zstd"), np.int64)
                 hashes.append(shingles.tobytes())
-                weighed.append(weights(shingles, frequency, common).astype(np.float32).tobytes())
+                weighed.append(weights(frequency, counts, documents).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("print"), pa.array(hashes, pa.binary()), pa.array(weighed, pa.binary())], ["print", "shingles", "weights"])
 
     return vector
@@ -349,22 +363,20 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     class_id is the smallest key of the class. keeper marks the row that stays of each class: the
     one with the smallest (key, __hash); rows equal in both are all marked.
     """
-    common = common_shingles(docs, text)
     rows = docs.select(F.col(key).alias("__id"), F.xxhash64(text).alias("__hash"), F.col(text).alias("__text"))
-    kind = docs.schema[key].dataType.simpleString()
-    signed = stage(rows.mapInArrow(_signatures(common), f"__id {kind}, __hash long, print binary, bands array<long>, weight double"), "signatures")
+    signed, documents = signatures(rows)
     texts = (
         signed.where(F.size("bands") > 0).groupBy("print")
-        .agg(F.first("bands").alias("bands"), F.first("weight").alias("weight"), F.min(F.struct("__id", "__hash")).alias("at"))
+        .agg(F.first("bands").alias("bands"), F.first("weight").alias("weight"), F.first("counts").alias("counts"), F.min(F.struct("__id", "__hash")).alias("at"))
     )
     members = texts.select("print", F.explode("bands").alias("bucket"), "bands", "weight")
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members, left = stage_counted(members.join(crowded, "bucket", "left_semi"), "members")
     labels = stage(members.select("print").distinct().withColumn("label", F.col("print")), "classes")
     if left:
-        named = texts.join(labels.select("print"), "print", "left_semi").select("print", "at.*")
+        named = texts.join(labels.select("print"), "print", "left_semi").select("print", "counts", "at.*")
         held = rows.join(named, rows["__id"].eqNullSafe(named["__id"]) & (rows["__hash"] == named["__hash"]))
-        vectors = stage(held.select("print", "__text").dropDuplicates(["print"]).mapInArrow(_vectors(common), "print binary, shingles binary, weights binary"), "vectors")
+        vectors = stage(held.select("print", "counts", "__text").dropDuplicates(["print"]).mapInArrow(_vectors(documents), "print binary, shingles binary, weights binary"), "vectors")
         # First every text meets one pivot only, the one of most common bands, which settles large groups
         # of close copies.
         pivots = members.groupBy("bucket").agg(F.min(F.struct("print", "bands", "weight")).alias("p"))
@@ -410,6 +422,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         "class", F.when(F.size("bands") > 0, F.coalesce("label", "print")).otherwise(F.unhex(F.sha2(F.concat_ws(":", F.coalesce(F.col("__id").cast("string"), F.lit("null")), "__hash"), 256)))
     )
     firsts = named.groupBy("class").agg(F.min(F.struct("__id", "__hash")).alias("first"))
-    return named.join(firsts, "class").select(
+    # Repeated rows come back as often as they came.
+    return named.join(firsts, "class").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
         F.col("__id").alias(key), "__hash", F.col("first.__id").alias("class_id"), F.struct("__id", "__hash").eqNullSafe(F.col("first")).alias("keeper")
     )
