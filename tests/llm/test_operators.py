@@ -340,6 +340,27 @@ def test_remembered_pieces_encode_as_the_tokenizer(plain):
             assert got.tolist() == ids.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_letters_are_encoded_once_and_frequent_pieces_stay():
+    ids = tokens.Ids(public_tokenizers.path("word_bpe_49k.json"), memory=40)
+    words, learn = [], ids._word_ids
+    ids._word_ids = lambda found: words.extend(found) or learn(found)
+    ids.encode(["Zanzibarov zanzibarov, (odd) Zanzibarov. ZANZIBAROV!", None, " zanzibarov "])
+    assert words == ["zanzibarov"]
+    for n in range(20):
+        ids.encode([f"zanzibarov {' '.join(f'w{n}x{k}' for k in range(30))}"])
+    assert words.count("zanzibarov") == 1 and "zanzibarov" in ids.place and len(ids.place) < 120
+
+
+def test_index_drops_used_documents():
+    rng = np.random.default_rng(2)
+    documents = [rng.integers(0, 50, 40) for _ in range(30)]
+    index = packing.Shard(documents, np.ones(50, np.float32), 40.0)
+    unused = np.arange(5, 30, 3)
+    before, size = index.scores(3), len(index.documents)
+    index.keep(unused)
+    assert np.array_equal(index.scores(3)[unused], before[unused]) and len(index.documents) < size / 2
+
+
 # --- 5 ---------------------------------------------------------------------------------------
 
 

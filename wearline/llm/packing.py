@@ -56,9 +56,9 @@ def tokenised(docs: DataFrame, text: str, key: str, vocabulary: str) -> DataFram
         size = ids.tokenizer.get_vocab_size()
         counts, met = np.zeros(size + 2, np.int64), np.zeros(size, bool)
         id_type = None
-        for batch in slices(batches, 128):
+        for batch in slices(batches, 512):
             id_type = batch.column("__id").type
-            found = [np.append(x, ids.width.type(END)) for x in ids.encode(batch.column("__text").to_pylist())]
+            found = [np.append(x, ids.width.type(END)) for x in ids.encode(batch.column("__text"))]
             for x in found:
                 met[x] = True
                 counts[np.flatnonzero(met)] += 1
@@ -99,12 +99,14 @@ def ranks(counts: np.ndarray, size: int) -> np.ndarray:
     return np.maximum(idf, 0) * np.minimum(np.log(np.maximum(found, 1)) / np.log(COMPANY), 1)
 
 
-def leading(ids: np.ndarray, place: np.ndarray) -> tuple[int, int]:
-    """The document's two terms of the best (lowest) places; the size of the vocabulary where there is none."""
-    none = len(place) - 1
-    by_place = np.unique(place[ids])[:2]
-    terms = [int(t) for t in by_place if t < none]
-    return tuple((terms + [none, none])[:2])
+def leading(documents: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's two best (lowest) places of terms; the size of the vocabulary where there is none. No document is empty."""
+    size = np.array([len(d) for d in documents])
+    starts = np.cumsum(size) - size
+    places = place[np.concatenate(documents)]
+    first = np.minimum.reduceat(places, starts)
+    places[places == np.repeat(first, size)] = len(place) - 1
+    return first, np.minimum.reduceat(places, starts)
 
 
 class Routes:
@@ -152,8 +154,9 @@ def routed(table: DataFrame, counts: np.ndarray, size: int, kind: str, shard_tok
 
     def lead(batches):
         for batch in slices(batches, 256):
-            found = [(*leading(ids, place), len(ids)) for ids in (np.frombuffer(x.as_buffer(), width) for x in batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b", "n"])
+            documents = [np.frombuffer(x.as_buffer(), width) for x in batch.column(0)]
+            if documents:
+                yield pa.RecordBatch.from_arrays([*map(pa.array, leading(documents, place)), pa.array([len(d) for d in documents], pa.int64())], ["a", "b", "n"])
 
     pairs = stage(rows.select("ids").mapInArrow(lead, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     tokens = np.zeros(size + 1, np.int64)
@@ -164,8 +167,10 @@ def routed(table: DataFrame, counts: np.ndarray, size: int, kind: str, shard_tok
 
     def deal(batches):
         for batch in slices(batches, 256):
-            documents = (np.frombuffer(x.as_buffer(), width) for x in batch.column("ids"))
-            shards = [routes.shard(*leading(ids, place), row) for ids, row in zip(documents, batch.column("row").to_pylist())]
+            documents = [np.frombuffer(x.as_buffer(), width) for x in batch.column("ids")]
+            if not documents:
+                continue
+            shards = [routes.shard(*x) for x in zip(*(at.tolist() for at in leading(documents, place)), batch.column("row").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), *batch.columns], ["shard", "content", "row", "__id", "ids"])
 
     hashed = rows.select(F.xxhash64("ids").alias("content"), F.xxhash64("ids", "__id").alias("row"), "__id", "ids")
@@ -187,14 +192,26 @@ class Shard:
             terms.append(term)
             weights.append(idf[term] * frequency * (K1 + 1) / (frequency + K1 * (1 - B + B * len(ids) / mean)))
         self.terms = terms
+        self.left = len(terms)
         flat = np.concatenate(terms)
         order = np.argsort(flat, kind="stable")
         self.documents = np.repeat(np.arange(len(terms)), [len(t) for t in terms])[order]
         self.weights = np.concatenate(weights)[order]
         self.starts = np.searchsorted(flat[order], np.arange(len(idf) + 1))
 
+    def keep(self, unused: np.ndarray) -> None:
+        """Drop the postings of all other documents, when these are few."""
+        if len(unused) > 0.8 * self.left:
+            return
+        self.left = len(unused)
+        wanted = np.zeros(len(self.terms), bool)
+        wanted[unused] = True
+        kept = wanted[self.documents]
+        self.starts = np.append(0, np.cumsum(kept))[self.starts]
+        self.documents, self.weights = self.documents[kept], self.weights[kept]
+
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document for the seed's terms."""
+        """BM25 of every document that is kept for the seed's terms."""
         low, high = self.starts[self.terms[seed]], self.starts[self.terms[seed] + 1]
         size = high - low
         at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
@@ -219,6 +236,7 @@ def fill_windows(documents: list[np.ndarray], idf: np.ndarray, mean: float, wind
         unused = np.flatnonzero(done < size)
         if len(unused):
             index = index or Shard(documents, idf, mean)
+            index.keep(unused)
             for neighbour in _falling(unused, index.scores(seed)[unused]):
                 take = int(min(space, size[neighbour] - done[neighbour]))
                 pieces.append((int(neighbour), int(done[neighbour]), take))

@@ -2,25 +2,32 @@
 
 The tokenizer never merges across white space, so the ids of a text are those of its pieces in a
 row. Pieces seen before are looked up; the new ones of a batch are encoded together in one call.
-Most new pieces are Latin letters with marks behind them: for these the pattern's two words are
-plain, and the model alone encodes them, each word ending in a token with the end-of-word suffix.
-All others go through the whole tokenizer and are told apart by their offsets. A text that holds a
-control character which Python takes for white space and the tokenizer doesn't, or the start of a
-special token, is encoded as a whole.
+Most new pieces are Latin letters with marks behind them: their ids are those of the lower-case letters
+and those of the marks, which are pieces too and remembered as such; the model alone encodes the
+letters, each word ending in a token with the end-of-word suffix. All others go through the whole
+tokenizer and are told apart by their offsets. A text that holds a control character which Python takes
+for white space and the tokenizer doesn't, or the start of a special token, is encoded as a whole.
+
+When the memory is full, the pieces that most batches had stay, at most half of it.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from functools import lru_cache
+from operator import eq
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
-MEMORY = 1_200_000
-_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
-# Lower-case Latin letters without combining marks, then marks that are neither letters, digits nor apostrophes.
-_PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+MEMORY = 700_000
+_WHOLE = r"<\||[\x1c-\x1f]"
+# Lower-case Latin letters without combining marks; marks that are neither letters, digits nor apostrophes.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -57,6 +64,7 @@ class _Growing:
 
 class Ids:
     def __init__(self, path: str, memory: int = MEMORY):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.memory = memory
@@ -67,22 +75,42 @@ class Ids:
             self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
             self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
-        self._forget()
+        self._remember([], np.zeros(0, np.int64), np.zeros(0, self.width))
 
-    def _forget(self) -> None:
+    def _remember(self, pieces: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """These pieces and no others, with their ids one after the other."""
         self.place = _Places()
-        self.starts, self.sizes, self.pool = _Growing(np.int64), _Growing(np.int64), _Growing(self.width)
+        self.place.update(zip(pieces, range(len(pieces))))
+        self.starts, self.sizes, self.pool = _Growing(np.int32), _Growing(np.int32), _Growing(self.width)
+        self.hits = _Growing(np.int32)  # batches that had the piece
+        self.starts.extend(np.cumsum(sizes) - sizes)
+        self.sizes.extend(sizes)
+        self.pool.extend(ids)
+        self.hits.extend(np.zeros(len(pieces), np.int32))
 
-    def _plain_ids(self, matches: list[re.Match]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number for pieces of letters and marks."""
-        words = [w for m in matches for w in m.groups() if w]
+    def _forget(self) -> None:
+        """Keep the pieces of most batches, at most half of the memory."""
+        hits = self.hits.data[: self.hits.size]
+        least = 2
+        while np.count_nonzero(hits >= least) > self.memory // 2:
+            least += 1
+        kept = np.flatnonzero(hits >= least)
+        pieces = [p for p, keep in zip(self.place, hits >= least) if keep]
+        self._remember(pieces, self.sizes.data[kept], self._rows(kept))
+
+    def _rows(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the pieces `at`, one after the other."""
+        sizes = self.sizes.data[at]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        return self.pool.data[np.repeat(self.starts.data[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for words of plain letters."""
         text = " ".join(words)
         if not text.isascii():
             text = " ".join(w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words)
-        ids = np.array(self.words.encode(text, add_special_tokens=False).ids, self.width)
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        last = np.cumsum([1 + bool(m[2]) for m in matches]) - 1
-        return ids, np.diff(np.append(0, ends[last]))
+        ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
+        return ids, np.diff(np.flatnonzero(self.closes[ids]), prepend=-1)
 
     def _other_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         encoded = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
@@ -90,43 +118,58 @@ class Ids:
         ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
         return np.array(encoded.ids, self.width), np.diff(np.append(0, np.searchsorted(begins, ends, "left")))
 
+    def _put(self, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts.data[at], self.sizes.data[at] = self.pool.size + np.cumsum(sizes) - sizes, sizes
+        self.pool.extend(ids)
+
     def _learn(self) -> None:
-        """Encode the noted pieces."""
+        """Encode the noted pieces, and the letters and marks that they consist of."""
+        look, first = self.place.__getitem__, self.sizes.size
         pieces, self.place.fresh = self.place.fresh, []
-        first = self.sizes.size
-        self.starts.extend(np.zeros(len(pieces), np.int64))
-        self.sizes.extend(np.zeros(len(pieces), np.int64))
-        matches = [_PLAIN.fullmatch(p.lower()) if self.words else None for p in pieces]
-        plain = [n for n, m in enumerate(matches) if m]
-        other = [n for n, m in enumerate(matches) if not m]
-        for at, make in ((plain, lambda: self._plain_ids([matches[n] for n in plain])), (other, lambda: self._other_ids([pieces[n] for n in other]))):
-            if at:
-                ids, sizes = make()
-                at = first + np.array(at)
-                self.starts.data[at], self.sizes.data[at] = self.pool.size + np.cumsum(sizes) - sizes, sizes
-                self.pool.extend(ids)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        low = " ".join(pieces).lower().split(" ")
+        heads = [p.rstrip(_MARKS) for p in low] if self.words else [""] * len(pieces)
+        plain = np.fromiter(map(bool, map(_PLAIN.fullmatch, heads)), bool, len(pieces))
+        whole = np.fromiter(map(eq, pieces, heads), bool, len(pieces))
+        made = np.flatnonzero(plain & ~whole).tolist()
+        parts = np.empty((len(made), 2), np.int64)
+        parts[:, 0] = np.fromiter((look(heads[n]) for n in made), np.int64, len(made))
+        parts[:, 1] = np.fromiter((look(low[n][len(heads[n]) :]) for n in made), np.int64, len(made))
+        more, self.place.fresh = self.place.fresh, []
+        fresh = np.zeros(len(pieces) + len(more), np.int32)
+        for held in (self.starts, self.sizes, self.hits):
+            held.extend(fresh)
+        plain = np.append(plain & whole, [_PLAIN.fullmatch(p) is not None for p in more]).astype(bool)
+        other = ~plain & np.append([p != "" for p in pieces], [p != "" for p in more]).astype(bool)
+        other[made] = False
+        pieces += more
+        for at, make in ((np.flatnonzero(plain), self._word_ids), (np.flatnonzero(other), self._other_ids)):
+            if len(at):
+                self._put(first + at, *make([pieces[n] for n in at.tolist()]))
+        if made:
+            self._put(first + np.array(made), self._rows(parts.ravel()), self.sizes.data[parts].sum(1))
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
         """The ids of each text, null as empty."""
+        if not len(texts):
+            return []
         if len(self.place) > self.memory:
             self._forget()
-        look = self.place.__getitem__
-        places = []
-        for text in texts:
-            text = text or ""
-            pieces = None if any(mark in text for mark in _WHOLE) else text.split()
-            places.append(None if pieces is None else np.fromiter(map(look, pieces), np.int64, len(pieces)))
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        whole = np.flatnonzero(pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)).tolist()
+        apart = {n: np.array(self.tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids, self.width) for n in whole}
+        if apart:
+            texts = pc.if_else(pa.array(np.isin(np.arange(len(texts)), whole)), "", texts)
+        # Python sees each distinct piece once; those at a text's ends can be empty.
+        split = pc.utf8_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        known = np.fromiter(map(self.place.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)), np.int32, len(coded.dictionary))
         if self.place.fresh:
             self._learn()
-        found = []
-        for text, at in zip(texts, places):
-            if at is None:
-                found.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width))
-                continue
-            sizes = self.sizes.data[at]
-            before = np.cumsum(sizes) - sizes
-            found.append(self.pool.data[np.repeat(self.starts.data[at] - before, sizes) + np.arange(int(sizes.sum()))])
-        return found
+        self.hits.data[known] += 1
+        at = known[coded.indices.to_numpy()]
+        upto = np.append(0, np.cumsum(self.sizes.data[at], dtype=np.int64))
+        ends = upto[np.cumsum(pc.list_value_length(split).to_numpy())]
+        return [apart.get(n, ids) for n, ids in enumerate(np.split(self._rows(at), ends[:-1]))]
 
 
 @lru_cache(maxsize=2)
