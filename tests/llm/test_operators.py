@@ -661,6 +661,28 @@ def test_terms_near_entities_go_everywhere(spark):
     assert "nothing" in got[1000]["sanitised"]
 
 
+def test_only_texts_with_terms_are_shuffled(spark, monkeypatch):
+    rows = [(1, "Zanzibarov said zanzibarov"), (2, "Nothing"), (2, "Nothing"), (None, "So ZANZIBAROV and Other"), (4, None), (5, "a.b@c.de Zanzibarov")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = docs.selectExpr("coalesce(string(doc_id), 'null') __id", "xxhash64(coalesce(text, '')) __hash", "coalesce(text, '') __text")
+    spans = pii.base_spans(pii.documents_with_matches(keyed, ["__id", "__hash"], "__text"), ["__id", "__hash"], "__text")
+    terms = spark.createDataFrame([("x", "zanzibarov"), ("x", "other"), ("y", "zanzibarov")], "entity string, word string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = {}
+        for limit in (0, 1 << 20):
+            monkeypatch.setattr(pii, "BROADCAST_TERMS", limit)
+            frame = pii.term_spans(keyed, spans, terms, ["__id", "__hash"])
+            found[limit] = sorted((r["__id"], r["start"], r["end"], r["value"]) for r in frame.collect())
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert found[0] == found[1 << 20] == [("1", 0, 10, "Zanzibarov"), ("1", 16, 26, "zanzibarov"), ("5", 9, 19, "Zanzibarov"), ("null", 3, 13, "ZANZIBAROV"), ("null", 18, 23, "Other")]
+    # No join on the documents' keys, which would move every text.
+    assert not [line for line in plan.splitlines() if "Join" in line and "__hash" in line]
+
+
 def test_chance_neighbours_stay_at_any_size(spark):
     """A word beside an entity goes if two different texts show it and it is seldom elsewhere."""
     for size in (60, 3000):

@@ -183,25 +183,27 @@ def disclosing_terms(keyed: DataFrame, lines: DataFrame, disclosure: float, resi
 
 def term_spans(keyed: DataFrame, spans: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
     """Places of disclosing terms in all documents, outside base spans."""
-    # The exploded words carry no text; it is fetched for the documents that have a flagged word.
     known, count = stage_counted(terms.select("word").distinct(), "pii-terms")
-    held = keyed.select(*keys, F.explode(words(F.col("__text"))).alias("word"))
+    boundary = f"(?<=[{TERM}])(?=[^{TERM}])|(?<=[^{TERM}])(?=[{TERM}])"
     if count <= BROADCAST_TERMS:
-        # Their hashes leave out all other words before any are shuffled; beyond, the plain join does.
+        # Their hashes leave out all other words before any are shuffled. A document's remaining words stand
+        # in one task, which puts them together again: its text is shuffled once, and only if it has any.
         hashed = F.xxhash64("word").alias("hashed")
-        held = held.select("*", hashed).join(F.broadcast(known.select(hashed).distinct()), "hashed", "left_semi")
-    flagged = (
-        held.join(known, "word")
-        .groupBy(*keys)
-        .agg(F.collect_set("word").alias("flagged"))
+        held = keyed.select(*keys, "__text", F.explode(words(F.col("__text"))).alias("word")).select("*", hashed)
+        held = held.join(F.broadcast(known.select(hashed).distinct()), "hashed", "left_semi")
+        texts = held.groupBy(*keys).agg(F.first("__text").alias("__text"), F.collect_set("word").alias("flagged"))
+    else:
+        # Beyond, the plain join does; the exploded words carry no text, which is fetched for documents with a flagged word.
+        held = keyed.select(*keys, F.explode(words(F.col("__text"))).alias("word")).join(known, "word")
+        flagged = stage(held.groupBy(*keys).agg(F.collect_set("word").alias("flagged")), "pii-flagged")
+        texts = keyed.join(flagged, keys).groupBy(*keys).agg(F.first("__text").alias("__text"), F.first("flagged").alias("flagged"))
+    parts = texts.select(*keys, "flagged", F.posexplode(F.split("__text", boundary, -1)).alias("i", "part")).select(
+        *keys, "i", "part", F.array_contains("flagged", F.lower("part")).alias("hit")
     )
-    flagged = stage(flagged, "pii-flagged")
-    texts = keyed.join(flagged, keys).groupBy(*keys).agg(F.first("__text").alias("__text"), F.first("flagged").alias("flagged"))
-    parts = texts.select(
-        *keys, "flagged", F.posexplode(F.split("__text", f"(?<=[{TERM}])(?=[^{TERM}])|(?<=[^{TERM}])(?=[{TERM}])", -1)).alias("i", "part")
-    ).select(*keys, "i", "part", F.array_contains("flagged", F.lower("part")).alias("hit"))
     until = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     parts = parts.withColumn("end", F.sum(F.length("part")).over(until)).where("hit")
+    if count <= BROADCAST_TERMS:  # two words can have one hash
+        parts = parts.join(known, F.lower("part") == F.col("word"), "left_semi")
     found = parts.select(*keys, (F.col("end") - F.length("part")).alias("start"), "end", F.lit(len(KINDS)).alias("kind"), F.col("part").alias("value"))
     # A term inside a base span goes with it.
     every = found.unionByName(spans.select(*keys, "start", "end", "kind", "value"))
