@@ -451,6 +451,18 @@ def test_collection_transform_agrees_with_sorted_suffixes():
         assert [0] + [shared(a, b) for a, b in zip(got, got[1:])] == common.tolist()
 
 
+def test_short_texts_are_cut_into_pieces_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 100, n).astype(np.uint8) for n in (0, 49, 50, 51, 700, 90, 3000, 0, 400)] + [np.zeros(500, np.uint8)]
+    calls, one = [], suffix_dedup._pieces
+    monkeypatch.setattr(suffix_dedup, "_pieces", lambda *x: calls.append(1) or one(*x))
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 2000)
+    got = list(suffix_dedup.with_pieces(iter(enumerate(texts))))
+    assert len(calls) == 3 and [k for k, _, _ in got] == list(range(10))
+    for key, data, found in got:
+        assert data is texts[key] and all(np.array_equal(a, b) for a, b in zip(found, suffix_dedup.pieces(data), strict=True))
+
+
 def test_anchors_are_dealt_evenly():
     rng = np.random.default_rng(4)
     anchors = np.unique(suffix_dedup.pieces(rng.integers(97, 123, 200_000).astype(np.uint8))[2])

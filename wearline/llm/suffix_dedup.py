@@ -25,6 +25,7 @@ Other columns are not used.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,7 @@ LENGTH = 50
 ANCHOR = 20
 RUN = 32
 CHUNK = 1 << 18
+GROUP_BYTES = 1 << 16
 BLOCK_BYTES = 8 << 20
 BUCKET_ANCHORS = 500_000
 SHARD_PIECES = 30_000
@@ -55,13 +57,45 @@ NULL_ID = -(1 << 63)
 
 def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, windows, anchor, hash) of the pieces of a text, together covering every window once."""
-    found = [_pieces(data[at : at + CHUNK + LENGTH - 1], at) for at in range(0, max(len(data) - LENGTH + 1, 0), CHUNK)]
+    found = []
+    for at in range(0, max(len(data) - LENGTH + 1, 0), CHUNK):
+        part = data[at : at + CHUNK + LENGTH - 1]
+        start, *rest = _pieces(part, np.array([len(part)]))
+        found.append((start + at, *rest))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _pieces(b: np.ndarray, offset: int):
+def with_pieces(documents: Iterator[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray, tuple]]:
+    """(id, data, pieces) of documents; short ones are looked at together, GROUP_BYTES at a time."""
+    group, held = [], 0
+    for row in itertools.chain(documents, [None]):
+        if group and (row is None or held + len(row[1]) > GROUP_BYTES):
+            yield from _pieces_of(group)
+            group, held = [], 0
+        if row is not None and len(row[1]) > GROUP_BYTES:
+            yield *row, pieces(row[1])
+        elif row is not None:
+            group.append(row)
+            held += len(row[1])
+
+
+def _pieces_of(group: list[tuple[int, np.ndarray]]):
+    lengths = np.array([len(data) for _, data in group])
+    ends = np.cumsum(lengths)
+    start, *rest = _pieces(np.concatenate([data for _, data in group]), lengths)
+    cuts = np.searchsorted(start, ends)
+    for n, (key, data) in enumerate(group):
+        own = slice(cuts[n - 1] if n else 0, cuts[n])
+        yield key, data, (start[own] - (ends[n] - lengths[n]), *(x[own] for x in rest))
+
+
+def _pieces(b: np.ndarray, lengths: np.ndarray):
+    """Pieces of texts of these lengths that stand one after the other in `b`; no window spans two of them."""
+    windows = np.maximum(lengths - LENGTH + 1, 0)
+    if not windows.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     ups, downs = _powers(CHUNK + LENGTH + 1)
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * ups[: len(b)], out=sums[1:])
@@ -73,19 +107,23 @@ def _pieces(b: np.ndarray, offset: int):
         width *= 2
     if width < need:
         low = np.minimum(low[: len(low) - (need - width)], low[need - width :])
-    n = len(b) - LENGTH + 1
-    low = low[:n]
-    start = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
-    count = np.diff(np.append(start, n))
+    first = np.cumsum(windows) - windows  # of each text, among all windows
+    place = np.arange(windows.sum()) + np.repeat(np.cumsum(lengths) - lengths - first, windows)
+    low = low[place]
+    new = np.append(True, low[1:] != low[:-1])
+    new[first[windows > 0]] = True
+    start = np.flatnonzero(new)
+    count = np.diff(np.append(start, len(low)))
     if count.max() > RUN:  # periodic text: cut long runs
         parts = -(-count // RUN)
-        first = np.repeat(start, parts)
-        nth = np.arange(len(first)) - np.repeat(np.cumsum(parts) - parts, parts)
+        run = np.repeat(start, parts)
+        nth = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
         left = np.repeat(count, parts) - nth * RUN
-        start, count = first + nth * RUN, np.minimum(left, RUN)
+        start, count = run + nth * RUN, np.minimum(left, RUN)
+    anchor, start = low[start], place[start]
     end = start + count + LENGTH - 1
     value = mix((sums[end] - sums[start]) * downs[start] + count.astype(np.uint64) * np.uint64(BASE))
-    return start + offset, count, low[start], value
+    return start, count, anchor, value
 
 
 # --- the collection --------------------------------------------------------------------------
@@ -94,14 +132,17 @@ def _pieces(b: np.ndarray, offset: int):
 def _range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """min(values[low .. high]) for many ranges, by tables of doubling width."""
     out = np.empty(len(low), values.dtype)
-    level = np.frexp((high - low + 1).astype(float))[1] - 1
-    table = values
-    for k in range(int(level.max()) + 1 if len(level) else 0):
+    level = (np.frexp((high - low + 1).astype(float))[1] - 1).astype(np.uint8)
+    order = np.argsort(level, kind="stable")
+    ends = np.cumsum(np.bincount(level))
+    low, last = low[order], high[order] + 1 - (1 << level[order].astype(np.int64))
+    table, begin = values, 0
+    for k, end in enumerate(ends.tolist()):
         if k:
             table = np.minimum(table[: -(1 << (k - 1))], table[1 << (k - 1) :])
-        at = np.flatnonzero(level == k)
-        if len(at):
-            out[at] = np.minimum(table[low[at]], table[high[at] - (1 << k) + 1])
+        if end > begin:
+            out[order[begin:end]] = np.minimum(table[low[begin:end]], table[last[begin:end]])
+        begin = end
     return out
 
 
@@ -113,6 +154,15 @@ def _by_symbol(transform: np.ndarray) -> tuple[np.ndarray, np.integer]:
     return keys, kind(bits)
 
 
+def _sorting(values: np.ndarray) -> np.ndarray:
+    """Order of different values; where two numbers fit into one, sorting the pairs is faster than argsort."""
+    if values.dtype != np.uint32:
+        return np.argsort(values)
+    pairs = values.astype(np.uint64) << np.uint64(32) | np.arange(len(values), dtype=np.uint64)
+    pairs.sort()
+    return (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def build(texts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Transform and common prefixes of a collection of right-aligned rows (symbols from 1 up).
 
@@ -130,7 +180,7 @@ def build(texts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
         low = (keys.dtype.type(1) << bits) - keys.dtype.type(1)
         finished = int(np.searchsorted(keys, low, "right"))
         own = transform[place].astype(keys.dtype) << bits | place.astype(keys.dtype)
-        going = np.argsort(own)
+        going = _sorting(own)
         own, place, live = own[going], place[going], live[going]
         k = np.searchsorted(keys, own)
         rows = m + k - finished
@@ -240,8 +290,8 @@ def _block_anchors(buckets: int):
     def run(batches):
         for block, documents in _by_block(batches):
             own, ids = [], []
-            for key, data in documents:
-                anchors = np.unique(pieces(data)[2])
+            for key, _, (_, _, anchor, _) in with_pieces(documents):
+                anchors = np.unique(anchor)
                 own.append(anchors)
                 ids.append(np.full(len(anchors), key))
             if not own:
@@ -324,8 +374,7 @@ def _block_pieces(path: str, parts: int):
             if not len(repeated):
                 continue
             kept = []
-            for key, data in documents:
-                start, count, anchor, value = pieces(data)
+            for key, data, (start, count, anchor, value) in with_pieces(documents):
                 at = np.flatnonzero(_in_sorted(anchor, repeated))
                 if not len(at):
                     continue
@@ -417,11 +466,10 @@ def _cut(anchors: str, answers: str):
             order = np.argsort(got["value"], kind="stable")
             value, begin, end, least = (got[n][order] for n in kinds)
             out = [[] for _ in range(6)]
-            for key, data in documents:
+            for key, data, (start, _, anchor, own) in with_pieces(documents):
                 removed = np.zeros(len(data), bool)
                 spans = 0
                 if len(value):
-                    start, _, anchor, own = pieces(data)
                     at = np.flatnonzero(_in_sorted(anchor, repeated))
                     first, last = np.searchsorted(value, own[at]), np.searchsorted(value, own[at], "right")
                     count = last - first
