@@ -351,6 +351,14 @@ def test_letters_are_encoded_once_and_frequent_pieces_stay():
     assert words.count("zanzibarov") == 1 and "zanzibarov" in ids.place and len(ids.place) < 120
 
 
+def test_a_task_gives_unused_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(text.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: calls.append(1)})())
+    batch = text.pa.RecordBatch.from_pydict({"a": [1, 2, 3]})
+    assert [b.num_rows for b in text.slices(iter([batch, batch]), 2)] == [2, 1, 2, 1] and calls == [1]
+    assert tokens.MEMORY <= 400_000  # pieces that each worker keeps between tasks
+
+
 def test_index_drops_used_documents():
     rng = np.random.default_rng(2)
     documents = [rng.integers(0, 50, 40) for _ in range(30)]

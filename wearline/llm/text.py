@@ -79,7 +79,11 @@ def shingle_hashes(words: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, which bounds what a task holds as Python objects."""
+    """The same rows in smaller batches, which bounds what a task holds as Python objects.
+
+    When all are read, Arrow's unused memory goes back to the system: the worker stays for other tasks.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()

@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
-MEMORY = 700_000
+MEMORY = 400_000
 _WHOLE = r"<\||[\x1c-\x1f]"
 # Lower-case Latin letters without combining marks; marks that are neither letters, digits nor apostrophes.
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
