@@ -459,6 +459,25 @@ def test_collection_transform_agrees_with_sorted_suffixes():
         assert [0] + [shared(a, b) for a, b in zip(got, got[1:])] == common.tolist()
 
 
+def test_collections_hold_strings_of_like_length(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "LOT_STRINGS", 4)
+    anchor = np.arange(16, dtype=np.uint64) % 8
+    size = np.where(anchor % 2, 50, 81)
+    size[4] = 60  # beside a longer string of its anchor
+    lots = list(suffix_dedup._lots(anchor, size))
+    assert sorted(np.concatenate(lots).tolist()) == list(range(16))
+    assert [size[x].max() for x in lots] == [50, 50, 81, 81] and 60 in size[lots[2]].tolist() + size[lots[3]].tolist()
+    for lot in lots:
+        assert not np.isin(np.delete(anchor, lot), anchor[lot]).any()
+
+
+def test_strings_are_aligned_to_the_right():
+    data = np.arange(1, 201, dtype=np.uint8)
+    got = suffix_dedup.right_aligned(data, np.array([50, 81, 200]), np.array([50, 60, 81]))
+    assert [x[x > 0].tolist() for x in got] == [list(range(1, 51)), list(range(22, 82)), list(range(120, 201))]
+    assert got.shape == (3, suffix_dedup.WIDTH) and (got[0][:31] == 0).all()
+
+
 def test_short_texts_are_cut_into_pieces_together(monkeypatch):
     rng = np.random.default_rng(4)
     texts = [rng.integers(97, 100, n).astype(np.uint8) for n in (0, 49, 50, 51, 700, 90, 3000, 0, 400)] + [np.zeros(500, np.uint8)]

@@ -98,8 +98,13 @@ def _pieces(b: np.ndarray, lengths: np.ndarray):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     ups, downs = _powers(CHUNK + LENGTH + 1)
     sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * ups[: len(b)], out=sums[1:])
-    low = mix((sums[ANCHOR:] - sums[:-ANCHOR]) * downs[: len(b) - ANCHOR + 1])
+    powers = b.astype(np.uint64)
+    powers += np.uint64(1)
+    powers *= ups[: len(b)]
+    np.cumsum(powers, out=sums[1:])
+    low = sums[ANCHOR:] - sums[:-ANCHOR]
+    low *= downs[: len(b) - ANCHOR + 1]
+    low = mix(low)
     # Smallest of the LENGTH - ANCHOR + 1 hashes from each place on, by doubling.
     width, need = 1, LENGTH - ANCHOR + 1
     while width * 2 <= need:
@@ -149,20 +154,13 @@ def _range_minima(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
 def _by_symbol(transform: np.ndarray) -> tuple[np.ndarray, np.integer]:
     """Sorted (symbol, row) pairs, each as one number with the row in the low bits, and those bits."""
     kind, bits = (np.uint32, 23) if len(transform) < 1 << 23 else (np.uint64, 40)
-    keys = transform.astype(kind) << kind(bits) | np.arange(len(transform), dtype=kind)
+    keys = transform.astype(kind)
+    keys <<= kind(bits)
+    keys |= np.arange(len(transform), dtype=kind)
     keys.sort()
     return keys, kind(bits)
 
 
-def _sorting(values: np.ndarray) -> np.ndarray:
-    """Order of different values; where two numbers fit into one, sorting the pairs is faster than argsort."""
-    if values.dtype != np.uint32:
-        return np.argsort(values)
-    pairs = values.astype(np.uint64) << np.uint64(32) | np.arange(len(values), dtype=np.uint64)
-    pairs.sort()
-    return (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-
-
 def build(texts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Transform and common prefixes of a collection of right-aligned rows (symbols from 1 up).
 
@@ -171,45 +169,49 @@ def build(texts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     of the prefix it shares with the suffix above.
     """
     m, width = texts.shape
-    transform = texts[:, -1].copy()
-    common = np.zeros(m, np.uint8)
-    place = np.arange(m)  # rows of the suffixes inserted last
+    columns = np.ascontiguousarray(texts.T)
+    transform = columns[-1]
+    both = transform.astype(np.uint32) << np.uint32(8)  # the symbol, and the common prefix in the low byte
+    place = np.arange(m)  # rows of the suffixes inserted last, from the top
     live = np.arange(m)  # their strings
     for j in range(1, int(lengths.max()) + 1):
+        transform, common = both >> np.uint32(8), both.astype(np.uint8)
         keys, bits = _by_symbol(transform)
         low = (keys.dtype.type(1) << bits) - keys.dtype.type(1)
-        finished = int(np.searchsorted(keys, low, "right"))
-        own = transform[place].astype(keys.dtype) << bits | place.astype(keys.dtype)
-        going = _sorting(own)
-        own, place, live = own[going], place[going], live[going]
+        finished = len(transform) - np.count_nonzero(transform)
+        # Places rise, so that a stable sort by the symbol alone, by its bytes, sorts the pairs.
+        symbol = transform[place].astype(texts.dtype)
+        going = np.argsort(symbol, kind="stable")
+        place, live = place[going], live[going]
+        own = symbol[going].astype(keys.dtype) << bits | place.astype(keys.dtype)
         k = np.searchsorted(keys, own)
-        rows = m + k - finished
+        rows = m - finished + k
         # The suffix above starts with the same symbol if the pair before has it: then both share that
         # symbol and what the suffixes after it share. The same holds for the suffix below.
         before, after = keys[np.maximum(k - 1, 0)], keys[np.minimum(k + 1, len(keys) - 1)]
-        up = (k > 0) & (before >> bits == own >> bits)
-        down = (k + 1 < len(keys)) & (after >> bits == own >> bits)
+        up = np.flatnonzero((k > 0) & (before ^ own <= low))
+        down = np.flatnonzero((k + 1 < len(keys)) & (after ^ own <= low))
         above, below = np.zeros(len(k), np.uint8), np.zeros(len(k), np.uint8)
         least = _range_minima(
             common,
             np.concatenate([(before[up] & low).astype(np.int64), place[down]]) + 1,
             np.concatenate([place[up], (after[down] & low).astype(np.int64)]),
         )
-        above[up], below[down] = np.split(1 + least, [np.count_nonzero(up)])
-        total = len(transform) + len(rows)
+        above[up], below[down] = np.split(1 + least, [len(up)])
+        total = len(both) + len(rows)
         old = np.ones(total, bool)
         old[rows] = False
-        following = np.where(lengths[live] > j, texts[live, width - 1 - j] if j < width else 0, 0).astype(transform.dtype)
-        merged, shared = np.empty(total, transform.dtype), np.empty(total, np.uint8)
-        merged[old], merged[rows] = transform, following
-        shared[old] = common
-        inside = rows + 1 < total
-        shared[rows[inside] + 1] = below[inside]
-        shared[rows] = above
-        transform, common = merged, shared
         more = lengths[live] > j
+        following = np.where(more, columns[width - 1 - j][live] if j < width else 0, 0)
+        merged = np.empty(total, np.uint32)
+        merged[old] = both
+        inside = len(rows) - int(rows[-1] + 1 == total) if len(rows) else 0
+        under = rows[:inside] + 1
+        merged[under] = merged[under] & ~np.uint32(255) | below[:inside]
+        merged[rows] = following.astype(np.uint32) << np.uint32(8) | above
+        both = merged
         place, live = rows[more], live[more]
-    return transform, common
+    return (both >> np.uint32(8)).astype(texts.dtype), both.astype(np.uint8)
 
 
 def suffix_rows(transform: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,9 +236,9 @@ def shared_windows(strings: np.ndarray, lengths: np.ndarray, low: np.ndarray, hi
 
     strings: right-aligned bytes, one row each; low and high: smallest and largest id holding it.
     """
-    codes, texts = np.unique(strings, return_inverse=True)
-    wide = np.uint8 if len(codes) < 256 else np.uint16
-    transform, common = build((texts.reshape(strings.shape) + 1).astype(wide), lengths)
+    used = np.bincount(strings.ravel(), minlength=256) > 0
+    codes = np.cumsum(used).astype(np.uint8 if np.count_nonzero(used) < 256 else np.uint16)
+    transform, common = build(codes[strings], lengths)
     string, length = suffix_rows(transform, lengths)
     rows = np.flatnonzero(length >= size)
     # Suffixes between two equal windows hold that window too, so groups are runs of rows.
@@ -367,6 +369,13 @@ def _in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
+def right_aligned(data: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Rows of WIDTH bytes that end with the `size` bytes before each `end`, after zeros."""
+    rows = np.lib.stride_tricks.sliding_window_view(np.append(np.zeros(WIDTH, np.uint8), data), WIDTH)[end]
+    rows *= np.arange(WIDTH) >= WIDTH - size[:, None]
+    return rows
+
+
 def _block_pieces(path: str, parts: int):
     def run(batches):
         for block, documents in _by_block(batches):
@@ -381,10 +390,7 @@ def _block_pieces(path: str, parts: int):
                 value, first = np.unique(value[at], return_index=True)
                 at = at[first]
                 size = count[at] + LENGTH - 1
-                # Right-aligned rows of WIDTH bytes.
-                places = (start[at] + size)[:, None] - WIDTH + np.arange(WIDTH)
-                rows = np.where(np.arange(WIDTH) >= WIDTH - size[:, None], data[np.maximum(places, 0)], 0).astype(np.uint8)
-                kept.append((value, anchor[at], size.astype(np.uint8), rows, np.full(len(at), key)))
+                kept.append((value, anchor[at], size.astype(np.uint8), right_aligned(data, start[at] + size, size), np.full(len(at), key)))
             if not kept:
                 continue
             value, anchor, size, rows, ids = (np.concatenate(x) for x in zip(*kept))
@@ -412,7 +418,7 @@ def _answers(table: pa.Table) -> pa.Table:
     smallest, largest = np.full(len(first), np.iinfo(np.int64).max), np.full(len(first), np.iinfo(np.int64).min)
     np.minimum.at(smallest, string, low)
     np.maximum.at(largest, string, high)
-    found = [x for lot in _lots(anchor[first]) for x in [_lot(lot, rows[first], size[first].astype(np.int64), smallest, largest)]]
+    found = [x for lot in _lots(anchor[first], size[first]) for x in [_lot(lot, rows[first], size[first].astype(np.int64), smallest, largest)]]
     strings, begins, ends, ids = (np.concatenate(x) for x in zip(*found))
     # From strings back to the pieces of each block.
     order = np.argsort(strings, kind="stable")
@@ -433,14 +439,22 @@ def _answers(table: pa.Table) -> pa.Table:
     return pa.table({k: pa.array(v, pa.int64() if k == "block" else pa.binary()) for k, v in out.items()})
 
 
-def _lots(anchor: np.ndarray) -> Iterator[np.ndarray]:
-    """Strings in lots of about LOT_STRINGS, each with all strings of its anchors: one collection each."""
-    order = np.argsort(anchor, kind="stable")
-    sorted_anchor = anchor[order]
+def _lots(anchor: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """Strings in lots of about LOT_STRINGS, each with all strings of its anchors: one collection each.
+
+    A collection takes as many rounds as its longest string has symbols, and each round passes over all of
+    it, so anchors whose longest strings are alike come together.
+    """
+    _, group = np.unique(anchor, return_inverse=True)
+    longest = np.zeros(len(anchor), size.dtype)
+    np.maximum.at(longest, group, size)
+    order = np.lexsort((group, longest[group]))
+    group = group[order]
+    last = np.append(np.flatnonzero(group[1:] != group[:-1]), len(group) - 1)  # of each anchor's strings
     at = 0
     while at < len(order):
         end = min(at + LOT_STRINGS, len(order))
-        end = int(np.searchsorted(sorted_anchor, sorted_anchor[end - 1], "right"))
+        end = int(last[np.searchsorted(last, end - 1)]) + 1
         yield order[at:end]
         at = end
 
