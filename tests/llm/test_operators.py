@@ -146,6 +146,14 @@ def test_every_shingle_has_the_idf_of_its_own_documents(spark, monkeypatch):
     assert len(near_dedup.near_duplicates(docs, "__text", "__id").collect()) == len(rows)
 
 
+def test_texts_are_shuffled_in_small_form(spark):
+    long = " ".join(f"word {n} of a text" for n in range(500))
+    rows = [(1, 5, None), (2, 5, ""), (3, 5, "é" * 3 + " \u3000x"), (None, 5, long)]
+    packed = near_dedup.small_texts(spark.createDataFrame(rows, "__id long, __hash long, __text string")).toArrow()
+    assert [near_dedup.text_of(x) for x in packed["__text"]] == [x for _, _, x in rows]
+    assert packed["__id"].to_pylist() == [1, 2, 3, None] and len(packed["__text"][3].as_py()) < len(long) / 3
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(1)
     a = np.sort(rng.integers(0, 1 << 63, 300).astype(np.uint64))

@@ -63,12 +63,36 @@ def weighted_shingles(normal: str, n: int = SHINGLE_WORDS) -> tuple[np.ndarray,
     return np.unique(shingle_hashes(word_hashes(normal), n), return_counts=True)
 
 
+# --- texts -----------------------------------------------------------------------------------
+
+
+def small_texts(rows: DataFrame) -> DataFrame:
+    """The same rows with __text as `text_of` reads it: every text is shuffled whole, by itself compressed better than by the shuffle."""
+
+    def pack(batches):
+        codec = pa.Codec("zstd")
+        for batch in slices(batches):
+            texts = (x.as_buffer() for x in batch.column("__text").cast(pa.binary()))
+            packed = [None if x is None else x.size.to_bytes(8, "little") + codec.compress(x, asbytes=True) for x in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__hash"), pa.array(packed, pa.binary())], ["__id", "__hash", "__text"])
+
+    kind = rows.schema["__id"].dataType.simpleString()
+    return rows.select("__id", "__hash", "__text").mapInArrow(pack, f"__id {kind}, __hash long, __text binary")
+
+
+def text_of(packed: pa.BinaryScalar) -> str | None:
+    data = packed.as_buffer()
+    if data is None:
+        return None
+    return pa.decompress(data.slice(8), int.from_bytes(data.slice(0, 8).to_pybytes(), "little"), "zstd", asbytes=True).decode()
+
+
 # --- document counts -------------------------------------------------------------------------
 
 
 def _block_shingles(texts: pa.ChunkedArray) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
     """The normalised texts and their shingles with term frequencies."""
-    normal = [normalised(x.as_py()) for x in texts]
+    normal = [normalised(text_of(x)) for x in texts]
     return normal, [weighted_shingles(x) for x in normal]
 
 
@@ -210,7 +234,7 @@ def signatures(rows: DataFrame) -> tuple[DataFrame, int]:
     size = rows.agg(F.sum(F.octet_length("__text")), F.count(F.when(F.col("__text").rlike(NOT_BLANK), 1))).first()
     blocks, parts = (max(1, -(-(size[0] or 0) // n)) for n in (BLOCK_BYTES, RANGE_BYTES))
     documents = max(1, size[1])
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("__id", "__hash"), F.lit(blocks)).cast("long")).repartition("block")
+    dealt = small_texts(rows).withColumn("block", F.pmod(F.xxhash64("__id", "__hash"), F.lit(blocks)).cast("long")).repartition("block")
     # Repeated rows are dealt to one block and are one row there.
     blocked = dealt.groupBy("block", "__id", "__hash", "__text").agg(F.count(F.lit(1)).alias("copies"))
     runs = blocked.groupBy("block").applyInArrow(_runs(parts), "block long, part long, shingles binary, counts binary")
@@ -223,7 +247,7 @@ def _vectors(documents: int):
     def vector(batches):
         for batch in slices(batches):
             hashes, weighed = [], []
-            for normal, counts in zip(map(normalised, batch.column("__text").to_pylist()), batch.column("counts")):
+            for normal, counts in zip(map(normalised, map(text_of, batch.column("__text"))), batch.column("counts")):
                 shingles, frequency = weighted_shingles(normal)
                 counts = np.frombuffer(pa.decompress(counts.as_buffer(), 8 * len(shingles), "zstd"), np.int64)
                 hashes.append(shingles.tobytes())
@@ -375,7 +399,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     labels = stage(members.select("print").distinct().withColumn("label", F.col("print")), "classes")
     if left:
         named = texts.join(labels.select("print"), "print", "left_semi").select("print", "counts", "at.*")
-        held = rows.join(named, rows["__id"].eqNullSafe(named["__id"]) & (rows["__hash"] == named["__hash"]))
+        sent = small_texts(rows)
+        held = sent.join(named, sent["__id"].eqNullSafe(named["__id"]) & (sent["__hash"] == named["__hash"]))
         vectors = stage(held.select("print", "counts", "__text").dropDuplicates(["print"]).mapInArrow(_vectors(documents), "print binary, shingles binary, weights binary"), "vectors")
         # First every text meets one pivot only, the one of most common bands, which settles large groups
         # of close copies.
