@@ -359,6 +359,20 @@ def test_letters_are_encoded_once_and_frequent_pieces_stay():
     assert words.count("zanzibarov") == 1 and "zanzibarov" in ids.place and len(ids.place) < 120
 
 
+def test_case_and_marks_take_no_place_in_the_memory():
+    ids = tokens.Ids(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Erou erou, EROU. ÉROU!! it's", "é K İx İx, µm ½. \u1e9ea ERou,", None, "  ", "Straße, STRASSE; x\x1cErou."]
+    for t, got in zip(texts, ids.encode(text.pa.chunked_array([texts]).cast("large_string").combine_chunks())):
+        assert got.tolist() == ids.tokenizer.encode(t or "", add_special_tokens=False).ids
+    assert {"erou", "érou", ","} <= set(ids.place) and not {"Erou", "erou,", "EROU.", "ÉROU!!"} & set(ids.place)
+
+
+def test_portions_hold_whole_rows():
+    batch = text.pa.RecordBatch.from_pydict({"t": ["aaaa", None, "bb", "c" * 20, "", "dd", "d"]})
+    got = [b["t"].to_pylist() for b in text.portions(iter([batch, batch.slice(0, 0)]), "t", 5)]
+    assert sum(got, []) == batch["t"].to_pylist() and [len(g) for g in got] == [2, 1, 4]
+
+
 def test_a_task_gives_unused_memory_back(monkeypatch):
     calls = []
     monkeypatch.setattr(text.pa, "default_memory_pool", lambda: type("Pool", (), {"release_unused": lambda self: calls.append(1)})())

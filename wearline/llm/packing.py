@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearline.llm.text import mix, slices
+from wearline.llm.text import mix, portions, slices
 from wearline.llm.tokens import shared_ids
 from wearline.session import stage
 
@@ -56,7 +56,7 @@ def tokenised(docs: DataFrame, text: str, key: str, vocabulary: str) -> DataFram
         size = ids.tokenizer.get_vocab_size()
         counts, met = np.zeros(size + 2, np.int64), np.zeros(size, bool)
         id_type = None
-        for batch in slices(batches, 512):
+        for batch in portions(batches, "__text"):
             id_type = batch.column("__id").type
             found = [np.append(x, ids.width.type(END)) for x in ids.encode(batch.column("__text"))]
             for x in found:

@@ -7,7 +7,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
+PORTION_BYTES = 6 << 20
 CHUNK_BYTES = 1 << 16
 BASE = 0x9E3779B97F4A7C15 | 1
 SHINGLE_WORDS = 5
@@ -87,3 +89,12 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
     pa.default_memory_pool().release_unused()
+
+
+def portions(batches: Iterator[pa.RecordBatch], text: str, limit: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts have about `limit` bytes, at most one text more; see `slices`."""
+    for batch in slices(batches, 4096):
+        number = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(), dtype=np.int64) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:]):
+            yield batch.slice(low, high - low)

@@ -1,14 +1,15 @@
 """Token ids of texts, with a bounded memory of the pieces between white space.
 
 The tokenizer never merges across white space, so the ids of a text are those of its pieces in a
-row. Pieces seen before are looked up; the new ones of a batch are encoded together in one call.
-Most new pieces are Latin letters with marks behind them: their ids are those of the lower-case letters
-and those of the marks, which are pieces too and remembered as such; the model alone encodes the
+row. Most pieces are Latin letters with marks behind them: their ids are those of the lower-case letters
+and those of the marks. Arrow tells a batch's pieces apart, lowers them and cuts off the marks, so that
+Python sees each distinct unit (letters, marks, or another piece as it stands) once a batch. Units seen
+before are looked up; the new ones of a batch are encoded together in one call. The model alone encodes
 letters, each word ending in a token with the end-of-word suffix. All others go through the whole
 tokenizer and are told apart by their offsets. A text that holds a control character which Python takes
 for white space and the tokenizer doesn't, or the start of a special token, is encoded as a whole.
 
-When the memory is full, the pieces that most batches had stay, at most half of it.
+When the memory is full, the units that most batches had stay, at most half of it.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,10 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 MEMORY = 400_000
 _WHOLE = r"<\||[\x1c-\x1f]"
-# Lower-case Latin letters without combining marks; marks that are neither letters, digits nor apostrophes.
-_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+# Marks that are neither letters, digits nor apostrophes; Latin letters that each have one lower-case letter, without combining marks.
 _MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[" + re.escape(_MARKS) + "]*$"
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -38,14 +39,14 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Places(dict):
-    """Piece -> number; a new piece gets the next number and is noted."""
+    """Unit -> number; a new unit gets the next number and is noted."""
 
     def __init__(self):
         self.fresh: list[str] = []
 
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = len(self)
-        self.fresh.append(piece)
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = len(self)
+        self.fresh.append(unit)
         return number
 
 
@@ -62,6 +63,34 @@ class _Growing:
         self.size += len(values)
 
 
+def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of the pool, one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(pool)) < 1 << 31 else np.int64
+    return pool[np.repeat((starts - ends + sizes).astype(kind), sizes) + np.arange(total, dtype=kind)]
+
+
+def _tails(whole: pa.StringArray, heads: pa.StringArray) -> pa.StringArray:
+    """What follows the heads in the strings that begin with them."""
+    ends, kept = (np.frombuffer(a.buffers()[1], np.int32)[a.offset : a.offset + len(a) + 1] for a in (whole, heads))
+    sizes = np.diff(ends) - np.diff(kept)
+    offsets = np.append(0, np.cumsum(sizes))
+    at = np.repeat(ends[1:] - offsets[1:], sizes) + np.arange(offsets[-1])
+    data = np.frombuffer(whole.buffers()[2] or b"", np.uint8)[at]
+    return pa.StringArray.from_buffers(len(whole), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
+
+
+def _units(pieces: pa.StringArray, words: bool) -> tuple[pa.StringArray, pa.StringArray]:
+    """The pieces as lower-case letters and their marks; any other piece as it stands and an empty string."""
+    if not words:
+        return pieces, pa.array([""] * len(pieces), pa.string())
+    plain = pc.match_substring_regex(pieces, _LETTERS)
+    low = pc.if_else(plain, pc.utf8_lower(pieces), pieces)
+    heads = pc.if_else(plain, pc.ascii_rtrim(low, _MARKS), pieces)
+    return heads, _tails(low, heads)
+
+
 class Ids:
     def __init__(self, path: str, memory: int = MEMORY):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,32 +106,31 @@ class Ids:
             self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self._remember([], np.zeros(0, np.int64), np.zeros(0, self.width))
 
-    def _remember(self, pieces: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
-        """These pieces and no others, with their ids one after the other."""
+    def _remember(self, units: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """These units and no others, with their ids one after the other."""
         self.place = _Places()
-        self.place.update(zip(pieces, range(len(pieces))))
+        self.place.update(zip(units, range(len(units))))
         self.starts, self.sizes, self.pool = _Growing(np.int32), _Growing(np.int32), _Growing(self.width)
-        self.hits = _Growing(np.int32)  # batches that had the piece
+        self.hits = _Growing(np.int32)  # batches that had the unit
         self.starts.extend(np.cumsum(sizes) - sizes)
         self.sizes.extend(sizes)
         self.pool.extend(ids)
-        self.hits.extend(np.zeros(len(pieces), np.int32))
+        self.hits.extend(np.zeros(len(units), np.int32))
 
     def _forget(self) -> None:
-        """Keep the pieces of most batches, at most half of the memory."""
+        """Keep the units of most batches, at most half of the memory."""
         hits = self.hits.data[: self.hits.size]
         least = 2
         while np.count_nonzero(hits >= least) > self.memory // 2:
             least += 1
         kept = np.flatnonzero(hits >= least)
-        pieces = [p for p, keep in zip(self.place, hits >= least) if keep]
-        self._remember(pieces, self.sizes.data[kept], self._rows(kept))
+        units = [u for u, keep in zip(self.place, hits >= least) if keep]
+        self._remember(units, self.sizes.data[kept], self._rows(kept))
 
     def _rows(self, at: np.ndarray) -> np.ndarray:
-        """The ids of the pieces `at`, one after the other."""
+        """The ids of the units `at`, one after the other."""
         sizes = self.sizes.data[at]
-        ends = np.cumsum(sizes, dtype=np.int64)
-        return self.pool.data[np.repeat(self.starts.data[at] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        return _gather(self.pool.data, self.starts.data[at], sizes)
 
     def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number for words of plain letters."""
@@ -118,35 +146,20 @@ class Ids:
         ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
         return np.array(encoded.ids, self.width), np.diff(np.append(0, np.searchsorted(begins, ends, "left")))
 
-    def _put(self, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.starts.data[at], self.sizes.data[at] = self.pool.size + np.cumsum(sizes) - sizes, sizes
-        self.pool.extend(ids)
-
     def _learn(self) -> None:
-        """Encode the noted pieces, and the letters and marks that they consist of."""
-        look, first = self.place.__getitem__, self.sizes.size
-        pieces, self.place.fresh = self.place.fresh, []
-        low = " ".join(pieces).lower().split(" ")
-        heads = [p.rstrip(_MARKS) for p in low] if self.words else [""] * len(pieces)
-        plain = np.fromiter(map(bool, map(_PLAIN.fullmatch, heads)), bool, len(pieces))
-        whole = np.fromiter(map(eq, pieces, heads), bool, len(pieces))
-        made = np.flatnonzero(plain & ~whole).tolist()
-        parts = np.empty((len(made), 2), np.int64)
-        parts[:, 0] = np.fromiter((look(heads[n]) for n in made), np.int64, len(made))
-        parts[:, 1] = np.fromiter((look(low[n][len(heads[n]) :]) for n in made), np.int64, len(made))
-        more, self.place.fresh = self.place.fresh, []
-        fresh = np.zeros(len(pieces) + len(more), np.int32)
+        """Encode the noted units."""
+        first = self.sizes.size
+        units, self.place.fresh = self.place.fresh, []
+        fresh = np.zeros(len(units), np.int32)
         for held in (self.starts, self.sizes, self.hits):
             held.extend(fresh)
-        plain = np.append(plain & whole, [_PLAIN.fullmatch(p) is not None for p in more]).astype(bool)
-        other = ~plain & np.append([p != "" for p in pieces], [p != "" for p in more]).astype(bool)
-        other[made] = False
-        pieces += more
+        plain = np.fromiter(map(bool, map(_PLAIN.fullmatch, units)), bool, len(units)) if self.words else fresh > 0
+        other = ~plain & np.fromiter(map(bool, units), bool, len(units))
         for at, make in ((np.flatnonzero(plain), self._word_ids), (np.flatnonzero(other), self._other_ids)):
             if len(at):
-                self._put(first + at, *make([pieces[n] for n in at.tolist()]))
-        if made:
-            self._put(first + np.array(made), self._rows(parts.ravel()), self.sizes.data[parts].sum(1))
+                ids, sizes = make([units[n] for n in at.tolist()])
+                self.starts.data[first + at], self.sizes.data[first + at] = self.pool.size + np.cumsum(sizes) - sizes, sizes
+                self.pool.extend(ids)
 
     def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
         """The ids of each text, null as empty."""
@@ -154,22 +167,26 @@ class Ids:
             return []
         if len(self.place) > self.memory:
             self._forget()
-        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        texts = pc.fill_null(texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         whole = np.flatnonzero(pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)).tolist()
         apart = {n: np.array(self.tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids, self.width) for n in whole}
         if apart:
             texts = pc.if_else(pa.array(np.isin(np.arange(len(texts)), whole)), "", texts)
-        # Python sees each distinct piece once; those at a text's ends can be empty.
+        # Those at a text's ends can be empty.
         split = pc.utf8_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
-        known = np.fromiter(map(self.place.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)), np.int32, len(coded.dictionary))
+        units = pa.concat_arrays(_units(coded.dictionary, self.words is not None)).dictionary_encode()
+        known = np.fromiter(map(self.place.__getitem__, units.dictionary.to_numpy(zero_copy_only=False)), np.int32, len(units.dictionary))
         if self.place.fresh:
             self._learn()
         self.hits.data[known] += 1
-        at = known[coded.indices.to_numpy()]
-        upto = np.append(0, np.cumsum(self.sizes.data[at], dtype=np.int64))
+        parts = known[units.indices.to_numpy()].reshape(2, -1).T  # of each distinct piece
+        pool, sizes = self._rows(parts.ravel()), self.sizes.data[parts].sum(1)
+        starts, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        own = sizes[at]
+        upto = np.append(0, np.cumsum(own))
         ends = upto[np.cumsum(pc.list_value_length(split).to_numpy())]
-        return [apart.get(n, ids) for n, ids in enumerate(np.split(self._rows(at), ends[:-1]))]
+        return [apart.get(n, ids) for n, ids in enumerate(np.split(_gather(pool, starts[at], own), ends[:-1]))]
 
 
 @lru_cache(maxsize=2)
