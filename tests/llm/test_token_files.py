@@ -70,6 +70,32 @@ def test_pieces_give_the_tokenizers_ids(tokenizer):
         assert ids.tolist() == want.ids, text
 
 
+def test_marks_take_no_place_in_the_memory(tokenizer):
+    memory = ByteIds(public_tokenizers.path(VOCABULARY))
+    texts = ["Erou, Erou. Erou!! 12, don't", "\nErou,\n\nПривет, é K ", None, "", "a  \n b", "x \n", "<|endoftext|> Erou,"]
+    for text, ids in zip(texts, memory.encode(texts)):
+        assert ids.tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text
+    assert {"Erou", " Erou", ",", "!!", "Привет"} <= set(memory.units.unit)
+    assert not hasattr(memory, "memory")  # units are remembered, pieces are not
+
+
+def test_coded_bytes_stay():
+    # Files written before are read, and order 0, whose shares are packed, codes ids up to the largest.
+    rng = np.random.default_rng(9)
+    blocks = [np.minimum(rng.geometric(0.01, n), 300).astype(np.uint32) * 7 for n in (700, 700, 699)]
+    coded = id_coder.encode(blocks, 16)
+    assert zlib.crc32(b"".join(coded)) == 2010026112  # of the coder as it was before
+    wide = [b * ((1 << 21) // 2101) for b in blocks]
+    for got, want in zip(id_coder.decode(id_coder.encode(wide, 21), [700, 700, 699], 21), wide, strict=True):
+        assert np.array_equal(got, want)
+
+
+def test_one_operation_serves_both_orders():
+    model = id_coder._Model(3)
+    model.predict()
+    assert model.e.shape == (6,) and model.table.dtype == np.uint32
+
+
 def test_query_against_brute_force(spark, small, tokenizer):
     rows = sorted(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect())
     got = sorted(tuple(r) for r in op11_token_ids(spark, small).select("doc_id", "start", "n_tokens", "ids_crc32").collect())

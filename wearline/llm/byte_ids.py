@@ -4,20 +4,31 @@ A piece is a line feed, a head and trailing ASCII marks, where these are there;
 or digit always begins a new token. Each such unit is encoded once: units of letters with at most one
 space before them are single words to the pre-tokenizer, so the model alone encodes many of them in one
 call; all others go through the whole tokenizer. Both calls are to the tokenizers library.
+
+`ByteIds` cuts a batch of texts before each space and line feed (see `pieces` for why, and for the texts that
+are taken whole). Arrow tells the pieces apart and takes those of letters and marks to units, so that Python
+sees each distinct unit, and each distinct piece of another kind, once a batch.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import string
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
-from wearline.llm.pieces import PieceMemory, Ragged
+from wearline.llm.pieces import Ragged
+from wearline.llm.tokens import gather, tails
 
-MEMORY = 300_000
+MEMORY = 500_000  # units
+_SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WHOLE = rf"[{_SPACE}][ \n]([{_SPACE}]|\z)"
+_SIMPLE = r"^[ \n]?\p{L}+[" + re.escape(string.punctuation) + r"]*\z"
 
 
 def byte_letters() -> dict[int, str]:
@@ -71,7 +82,8 @@ class UnitIds:
         other = [u for u in fresh if not (u[1:] if u[:1] == " " else u).isalpha()]
         if plain:
             words = [u.encode() for u in plain]
-            line = " ".join(w.decode("latin-1").translate(self.letters) for w in words)
+            blank = self.letters[32]
+            line = " ".join(u.replace(" ", blank) if u.isascii() else w.decode("latin-1").translate(self.letters) for u, w in zip(plain, words))
             ids = np.array(self.words.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.int32)
             ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w) for w in words])) + 1
             self._add(plain, np.diff(ends, prepend=0), ids)
@@ -93,7 +105,7 @@ class UnitIds:
             self._learn_units(fresh)
         at = np.fromiter(map(self.unit.__getitem__, flat), np.int64, len(flat))
         per_unit = np.concatenate([[0], np.cumsum(self.ids.sizes.data[at])])
-        ends = np.cumsum([len(us) for us in units])
+        ends = np.cumsum([len(us) for us in units], dtype=np.int64)
         return np.diff(per_unit[ends], prepend=0), self.ids.rows(at)
 
 
@@ -102,24 +114,63 @@ class ByteIds:
 
     def __init__(self, path: str, memory: int = MEMORY):
         self.units = UnitIds(path)
-        self.memory = PieceMemory(self._learn, self._forget, memory)
-
-    def _forget(self) -> None:
-        self.units.forget()
-        self.ids = Ragged(np.int32)
+        self.limit = memory
+        self.whole = "|".join([_WHOLE, *(re.escape(s) for s in self.units.specials)])
 
-    def _learn(self, pieces: list[str]) -> None:
-        self.ids.extend(*self.units.of(pieces))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _numbers(self, units: list[str]) -> np.ndarray:
+        fresh = [u for u in dict.fromkeys(units) if u not in self.units.unit]
+        if fresh:
+            self.units._learn_units(fresh)
+        return np.fromiter(map(self.units.unit.__getitem__, units), np.int64, len(units))
+
+    def _piece_ids(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A pool of ids, and where in it each piece's ids start and how many they are."""
+        simple = pc.match_substring_regex(pieces, _SIMPLE)
+        words, others = pieces.filter(simple), pieces.filter(pc.invert(simple))
+        bodies = pc.ascii_ltrim(words, "\n")
+        heads = pc.ascii_rtrim(bodies, string.punctuation)
+        units = pa.concat_arrays([heads, tails(bodies, heads)]).dictionary_encode()
+        numbers = self._numbers(["\n", "", *units.dictionary.to_pylist()]) if len(words) else np.zeros(2, np.int64)
+        feed, empty = numbers[:2]
+        parts = np.empty((len(words), 3), np.int64)
+        parts[:, 0] = np.where(pc.starts_with(words, "\n").to_numpy(zero_copy_only=False), feed, empty)
+        parts[:, 1:] = numbers[2:][units.indices.to_numpy()].reshape(2, -1).T
+        sizes, at = np.empty(len(pieces), np.int64), simple.to_numpy(zero_copy_only=False)
+        sizes[at] = self.units.ids.sizes.data[parts].sum(1) if len(words) else 0
+        pool = self.units.ids.rows(parts.ravel())
+        own, other = self.units.of(others.to_pylist())
+        sizes[~at] = own
+        starts = np.empty(len(pieces), np.int64)
+        starts[at] = np.cumsum(sizes[at]) - sizes[at]
+        starts[~at] = len(pool) + np.cumsum(own) - own
+        return np.concatenate([pool, other]), starts, sizes
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
         """The ids of each text, null as empty."""
-        numbers = self.memory.numbers([t or "" for t in texts], self.units.special)
-        if not numbers:
+        if not len(texts):
             return []
-        at = np.concatenate(numbers)
-        upto = np.concatenate([[0], np.cumsum(self.ids.sizes.data[at])])
-        ends = upto[np.cumsum([len(n) for n in numbers])]
-        return np.split(self.ids.rows(at), ends[:-1])
+        if len(self.units.unit) > self.limit:
+            self.units.forget()
+        texts = pc.fill_null(texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        whole = pc.match_substring_regex(texts, self.whole)
+        apart = {}
+        if at := np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            found = self.units.tokenizer.encode_batch_fast(texts.filter(whole).to_pylist(), add_special_tokens=False)
+            apart = {n: np.array(e.ids, np.int32) for n, e in zip(at, found)}
+            texts = pc.if_else(whole, "", texts)
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        ends, data = ends - ends[0], (texts.buffers()[2] or pa.py_buffer(b""))[ends[0] : ends[-1]]
+        shown = np.frombuffer(data, np.uint8)
+        opens = (shown == 32) | (shown == 10)
+        opens[ends[:-1][ends[:-1] < ends[1:]]] = True
+        offsets = np.append(np.flatnonzero(opens), len(shown)).astype(np.int32)
+        coded = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), data).dictionary_encode()
+        pool, starts, sizes = self._piece_ids(coded.dictionary)
+        at = coded.indices.to_numpy()
+        own = sizes[at]
+        upto = np.append(0, np.cumsum(own))
+        cuts = upto[np.searchsorted(offsets[:-1], ends[1:-1])]
+        return [apart.get(n, ids) for n, ids in enumerate(np.split(gather(pool, starts[at], own), cuts))]
 
 
 @lru_cache(maxsize=2)

@@ -14,7 +14,7 @@ id takes the first outcome that has it. The range coder works with 64 bits and w
 
 All blocks of a call advance together, one id per step, as lanes of numpy arrays; a step costs a fixed
 number of array operations, so a call should hold some hundred blocks. Blocks may differ in length by
-one. Encoder and decoder keep the same model; only integers are used.
+one and have less than 2 ** 21 ids. Encoder and decoder keep the same model; only integers are used.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ LEAST = 128  # no share falls below about half of this
 FIELD = 0xFFFF
 MASKED = sum((FIELD >> RATE) << 16 * k for k in range(3))
 MASK = (1 << TABLE_BITS) - 1
+ONE = np.uint32(1)
 WORD = np.uint64(32)
+LOW = np.uint64(0xFFFFFFFF)
+FIELD21, ONCE21, TWICE21 = np.uint64((1 << 21) - 1), np.uint64(21), np.uint64(42)
 RENEW = np.uint64(1 << 32)
 SIXTEEN = np.uint64(16)
 
@@ -51,34 +54,47 @@ class _Model:
     """
 
     def __init__(self, lanes: int):
-        self.base = np.arange(lanes, dtype=np.int64) << TABLE_BITS
+        # Both orders' tables are one array, order 1 of all lanes first, so that one operation serves both.
+        self.base = np.arange(2 * lanes, dtype=np.int64) << TABLE_BITS
         self.rows = np.arange(lanes, dtype=np.int64) * CONTEXTS
-        self.first, self.second = (np.zeros(lanes << TABLE_BITS, np.uint32) for _ in range(2))
+        self.table = np.zeros(2 * lanes << TABLE_BITS, np.uint32)
         self.ends = np.full(lanes * CONTEXTS, EVEN, np.int64)
         # What an outcome adds to the three ends, which first lose their share of 2 ** -RATE.
         self.pull = np.array(
             [sum((((1 << 16) - (3 - k) * LEAST if o <= k else (k + 1) * LEAST) >> RATE) << 16 * k for k in range(3)) for o in range(4)], np.int64
         )
-        # By hit and confidence: the change of a kept prediction; a miss at confidence 0 or 1 replaces it.
-        self.change = np.array([0, 0, -1, -1, 1, 1, 1, 0], np.int64)
         self.before = self.before2 = np.zeros(lanes, np.int64)
+        self._room(lanes)
+
+    def _room(self, n: int) -> None:
+        self.n, self.slots, self.doubled = n, np.empty(2 * n, np.int64), np.empty(2 * n, np.uint32)
 
     def narrow(self, n: int) -> None:
         """Keep the first n lanes."""
-        self.base, self.rows, self.before, self.before2 = self.base[:n], self.rows[:n], self.before[:n], self.before2[:n]
+        self.base = np.concatenate([self.base[:n], self.base[self.n : self.n + n]])
+        self.rows, self.before, self.before2 = self.rows[:n], self.before[:n], self.before2[:n]
+        self._room(n)
 
     def predict(self) -> None:
-        self.at1 = (self.before >> 20 & MASK) + self.base
-        self.at2 = (self.before + self.before2 * 5 >> 19 & MASK) + self.base
-        self.e1, self.e2 = self.first.take(self.at1).astype(np.int64), self.second.take(self.at2).astype(np.int64)
-        self.p1, self.p2 = self.e1 >> 2, self.e2 >> 2
-        self.c1, self.c2 = self.e1 & 3, self.e2 & 3
-        at = (self.c2 << 2) + self.c1
+        n, slots = self.n, self.slots
+        np.right_shift(self.before, 20, out=slots[:n])
+        np.right_shift(self.before + self.before2 * 5, 19, out=slots[n:])
+        slots &= MASK
+        slots += self.base
+        self.e = self.table.take(slots)
+        p, c = self.e >> 2, self.e & 3
+        self.p1, self.p2 = p[:n], p[n:]
+        at = (c[n:] << 2) + c[:n]
         at += at
         at += self.p1 == self.p2
-        at += self.rows
-        self.at = at
-        self.end = self.ends.take(at)
+        self.at = at + self.rows
+        self.end = self.ends.take(self.at)
+
+    def compare(self, ids: np.ndarray) -> np.ndarray:
+        """For order 1, then order 2: the confidence of a prediction that is right, else a number above 3."""
+        self.doubled[: self.n] = self.doubled[self.n :] = ids << 2
+        self.right = self.e ^ self.doubled
+        return self.right
 
     def share(self, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower end and width of each lane's outcome."""
@@ -87,16 +103,30 @@ class _Model:
         return start, ((self.end >> shift) - start) & FIELD
 
     def update(self, ids: np.ndarray, outcome: np.ndarray) -> None:
+        """After `compare` with the same ids."""
         end = self.end - (self.end >> RATE & MASKED)
         end += self.pull.take(outcome)
         self.ends[self.at] = end
-        fresh = (ids << 2) + 1
-        for table, at, e, p, c in ((self.first, self.at1, self.e1, self.p1, self.c1), (self.second, self.at2, self.e2, self.p2, self.c2)):
-            hit = p == ids
-            kind = (hit << np.int64(2)) + c
-            kept = e + self.change.take(kind)
-            table[at] = np.where(kind > 1, kept, fresh)
-        self.before2, self.before = self.before, ids * 0x9E3779B1
+        # A right prediction gains confidence up to 3; a wrong one loses some, at confidence 0 or 1 the id replaces it.
+        # The entry is id * 4 ^ right, so `right` alone, with the confidence in its two low bits, tells what becomes of it.
+        right, less = self.right, self.right - ONE
+        new = right >> ONE
+        new &= ONE
+        new *= less
+        np.maximum(new, ONE, out=new)
+        new += less < 3
+        new += right == 2
+        new ^= self.doubled
+        self.table[self.slots] = new
+        self.before2, self.before = self.before, ids.astype(np.int64) * 0x9E3779B1
+
+
+def _turned(rows: np.ndarray, kind) -> np.ndarray:
+    """The transposed array, copied in strips that fit the cache."""
+    out = np.empty(rows.shape[::-1], kind)
+    for at in range(0, len(rows), 64):
+        out[:, at : at + 64] = rows[at : at + 64].T
+    return out
 
 
 def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
@@ -106,21 +136,23 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
         return [b"" for _ in blocks]
     short = min(map(len, blocks))
     full = sum(len(b) == length for b in blocks)
-    ids = np.zeros((length, lanes), np.int64)
+    rows = np.zeros((lanes, length), np.uint16 if id_bits <= 16 else np.uint32)
     for lane, b in enumerate(blocks):
-        ids[: len(b), lane] = b
+        rows[lane, : len(b)] = b
     # Ranks of the ids inside their block: order 0 looks them up by rank.
-    keys = ((np.arange(lanes)[None, :] << id_bits) + ids).T.ravel()
-    order = np.argsort(keys.astype(np.uint32) if lanes << id_bits <= 1 << 32 else keys, kind="stable")
-    ranked = keys[order]
-    ranks = np.empty(len(keys), np.int64)
-    ranks[order] = np.cumsum(np.diff(ranked, prepend=-1) != 0) - 1
-    distinct = int(ranks[order[-1]]) + 1
-    ranks = np.ascontiguousarray(ranks.reshape(lanes, length).T)
-    counts, below = np.zeros(distinct, np.int64), np.zeros(distinct, np.int64)
-    lane_of = np.zeros(distinct, np.int64)
-    lane_of[ranks] = np.arange(lanes)[None, :]
-    opens = np.flatnonzero(np.diff(lane_of, prepend=-1))
+    order = np.argsort(rows, axis=1, kind="stable")
+    ranked = np.take_along_axis(rows, order, axis=1)
+    new = np.ones((lanes, length), bool)
+    np.not_equal(ranked[:, 1:], ranked[:, :-1], out=new[:, 1:])
+    number = np.cumsum(new.ravel(), dtype=np.int32) - 1
+    ranks = np.empty((lanes, length), np.int32)
+    np.put_along_axis(ranks, order, number.reshape(lanes, length), axis=1)
+    opens = number[::length].copy()
+    distinct = int(number[-1]) + 1
+    ids, ranks = _turned(rows, np.uint32), _turned(ranks, np.int32)
+    del rows, order, ranked, new, number
+    # Of each rank, the occurrences so far and, 32 bits higher, those of smaller ids of the block.
+    counts, shares = np.zeros(distinct, np.int64), np.zeros(distinct, np.uint64)
 
     model = _Model(lanes)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
@@ -132,6 +164,7 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
             counts += np.bincount(ranks[seen:step].ravel(), minlength=distinct)
             below = np.cumsum(counts) - counts
             below -= np.repeat(below[opens], np.diff(np.append(opens, distinct)))
+            shares = (below << 32 | counts).view(np.uint64)
             seen, mass = step, np.uint64(step)
         if step == short and full < lanes:
             _close(words, place, low, full)
@@ -140,9 +173,11 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
         n = len(low)
         x, rank = ids[step, :n], ranks[step, :n]
         model.predict()
-        known = counts.take(rank)
-        hit2, hit1 = (model.p2 == x) & (model.c2 > 0), (model.p1 == x) & (model.c1 > 0)
-        outcome = np.where(hit2, 0, np.where(hit1, 1, np.where(known > 0, 2, 3)))
+        known = shares.take(rank)
+        hits = model.compare(x) - 1 < 3  # 0, no confidence, is no hit
+        outcome = (known & LOW == 0) + np.int64(2)
+        np.copyto(outcome, 1, where=hits[:n])
+        np.copyto(outcome, 0, where=hits[n:])
         start, width = model.share(outcome)
         start, width = start.view(np.uint64), width.view(np.uint64)
         unit = size >> SIXTEEN
@@ -150,13 +185,13 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
         two = np.flatnonzero(outcome == 2)
         if len(two):
             part = size[two] // mass
-            at = rank[two]
-            add[two] += part * below[at].astype(np.uint64)
-            size[two] = part * known[two].astype(np.uint64)
+            share = known[two]
+            add[two] += part * (share >> WORD)
+            size[two] = part * (share & LOW)
         three = np.flatnonzero(outcome == 3)
         if len(three):
             part = size[three] >> np.uint64(id_bits)
-            add[three] += part * x[three].view(np.uint64)
+            add[three] += part * x[three]
             size[three] = part
         moved = low + add
         over = np.flatnonzero(moved < low)
@@ -170,6 +205,7 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
             low[small] <<= WORD
             size[small] <<= WORD
         model.update(x, outcome)
+    del model, ids, ranks, counts, shares
     ends = _close(words, place, low, 0)
     done = [int(e) for e in ends]
     # Lanes that were closed before the last step have their end written beside their words.
@@ -213,11 +249,11 @@ def decode(coded: list[bytes], lengths: list[int], id_bits: int) -> list[np.ndar
     found = np.zeros((length, lanes), np.uint16 if id_bits <= 16 else np.uint32)
     model = _Model(lanes)
     renew, mass = set(renewals(length)), 0
-    sorted_ids = below = counts = np.zeros(0)
+    shares = np.zeros(0, np.uint64)
     id_mask = np.uint64((1 << id_bits) - 1)
     for step in range(length):
         if step in renew:
-            sorted_ids, below, counts = _order0(found[:step])
+            shares = _order0(found[:step])
             mass = step
         if step == short and full < lanes:
             model.narrow(full)
@@ -238,14 +274,15 @@ def decode(coded: list[bytes], lengths: list[int], id_bits: int) -> list[np.ndar
         if len(two):
             part = size[two] // np.uint64(mass)
             spot = np.minimum(code[two] // part, np.uint64(mass - 1)).astype(np.int64) + two * mass
-            x[two] = sorted_ids.take(spot)
-            code[two] -= part * below.take(spot).astype(np.uint64)
-            size[two] = part * counts.take(spot).astype(np.uint64)
+            share = shares.take(spot)
+            x[two] = share & FIELD21
+            code[two] -= part * (share >> TWICE21)
+            size[two] = part * (share >> ONCE21 & FIELD21)
         three = np.flatnonzero(outcome == 3)
         if len(three):
             part = size[three] >> np.uint64(id_bits)
             plain = np.minimum(code[three] // part, id_mask)
-            x[three] = plain.view(np.int64)
+            x[three] = plain
             code[three] -= part * plain
             size[three] = part
         small = np.flatnonzero(size < RENEW)
@@ -255,21 +292,23 @@ def decode(coded: list[bytes], lengths: list[int], id_bits: int) -> list[np.ndar
             size[small] <<= WORD
             place[small] += 1
         found[step, :n] = x
+        model.compare(x)
         model.update(x, outcome)
-    found = found.T.astype(np.uint32, order="C")
+    found = _turned(found, np.uint32)
     return [found[lane, :n] for lane, n in enumerate(lengths)]
 
 
-def _order0(seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each lane the ids seen, sorted, with the first place and the number of equal ids at each place."""
+def _order0(seen: np.ndarray) -> np.ndarray:
+    """For each lane the ids seen, sorted; above each, in steps of 21 bits, the number of equal ids and the first one's place."""
     mass = len(seen)
     lanes = seen.shape[1]
-    ids = np.sort(np.ascontiguousarray(seen.T), axis=1)
-    flat = ids.ravel()
+    flat = _turned(seen, seen.dtype)
+    flat.sort(axis=1, kind="stable")
+    flat = flat.ravel()
     new = np.empty(len(flat), bool)
     new[0] = True
     np.not_equal(flat[1:], flat[:-1], out=new[1:])
     new[::mass] = True
     opens = np.flatnonzero(new)
     number = np.diff(np.append(opens, lanes * mass))
-    return flat, np.repeat(opens % mass, number).astype(np.int32), np.repeat(number, number).astype(np.int32)
+    return np.repeat((opens % mass << 42 | number << 21 | flat[opens]).view(np.uint64), number)

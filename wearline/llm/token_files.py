@@ -54,12 +54,12 @@ from pyspark.sql.datasource import (
 
 from wearline.llm import id_coder
 from wearline.llm.byte_ids import shared_ids
-from wearline.llm.text import slices
+from wearline.llm.text import portions
 from wearline.llm.warc import file_system
 
 SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 BLOCK_IDS = 2048
-GROUP_IDS = 1 << 21
+GROUP_IDS = 1 << 22
 FILE_BYTES = 64 << 20
 SPLIT_BYTES = 4 << 20
 MAGIC, VERSION = b"WIDS", 1
@@ -178,8 +178,8 @@ class TokenWriter(DataSourceArrowWriter):
     def _groups(self, iterator):
         encoder = shared_ids(self.vocabulary)
         doc_ids, ids, held = [], [], 0
-        for batch in slices(iterator, 256):
-            for doc_id, own in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"].to_pylist())):
+        for batch in portions(iterator, "text"):
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["text"])):
                 own = np.append(own, self.end_id).astype("<u4")
                 if doc_ids and held + len(own) > self.group_ids:
                     yield doc_ids, ids

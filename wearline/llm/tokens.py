@@ -63,7 +63,7 @@ class _Growing:
         self.size += len(values)
 
 
-def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Runs of the pool, one after the other."""
     ends = np.cumsum(sizes, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
@@ -71,7 +71,7 @@ def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return pool[np.repeat((starts - ends + sizes).astype(kind), sizes) + np.arange(total, dtype=kind)]
 
 
-def _tails(whole: pa.StringArray, heads: pa.StringArray) -> pa.StringArray:
+def tails(whole: pa.StringArray, heads: pa.StringArray) -> pa.StringArray:
     """What follows the heads in the strings that begin with them."""
     ends, kept = (np.frombuffer(a.buffers()[1], np.int32)[a.offset : a.offset + len(a) + 1] for a in (whole, heads))
     sizes = np.diff(ends) - np.diff(kept)
@@ -88,7 +88,7 @@ def _units(pieces: pa.StringArray, words: bool) -> tuple[pa.StringArray, pa.Stri
     plain = pc.match_substring_regex(pieces, _LETTERS)
     low = pc.if_else(plain, pc.utf8_lower(pieces), pieces)
     heads = pc.if_else(plain, pc.ascii_rtrim(low, _MARKS), pieces)
-    return heads, _tails(low, heads)
+    return heads, tails(low, heads)
 
 
 class Ids:
@@ -130,7 +130,7 @@ class Ids:
     def _rows(self, at: np.ndarray) -> np.ndarray:
         """The ids of the units `at`, one after the other."""
         sizes = self.sizes.data[at]
-        return _gather(self.pool.data, self.starts.data[at], sizes)
+        return gather(self.pool.data, self.starts.data[at], sizes)
 
     def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number for words of plain letters."""
@@ -186,7 +186,7 @@ class Ids:
         own = sizes[at]
         upto = np.append(0, np.cumsum(own))
         ends = upto[np.cumsum(pc.list_value_length(split).to_numpy())]
-        return [apart.get(n, ids) for n, ids in enumerate(np.split(_gather(pool, starts[at], own), ends[:-1]))]
+        return [apart.get(n, ids) for n, ids in enumerate(np.split(gather(pool, starts[at], own), ends[:-1]))]
 
 
 @lru_cache(maxsize=2)
