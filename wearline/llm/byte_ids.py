@@ -28,7 +28,6 @@ from wearline.llm.tokens import gather, tails
 MEMORY = 500_000  # units
 _SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _WHOLE = rf"[{_SPACE}][ \n]([{_SPACE}]|\z)"
-_SIMPLE = r"^[ \n]?\p{L}+[" + re.escape(string.punctuation) + r"]*\z"
 
 
 def byte_letters() -> dict[int, str]:
@@ -78,14 +77,15 @@ class UnitIds:
         return [*units, piece]
 
     def _learn_units(self, fresh: list[str]) -> None:
-        plain = [u for u in fresh if (u[1:] if u[:1] == " " else u).isalpha()]
-        other = [u for u in fresh if not (u[1:] if u[:1] == " " else u).isalpha()]
+        plain, other = [], []
+        for u in fresh:
+            (plain if (u[1:] if u[:1] == " " else u).isalpha() else other).append(u)
         if plain:
-            words = [u.encode() for u in plain]
             blank = self.letters[32]
-            line = " ".join(u.replace(" ", blank) if u.isascii() else w.decode("latin-1").translate(self.letters) for u, w in zip(plain, words))
+            words = [u.replace(" ", blank) if u.isascii() else u.encode().decode("latin-1").translate(self.letters) for u in plain]
+            line = " ".join(words)
             ids = np.array(self.words.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.int32)
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(w) for w in words])) + 1
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))) + 1
             self._add(plain, np.diff(ends, prepend=0), ids)
         if other:
             found = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
@@ -118,14 +118,16 @@ class ByteIds:
         self.whole = "|".join([_WHOLE, *(re.escape(s) for s in self.units.specials)])
 
     def _numbers(self, units: list[str]) -> np.ndarray:
-        fresh = [u for u in dict.fromkeys(units) if u not in self.units.unit]
-        if fresh:
-            self.units._learn_units(fresh)
-        return np.fromiter(map(self.units.unit.__getitem__, units), np.int64, len(units))
+        known = list(map(self.units.unit.get, units))
+        if None in known:
+            self.units._learn_units(list(dict.fromkeys(u for u, n in zip(units, known) if n is None)))
+            known = [self.units.unit[u] if n is None else n for u, n in zip(units, known)]
+        return np.array(known, np.int64)
 
     def _piece_ids(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A pool of ids, and where in it each piece's ids start and how many they are."""
-        simple = pc.match_substring_regex(pieces, _SIMPLE)
+        # A piece has no second space or line feed.
+        simple = pc.utf8_is_alpha(pc.ascii_rtrim(pc.ascii_ltrim(pieces, " \n"), string.punctuation))
         words, others = pieces.filter(simple), pieces.filter(pc.invert(simple))
         bodies = pc.ascii_ltrim(words, "\n")
         heads = pc.ascii_rtrim(bodies, string.punctuation)

@@ -157,7 +157,8 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
     model = _Model(lanes)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     words = np.zeros((lanes, length + 4), np.uint64)
-    place = np.zeros(lanes, np.int64)
+    flat = words.ravel()
+    place = np.arange(lanes, dtype=np.int64) * (length + 4)  # in `flat`
     seen, renew, mass = 0, set(renewals(length)), np.uint64(0)
     for step in range(length):
         if step in renew:
@@ -184,26 +185,27 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
         add, size = unit * start, unit * width
         two = np.flatnonzero(outcome == 2)
         if len(two):
-            part = size[two] // mass
-            share = known[two]
+            part = size.take(two) // mass
+            share = known.take(two)
             add[two] += part * (share >> WORD)
             size[two] = part * (share & LOW)
         three = np.flatnonzero(outcome == 3)
         if len(three):
-            part = size[three] >> np.uint64(id_bits)
-            add[three] += part * x[three]
+            part = size.take(three) >> np.uint64(id_bits)
+            add[three] += part * x.take(three)
             size[three] = part
         moved = low + add
         over = np.flatnonzero(moved < low)
         if len(over):
-            words[over, place[over] - 1] += np.uint64(1)
+            flat[place.take(over) - 1] += np.uint64(1)
         low = moved
         small = np.flatnonzero(size < RENEW)
         if len(small):
-            words[small, place[small]] = low[small] >> WORD
-            place[small] += 1
-            low[small] <<= WORD
-            size[small] <<= WORD
+            moved, at = low.take(small), place.take(small)
+            flat[at] = moved >> WORD
+            place[small] = at + 1
+            low[small] = moved << WORD
+            size[small] = size.take(small) << WORD
         model.update(x, outcome)
     del model, ids, ranks, counts, shares
     ends = _close(words, place, low, 0)
@@ -224,7 +226,7 @@ def encode(blocks: list[np.ndarray], id_bits: int) -> list[bytes]:
 def _close(words: np.ndarray, place: np.ndarray, low: np.ndarray, first: int) -> np.ndarray:
     """Write out `low` of the lanes from `first` on; returns their number of words, also kept in the last column."""
     lanes = np.arange(first, len(low))
-    at = place[first:]
+    at = place[first:] - lanes * words.shape[1]
     words[lanes, at] = low[first:] >> WORD
     words[lanes, at + 1] = low[first:] & np.uint64(0xFFFFFFFF)
     words[lanes, -1] = at + 2
@@ -272,25 +274,25 @@ def decode(coded: list[bytes], lengths: list[int], id_bits: int) -> list[np.ndar
         x = np.where(outcome == 0, model.p2, model.p1)
         two = np.flatnonzero(outcome == 2)
         if len(two):
-            part = size[two] // np.uint64(mass)
-            spot = np.minimum(code[two] // part, np.uint64(mass - 1)).astype(np.int64) + two * mass
+            part, rest = size.take(two) // np.uint64(mass), code.take(two)
+            spot = np.minimum(rest // part, np.uint64(mass - 1)).astype(np.int64) + two * mass
             share = shares.take(spot)
             x[two] = share & FIELD21
-            code[two] -= part * (share >> TWICE21)
+            code[two] = rest - part * (share >> TWICE21)
             size[two] = part * (share >> ONCE21 & FIELD21)
         three = np.flatnonzero(outcome == 3)
         if len(three):
-            part = size[three] >> np.uint64(id_bits)
-            plain = np.minimum(code[three] // part, id_mask)
+            part, rest = size.take(three) >> np.uint64(id_bits), code.take(three)
+            plain = np.minimum(rest // part, id_mask)
             x[three] = plain
-            code[three] -= part * plain
+            code[three] = rest - part * plain
             size[three] = part
         small = np.flatnonzero(size < RENEW)
         if len(small):
-            spot = np.minimum(place[small], len(words) - 1)
-            code[small] = code[small] << WORD | words[spot]
-            size[small] <<= WORD
-            place[small] += 1
+            at = place.take(small)
+            code[small] = code.take(small) << WORD | words.take(np.minimum(at, len(words) - 1))
+            size[small] = size.take(small) << WORD
+            place[small] = at + 1
         found[step, :n] = x
         model.compare(x)
         model.update(x, outcome)
