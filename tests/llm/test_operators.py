@@ -146,6 +146,36 @@ def test_every_shingle_has_the_idf_of_its_own_documents(spark, monkeypatch):
     assert len(near_dedup.near_duplicates(docs, "__text", "__id").collect()) == len(rows)
 
 
+def test_near_copies_of_a_large_group_stay_one_class(spark):
+    """Whatever the size of the group and of the corpus; texts that share half of their words are no copies."""
+    random.seed(6)
+    word = lambda: "".join(random.choices("abcdefghij", k=6))
+    base, half = ([word() for _ in range(120)] for _ in range(2))
+    texts = {0: " ".join(base)}
+    for n in range(1, 60):
+        edited = base.copy()
+        for at in random.sample(range(5, 115, 10), 2):
+            edited[at] = word()
+        texts[n] = " ".join(edited)
+    texts |= {100 + n: " ".join(half[:60] + [word() for _ in range(60)]) for n in range(60)}
+    texts |= {1000 + n: " ".join(word() for _ in range(8)) for n in range(4000)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {i: 0 if i < 60 else i for i in texts}
+
+
+def test_copies_of_a_text_are_told_from_common_passages():
+    frequency = np.array([1, 2, 1, 1, 5])
+    assert near_dedup.own_copies(frequency, np.array([9, 1, 9, 9, 9]), 0.8) == 9
+    assert near_dedup.own_copies(frequency, np.array([9, 1, 1, 9, 9]), 0.8) == 1
+    assert near_dedup.own_copies(frequency, np.array([4, 1, 7, 9, 8]), 0.8) == 4
+    none = np.zeros(0, np.int64)
+    assert near_dedup.own_copies(none, none, 0.8) == 1
+    # A text's copies do not lower the weight of its shingles; a passage that more documents have still weighs less.
+    assert near_dedup.weights(np.ones(4), np.array([6, 6, 6, 60]), 600, 0.8).round(6).tolist() == [round(1 + np.log(600), 6)] * 3 + [round(1 + np.log(60), 6)]
+    assert near_dedup.weights(np.ones(2), np.array([6, 60]), 600).round(6).tolist() == [round(1 + np.log(100), 6), round(1 + np.log(10), 6)]
+
+
 def test_texts_are_shuffled_in_small_form(spark):
     long = " ".join(f"word {n} of a text" for n in range(500))
     rows = [(1, 5, None), (2, 5, ""), (3, 5, "é" * 3 + " \u3000x"), (None, 5, long)]

@@ -1,7 +1,11 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF word shingles.
 
 A document is the weighted set of its five-word shingles (lower case, white space folded), weight =
-term frequency x idf, idf = 1 + ln(documents with a shingle / documents with this one). Every shingle's
+term frequency x idf, idf = 1 + ln(documents with a shingle / documents with this one). A text's own
+copies are one document to its idf: a near copy shares at least SIMILARITY of a text, so the number of
+documents that each shingle in that share of a text reaches is taken for its copies, and counts are divided
+by it (1 at least). Else the shingles that a group of copies shares would weigh less, the larger the group,
+and every edit more, the larger the corpus, until copies of one text were no longer alike. Every shingle's
 documents are counted exactly: texts are dealt to blocks of bounded size, a block sends its distinct
 shingles with their counts to parts by ranges of the hash, and a part sends back the sums in the same
 order, which need no hashes and are mostly ones. The block's texts are shuffled once for both passes.
@@ -139,9 +143,20 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.table({"block": table["block"], "part": table["part"], "counts": pa.array([x.tobytes() for x in sums], pa.binary())})
 
 
-def weights(frequency: np.ndarray, counts: np.ndarray, documents: int) -> np.ndarray:
-    """Term frequency x idf of shingles that `counts` of the documents have."""
-    return frequency * (1 - np.log(np.maximum(counts / documents, COMMON_SHARE)))
+def own_copies(frequency: np.ndarray, counts: np.ndarray, similarity: float) -> int:
+    """The largest number of documents that each shingle in a share of `similarity` of the text stands in."""
+    rest = (1 - similarity + 1e-6) * frequency.sum()
+    if frequency[counts == 1].sum() >= rest:  # most texts
+        return 1
+    order = np.argsort(counts)
+    at = np.searchsorted(np.cumsum(frequency[order]), rest, side="right")
+    return int(counts[order[min(at, len(order) - 1)]])
+
+
+def weights(frequency: np.ndarray, counts: np.ndarray, documents: int, similarity: float | None = None) -> np.ndarray:
+    """Term frequency x idf of shingles that `counts` of the documents have; with `similarity` the text's copies count once."""
+    copies = 1 if similarity is None else own_copies(frequency, counts, similarity)
+    return frequency * (1 - np.log(np.maximum(np.maximum(counts / copies, 1) / documents, COMMON_SHARE)))
 
 
 # --- signatures ------------------------------------------------------------------------------
@@ -209,7 +224,7 @@ def fingerprint(normal: str) -> bytes:
     return hashlib.blake2b(normal.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _signatures(documents: int):
+def _signatures(documents: int, similarity: float | None):
     def sign(table: pa.Table, sums: pa.Table) -> pa.Table:
         normal, found = _block_shingles(table["__text"])
         counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for x in sums.sort_by("part")["counts"])])
@@ -217,7 +232,7 @@ def _signatures(documents: int):
         own = np.split(counts[place], np.cumsum([len(x) for x, _ in found])[:-1])
         bands, totals = [], []
         for (shingles, frequency), n in zip(found, own):
-            weighed = weights(frequency, n, documents)
+            weighed = weights(frequency, n, documents, similarity)
             totals.append(float(weighed.sum()))
             bands.append(band_codes(samples(shingles, weighed)).view(np.int64) if len(shingles) else [])
         return pa.table({
@@ -229,8 +244,8 @@ def _signatures(documents: int):
     return sign
 
 
-def signatures(rows: DataFrame) -> tuple[DataFrame, int]:
-    """__id, __hash, copies, print, bands, weight and counts (documents of each shingle) of the distinct rows (__id, __hash, __text); and the number of documents that have shingles."""
+def signatures(rows: DataFrame, similarity: float | None = None) -> tuple[DataFrame, int]:
+    """__id, __hash, copies, print, bands, weight and counts (documents of each shingle) of the distinct rows (__id, __hash, __text); and the number of documents that have shingles. With `similarity` a text's copies count once in its weights."""
     size = rows.agg(F.sum(F.octet_length("__text")), F.count(F.when(F.col("__text").rlike(NOT_BLANK), 1))).first()
     blocks, parts = (max(1, -(-(size[0] or 0) // n)) for n in (BLOCK_BYTES, RANGE_BYTES))
     documents = max(1, size[1])
@@ -240,10 +255,10 @@ def signatures(rows: DataFrame) -> tuple[DataFrame, int]:
     runs = blocked.groupBy("block").applyInArrow(_runs(parts), "block long, part long, shingles binary, counts binary")
     sums = runs.groupBy("part").applyInArrow(_summed, "block long, part long, counts binary")
     schema = f"__id {rows.schema['__id'].dataType.simpleString()}, __hash long, copies long, print binary, bands array<long>, weight double, counts binary"
-    return stage(blocked.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_signatures(documents), schema), "signatures"), documents
+    return stage(blocked.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(_signatures(documents, similarity), schema), "signatures"), documents
 
 
-def _vectors(documents: int):
+def _vectors(documents: int, similarity: float):
     def vector(batches):
         for batch in slices(batches):
             hashes, weighed = [], []
@@ -251,7 +266,7 @@ def _vectors(documents: int):
                 shingles, frequency = weighted_shingles(normal)
                 counts = np.frombuffer(pa.decompress(counts.as_buffer(), 8 * len(shingles), "zstd"), np.int64)
                 hashes.append(shingles.tobytes())
-                weighed.append(weights(frequency, counts, documents).astype(np.float32).tobytes())
+                weighed.append(weights(frequency, counts, documents, similarity).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("print"), pa.array(hashes, pa.binary()), pa.array(weighed, pa.binary())], ["print", "shingles", "weights"])
 
     return vector
@@ -388,7 +403,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     one with the smallest (key, __hash); rows equal in both are all marked.
     """
     rows = docs.select(F.col(key).alias("__id"), F.xxhash64(text).alias("__hash"), F.col(text).alias("__text"))
-    signed, documents = signatures(rows)
+    signed, documents = signatures(rows, similarity)
     texts = (
         signed.where(F.size("bands") > 0).groupBy("print")
         .agg(F.first("bands").alias("bands"), F.first("weight").alias("weight"), F.first("counts").alias("counts"), F.min(F.struct("__id", "__hash")).alias("at"))
@@ -401,7 +416,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         named = texts.join(labels.select("print"), "print", "left_semi").select("print", "counts", "at.*")
         sent = small_texts(rows)
         held = sent.join(named, sent["__id"].eqNullSafe(named["__id"]) & (sent["__hash"] == named["__hash"]))
-        vectors = stage(held.select("print", "counts", "__text").dropDuplicates(["print"]).mapInArrow(_vectors(documents), "print binary, shingles binary, weights binary"), "vectors")
+        vectors = stage(held.select("print", "counts", "__text").dropDuplicates(["print"]).mapInArrow(_vectors(documents, similarity), "print binary, shingles binary, weights binary"), "vectors")
         # First every text meets one pivot only, the one of most common bands, which settles large groups
         # of close copies.
         pivots = members.groupBy("bucket").agg(F.min(F.struct("print", "bands", "weight")).alias("p"))
